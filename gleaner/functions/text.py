@@ -8,20 +8,27 @@ from pyspark.sql import functions as F
 # The ASCII punctuation marks that are stripped from text.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
-# The characters that separate words (ASCII and Unicode white space).
-SPACES = (
-    r"[\x{9}-\x{d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-)
+# The code points that separate words (ASCII and Unicode white space), first and last of each range.
+SPACE_RANGES = [
+    (0x9, 0xD), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A),
+    (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
+]
+SPACES = "".join(chr(c) for first, last in SPACE_RANGES for c in range(first, last + 1))
 
-WORD_PREFIX = "^[a-zA-Z]+"
 WORD_WHOLE = "^[a-zA-Z]+$"
 NUMBER = r"^[0-9]+\.?[0-9]*$|^\.[0-9]+$"
 
 
 def words(text: Column) -> Column:
     """Words of ``text`` without punctuation, as written."""
-    return F.filter(F.split(F.translate(text, PUNCTUATION, ""), SPACES), lambda w: w != "")
+    # one pass: every separator becomes a blank, every punctuation mark goes
+    plain = F.translate(text, SPACES + PUNCTUATION, " " * len(SPACES))
+    return F.array_remove(F.split(plain, " "), "")
+
+
+def starts_with_letter(word: Column) -> Column:
+    first = F.ascii(word)
+    return first.between(ord("a"), ord("z")) | first.between(ord("A"), ord("Z"))
 
 
 def categories(text: Column) -> Column:

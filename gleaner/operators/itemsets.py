@@ -32,8 +32,10 @@ def baskets(pairs: DataFrame, key: str, item: str, min_size: int = 1) -> DataFra
     Long form on purpose: a basket may hold a large share of all rows.
     """
     rows = pairs.select(F.col(key).alias("basket_id"), F.col(item).alias("item")).distinct()
-    size = rows.groupBy("basket_id").agg(F.count("*").alias("size")).filter(F.col("size") >= min_size)
-    return skew_join(rows, size, "basket_id")
+    rows = written(rows, "basket-rows")
+    size = rows.groupBy("basket_id").agg(F.count("*").alias("size"))
+    counts = size.select("basket_id", F.col("size").alias("_n"))
+    return skew_join(rows, size.filter(F.col("size") >= min_size), "basket_id", counts=counts)
 
 
 def basket_pieces(rows: DataFrame, piece: Column | None = None, limit: int = 1000) -> DataFrame:
@@ -72,45 +74,44 @@ def _grow(
     keep: Callable[[DataFrame], DataFrame],
     scope: list[str],
     max_k: int | None,
-    prune: Callable[[DataFrame, int], DataFrame] | None = None,
+    prune: Callable[[DataFrame, list[str]], DataFrame] | None = None,
 ) -> list[DataFrame]:
     """Frequent sets of every level.
 
-    ``rows`` has ``basket_id, item`` and the ``scope`` columns (the chunk of a two-pass run).
-    ``keep(counts)`` applies the support threshold to ``scope + items, support``;
-    ``prune(occurrences, k)`` may drop occurrences before they are counted.
+    ``rows`` has ``basket_id, item`` and the ``scope`` columns (the chunk of a two-pass run). A set of level k
+    is held in columns ``i1 … ik``. ``keep(counts)`` applies the support threshold to ``scope, items, support``;
+    ``prune(occurrences, places)`` may drop occurrences before they are counted.
     """
-    single = rows.select(*scope, "basket_id", F.array("item").alias("items"), F.col("item").alias("last"))
+    here = [*scope, "basket_id"]
     levels: list[DataFrame] = []
-    occurrences, k = single, 1
+    occurrences, k = rows.select(*here, F.col("item").alias("i1")), 1
     while True:
+        places = [f"i{j}" for j in range(1, k + 1)]
         if prune is not None and k > 1:
-            occurrences = prune(occurrences, k)
-        counts = occurrences.groupBy(*scope, "items").agg(F.count("*").alias("support"))
-        frequent = written(keep(counts), f"frequent{k}")
+            occurrences = prune(occurrences, places)
+        counts = occurrences.groupBy(*scope, *places).agg(F.count("*").alias("support"))
+        frequent = written(keep(counts.withColumn("items", F.array(*places))), f"frequent{k}")
         if frequent.isEmpty():
             return levels
-        levels.append(frequent)
+        levels.append(frequent.select(*scope, "items", "support"))
         if k == max_k:
             return levels
         # a frequent set may occur in a large share of the baskets; its support says so
-        key = [*scope, "items"]
+        key = [*scope, *places]
         kept = skew_join(
             occurrences, frequent.select(*key), key, "left_semi",
             counts=frequent.select(*key, F.col("support").alias("_n")),
         )
-        kept = written(kept, f"occurrences{k}")
-        here = [*scope, "basket_id"]
         if k == 1:
-            grown = kept.join(kept.select(*here, F.col("last").alias("next")), here).filter(F.col("next") > F.col("last"))
+            later = kept.withColumnRenamed("i1", "i2")
+            occurrences = kept.join(later, here).filter(F.col("i1") < F.col("i2"))
         else:
+            kept = written(kept, f"occurrences{k}")
             if k == 2:
-                follows = kept.select(*here, F.col("items")[0].alias("last"), F.col("last").alias("next"))
+                frequent_pairs = kept
             # the last two items of a frequent set are a frequent pair
-            grown = kept.join(follows, [*here, "last"])
-        occurrences = grown.select(
-            *here, F.array_append("items", F.col("next")).alias("items"), F.col("next").alias("last")
-        )
+            follows = frequent_pairs.withColumnsRenamed({"i2": f"i{k + 1}", "i1": f"i{k}"})
+            occurrences = kept.join(follows, [*here, f"i{k}"])
         k += 1
 
 
@@ -185,7 +186,7 @@ def frequent_itemsets(
         prune = None
         if method == "pcy":
             tokens = written(token_dict(ordinary, "item"), "tokens")
-            prune = lambda occurrences, k: _bucket_prune(occurrences, tokens, threshold, buckets)
+            prune = lambda found, places: _bucket_prune(found, places, tokens, threshold, buckets)
         elif method == "son":
             first_pass = _chunk_frequent(ordinary, threshold, chunks, max_k, None)
             candidates = written(first_pass.select("items").distinct(), "candidates")
@@ -210,18 +211,20 @@ def _fpgrowth(rows: DataFrame, threshold: int, max_k: int | None) -> DataFrame:
     return found if max_k is None else found.filter(F.size("items") <= max_k)
 
 
-def _bucket_prune(occurrences: DataFrame, tokens: DataFrame, threshold: int, buckets: int) -> DataFrame:
+def _bucket_prune(
+    occurrences: DataFrame, places: list[str], tokens: DataFrame, threshold: int, buckets: int
+) -> DataFrame:
     """Occurrences of sets whose bucket reaches the threshold.
 
     The bucket of a set is the sum of its items' tokens modulo ``buckets``, found once per distinct set.
     """
-    counts = occurrences.groupBy("items").agg(F.count("*").alias("n"))
-    places = counts.select("items", "n", F.explode("items").alias("id"))
-    sets = skew_join(places, tokens, "id").groupBy("items", "n").agg(
+    counts = written(occurrences.groupBy(*places).agg(F.count("*").alias("n")), "set-counts")
+    items = counts.select(*places, "n", F.explode(F.array(*places)).alias("id"))
+    sets = skew_join(items, tokens, "id").groupBy(*places, "n").agg(
         F.pmod(F.sum("token"), F.lit(buckets)).alias("bucket")
     )
     full = sets.groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") >= threshold).select("bucket")
-    return occurrences.join(sets.join(full, "bucket", "left_semi").select("items"), "items", "left_semi")
+    return occurrences.join(sets.join(full, "bucket", "left_semi").select(*places), places, "left_semi")
 
 
 def pcy_buckets(rows: DataFrame, support: int, buckets: int) -> DataFrame:

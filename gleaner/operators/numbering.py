@@ -50,6 +50,9 @@ def token_dict(rows: DataFrame, column: str) -> DataFrame:
     return numbered(ids, ["id"], "token")
 
 
-def encode(rows: DataFrame, tokens: DataFrame, column: str, name: str) -> DataFrame:
-    """Add the token of ``column``."""
-    return skew_join(rows, tokens.select(F.col("id").alias(column), F.col("token").alias(name)), column)
+def encode(
+    rows: DataFrame, tokens: DataFrame, column: str, name: str, counts: DataFrame | None = None
+) -> DataFrame:
+    """Add the token of ``column``; ``counts`` as in ``skew_join``."""
+    coded = tokens.select(F.col("id").alias(column), F.col("token").alias(name))
+    return skew_join(rows, coded, column, counts=counts)

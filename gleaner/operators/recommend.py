@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gleaner.functions import similarity as formulas
 from gleaner.functions.hashing import Hash
 from gleaner.operators import pairs as pair_operators
-from gleaner.operators.numbering import encode, token_dict
+from gleaner.operators.numbering import token_dict
 from gleaner.operators.pairs import Need, overlaps
 from gleaner.operators.similarity import MAX_BUCKET, lsh_candidates, minhash
 from gleaner.operators.skew import skew_join
@@ -24,9 +24,18 @@ def ratings_dedup(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("user_id", "business_id").agg(latest["stars"].alias("stars"))
 
 
+def _log(reviews: DataFrame) -> DataFrame:
+    """The columns of a review a model needs, read from their source once."""
+    return written(reviews.select("user_id", "business_id", "stars", "date", "review_id"), "log")
+
+
+def _counts(rows: DataFrame, column: str) -> DataFrame:
+    return rows.groupBy(column).agg(F.count("*").alias("_n"))
+
+
 def rated_often(reviews: DataFrame, column: str, at_least: int = MIN_COMMON) -> DataFrame:
     """Ids of ``column`` with at least this many review rows, repeated ratings included."""
-    return reviews.groupBy(column).agg(F.count("*").alias("_n")).filter(F.col("_n") >= at_least).select(column)
+    return _counts(reviews, column).filter(F.col("_n") >= at_least).select(column)
 
 
 def pearson(
@@ -42,14 +51,16 @@ def pearson(
     The mean of an item divides its common ratings by all its raters; ``mean="corated"`` divides by the
     common ones.
     """
-    ratings = _ratings(reviews, item, rater, min_common)
+    ratings = _ratings(_log(reviews), item, rater, min_common)
     sums = overlaps(ratings, item, rater, "stars", Need(min_common), max_group)
     return _correlated(sums, ratings, item, mean)
 
 
-def _ratings(reviews: DataFrame, item: str, rater: str, at_least: int) -> DataFrame:
-    often = rated_often(reviews, item, at_least)
-    return written(skew_join(ratings_dedup(reviews).select(item, rater, "stars"), often, item, "left_semi"), "ratings")
+def _ratings(log: DataFrame, item: str, rater: str, at_least: int) -> DataFrame:
+    """Latest ratings of items with enough review rows, repeated ratings included."""
+    latest = ratings_dedup(log).select(item, rater, "stars")
+    often = rated_often(log, item, at_least)
+    return written(skew_join(latest, often, item, "left_semi", counts=_counts(log, item)), "ratings")
 
 
 def _correlated(sums: DataFrame, ratings: DataFrame, item: str, mean: str) -> DataFrame:
@@ -76,17 +87,18 @@ def pearson_lsh(
     Signatures read the elements with at least ``min_common`` review rows, correlations read all ratings of items
     with that many rows.
     """
-    ratings = _ratings(reviews, item, rater, min_common)
-    seen = reviews.select(F.col(item).alias("item"), F.col(rater).alias("element")).distinct()
-    often = rated_often(reviews.withColumnRenamed(rater, "element"), "element", min_common)
+    log = _log(reviews)
+    ratings = _ratings(log, item, rater, min_common)
+    seen = log.select(F.col(item).alias("item"), F.col(rater).alias("element")).distinct()
+    counts = _counts(log, rater).withColumnRenamed(rater, "element")
+    often = counts.filter(F.col("_n") >= min_common)
     # elements are numbered over the whole training table, before rare ones are left out
-    tokens = written(token_dict(reviews, rater), "tokens")
-    known = skew_join(seen, often, "element", "left_semi")
-    signed = encode(known, tokens, "element", "token")
+    tokens = token_dict(log, rater).select(F.col("id").alias("element"), "token")
+    signed = skew_join(seen, tokens.join(often, "element", "left_semi"), "element", counts=counts)
     sigs = written(minhash(signed, "item", "token", family), "sigs")
     rows = ratings.select(F.col(item).alias("item"), F.col(rater).alias("element"))
     sigs = sigs.join(rows.select("item").distinct(), "item", "left_semi")
-    candidates = lsh_candidates(rows, sigs, n_bands, Need(min_common, min_jaccard), max_bucket)
+    candidates = written(lsh_candidates(rows, sigs, n_bands, Need(min_common, min_jaccard), max_bucket), "candidates")
     sums = _sums_of(candidates, ratings.select(F.col(item).alias("item"), F.col(rater).alias("element"), "stars"))
     sized = pair_operators.with_sizes(sums, pair_operators.sizes(rows, "item"))
     need = Need(min_common, min_jaccard)
@@ -119,28 +131,28 @@ def both_ways(model: DataFrame) -> DataFrame:
 
 
 def _neighbours(test: DataFrame, history: DataFrame, model: DataFrame) -> DataFrame:
-    """``owner, target, near, stars, sim``: rated neighbours of each test pair that the model knows.
+    """``owner, target, near, sim`` and the other columns of ``history``: the rated neighbours of each test pair.
 
-    ``test`` is distinct ``owner, target``, ``history`` is ``owner, near, stars``. A pair is resolved through the
+    ``test`` is distinct ``owner, target``, ``history`` has ``owner, near``. A pair is resolved through the
     shorter of two lists: the history of its owner or the model row of its target.
     """
     oriented = written(both_ways(model), "model")
     listed = history.groupBy("owner").agg(F.count("*").alias("listed"))
     degree = oriented.groupBy("target").agg(F.count("*").alias("degree"))
     # no history or no model row: nothing to weigh
-    routed = written(skew_join(skew_join(test, listed, "owner"), degree, "target"), "routed")
+    routed = skew_join(test, listed, "owner", counts=_counts(test, "owner"))
+    routed = written(skew_join(routed, degree, "target", counts=_counts(test, "target")), "routed")
     short_history = routed.filter(F.col("listed") <= F.col("degree")).select("owner", "target")
     short_model = routed.filter(F.col("listed") > F.col("degree")).select("owner", "target")
-    # a popular target repeats its model row, an active owner its history: spread both
+    # an active owner repeats its history, a popular target its model row: both are spread
     by_history = skew_join(short_history, history, "owner").join(oriented, ["target", "near"])
     by_model = skew_join(short_model, oriented, "target").join(history, ["owner", "near"])
-    columns = ["owner", "target", "near", "stars", "sim"]
-    return by_history.select(*columns).unionByName(by_model.select(*columns))
+    return by_history.unionByName(by_model)
 
 
-def _fallback(pairs: DataFrame, avgs: DataFrame, overall: DataFrame, column: str) -> DataFrame:
+def _fallback(found: DataFrame, asked: DataFrame, avgs: DataFrame, overall: DataFrame, column: str) -> DataFrame:
     """Add ``avg`` of ``column`` or the overall average, and whether the id is unknown."""
-    joined = skew_join(pairs, avgs.withColumnRenamed("id", column), column, "left")
+    joined = skew_join(found, avgs.withColumnRenamed("id", column), column, "left", counts=_counts(asked, column))
     known = F.col("avg").isNotNull()
     return joined.withColumns({
         "cold_start": ~known,
@@ -160,7 +172,7 @@ def predict_item(
 
     Without a rated neighbour the item's average is given, or the overall one for an unknown item.
     """
-    pairs = test.select("user_id", "business_id").distinct()
+    pairs = written(test.select("user_id", "business_id").distinct(), "asked")
     history = train.select(F.col("user_id").alias("owner"), F.col("business_id").alias("near"), "stars").distinct()
     asked = pairs.select(F.col("user_id").alias("owner"), F.col("business_id").alias("target"))
     near = _neighbours(asked, history, model)
@@ -171,7 +183,7 @@ def predict_item(
     )
     found = pairs.join(weighed.withColumnsRenamed({"owner": "user_id", "target": "business_id"}),
                        ["user_id", "business_id"], "left")
-    whole = _fallback(found, avgs, overall, "business_id")
+    whole = _fallback(found, pairs, avgs, overall, "business_id")
     stars = _weighted(F.col("top"), F.col("weight"), F.col("avg"))
     return whole.select("user_id", "business_id", stars.alias("stars"), "cold_start")
 
@@ -185,16 +197,21 @@ def predict_user(
     dropped.
     """
     rated = train.select(F.col("business_id").alias("owner"), F.col("user_id").alias("near"), "stars").distinct()
-    pairs = test.select("user_id", "business_id").distinct()
-    pairs = skew_join(pairs, train.select("business_id").distinct(), "business_id", "left_semi")
+    near_avgs = avgs.withColumnsRenamed({"id": "near", "avg": "near_avg"})
+    rated = written(skew_join(rated, near_avgs, "near", counts=_counts(rated, "near")), "rated")
+    pairs = skew_join(
+        test.select("user_id", "business_id").distinct(), rated.select(F.col("owner").alias("business_id")).distinct(),
+        "business_id", "left_semi",
+    )
+    pairs = written(pairs, "asked")
     asked = pairs.select(F.col("business_id").alias("owner"), F.col("user_id").alias("target"))
-    near = skew_join(_neighbours(asked, rated, model), avgs.withColumnsRenamed({"id": "near", "avg": "near_avg"}), "near")
+    near = _neighbours(asked, rated, model)
     weighed = near.groupBy("owner", "target").agg(
         F.sum((F.col("stars") - F.col("near_avg")) * F.col("sim")).alias("top"), F.sum(F.abs("sim")).alias("weight")
     )
     found = pairs.join(weighed.withColumnsRenamed({"owner": "business_id", "target": "user_id"}),
                        ["user_id", "business_id"], "left")
-    whole = _fallback(found, avgs, overall, "user_id")
+    whole = _fallback(found, pairs, avgs, overall, "user_id")
     stars = _weighted(F.col("top"), F.col("weight"), F.col("avg"), F.col("avg"))
     return whole.select("user_id", "business_id", stars.alias("stars"), "cold_start")
 

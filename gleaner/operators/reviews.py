@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import text as text_functions
 from gleaner.operators.skew import skew_join
+from gleaner.session import spread
 
 
 def review_stats(reviews: DataFrame, year: int) -> DataFrame:
@@ -30,11 +31,10 @@ def top_users(reviews: DataFrame, m: int) -> DataFrame:
 
 def word_counts(texts: DataFrame, stopwords: list[str], full_match: bool = False) -> DataFrame:
     """``word, n`` over lower-cased words that start with (or wholly are) letters."""
-    pattern = text_functions.WORD_WHOLE if full_match else text_functions.WORD_PREFIX
-    found = texts.select(F.explode(text_functions.words(F.lower("text"))).alias("word"))
-    return found.filter(F.col("word").rlike(pattern) & ~F.col("word").isin(stopwords)).groupBy("word").agg(
-        F.count("*").alias("n")
-    )
+    found = spread(texts).select(F.explode(text_functions.words(F.lower("text"))).alias("word"))
+    word = F.col("word")
+    good = word.rlike(text_functions.WORD_WHOLE) if full_match else text_functions.starts_with_letter(word)
+    return found.filter(good & ~word.isin(stopwords)).groupBy("word").agg(F.count("*").alias("n"))
 
 
 def without_words(counts: DataFrame, stopwords: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gleaner.functions import text as text_functions
 from gleaner.functions.similarity import set_cosine
 from gleaner.operators.skew import skew_join
+from gleaner.session import spread, written
 
 PROFILE_WORDS = 200
 TOP_WORDS = 30
@@ -29,45 +30,63 @@ def tf(texts: DataFrame, key: str, stopwords: list[str], min_len: int = 4, min_c
 
     A key that has words seen at least ``min_count`` times lists only those; the share is of all its words.
     """
-    found = texts.select(key, F.explode(text_functions.words(F.lower("text"))).alias("word"))
-    kept = found.filter(
-        F.col("word").rlike(text_functions.WORD_PREFIX)
-        & (F.length("word") >= min_len)
-        & ~F.col("word").isin(stopwords)
+    word = F.col("word")
+    listed = (
+        text_functions.starts_with_letter(word) & (F.length(word) >= min_len) & ~word.isin(stopwords)
     )
-    counts = kept.groupBy(key, "word").agg(F.count("*").alias("n"))
-    totals = counts.groupBy(key).agg(F.sum("n").alias("total"), F.max("n").alias("most"))
-    listed = (F.col("n") >= min_count) | (F.col("most") < min_count)
-    return skew_join(counts, totals, key).filter(listed).select(key, "word", (F.col("n") / F.col("total")).alias("tf"))
+    counts = _word_counts(texts, key, listed)
+    totals = counts.groupBy(key).agg(
+        F.sum("n").alias("total"), F.max("n").alias("most"), F.count("*").alias("_n")
+    )
+    kept = (F.col("n") >= min_count) | (F.col("most") < min_count)
+    return skew_join(counts, totals.drop("_n"), key, counts=totals.select(key, "_n")).filter(kept).select(
+        key, "word", (F.col("n") / F.col("total")).alias("tf")
+    )
+
+
+def _word_counts(texts: DataFrame, key: str, listed: Column | None = None) -> DataFrame:
+    """``key, word, n``, written out: the text is read and split once."""
+    found = spread(texts.select(key, "text")).select(
+        key, F.explode(text_functions.words(F.lower("text"))).alias("word")
+    )
+    kept = found if listed is None else found.filter(listed)
+    return written(kept.groupBy(key, "word").agg(F.count("*").alias("n")), "word-counts")
 
 
 def document_tf(texts: DataFrame, key: str, stopwords: list[str]) -> DataFrame:
     """``key, word, n, tf``: share of all words of the text; stop words and numbers are not listed."""
-    found = texts.select(key, F.explode(text_functions.words(F.lower("text"))).alias("word"))
     listed = ~F.col("word").isin(stopwords) & ~F.col("word").rlike(text_functions.NUMBER)
-    counts = found.groupBy(key, "word").agg(F.count("*").alias("n"))
-    totals = counts.groupBy(key).agg(F.sum("n").alias("total"))
-    return skew_join(counts.filter(listed), totals, key).select(
-        key, "word", "n", (F.col("n") / F.col("total")).alias("tf")
-    )
+    counts = _word_counts(texts, key)
+    totals = counts.groupBy(key).agg(F.sum("n").alias("total"), F.count("*").alias("_n"))
+    weighed = skew_join(counts.filter(listed), totals.drop("_n"), key, counts=totals.select(key, "_n"))
+    return weighed.select(key, "word", "n", (F.col("n") / F.col("total")).alias("tf"))
 
 
 def doc_top_words(texts: DataFrame, key: str, stopwords: list[str], k: int) -> DataFrame:
     """``key, word, n``: the ``k`` most frequent words of each text, ties by word."""
-    found = texts.select(key, F.explode(text_functions.words(F.lower("text"))).alias("word"))
+    found = spread(texts.select(key, "text")).select(
+        key, F.explode(text_functions.words(F.lower("text"))).alias("word")
+    )
     listed = found.filter(~F.col("word").isin(stopwords) & ~F.col("word").rlike(text_functions.NUMBER))
     counts = listed.groupBy(key, "word").agg(F.count("*").alias("n"))
     return _best(counts, key, [F.desc("n"), F.col("word")], k).drop("rank")
 
 
+def _document_frequency(weights: DataFrame) -> DataFrame:
+    return weights.groupBy("word").agg(F.count("*").alias("df"))
+
+
 def idf(weights: DataFrame, n_docs: int) -> DataFrame:
     """``word, idf``: ``ln(n_docs / number of keys that list the word)``."""
-    return weights.groupBy("word").agg(F.ln(F.lit(float(n_docs)) / F.count("*")).alias("idf"))
+    return _document_frequency(weights).select("word", F.ln(F.lit(float(n_docs)) / F.col("df")).alias("idf"))
 
 
 def tfidf(weights: DataFrame, n_docs: int, key: str) -> DataFrame:
     """``key, word, score``"""
-    return skew_join(weights, idf(weights, n_docs), "word").select(
+    frequency = _document_frequency(weights)
+    inverse = frequency.select("word", F.ln(F.lit(float(n_docs)) / F.col("df")).alias("idf"))
+    counts = frequency.select("word", F.col("df").alias("_n"))
+    return skew_join(weights, inverse, "word", counts=counts).select(
         key, "word", (F.col("tf") * F.col("idf")).alias("score")
     )
 

@@ -13,7 +13,7 @@ from gleaner.functions.hashing import (
     minhash_family,
     sketch_family,
 )
-from gleaner.functions.text import NUMBER, PUNCTUATION, SPACES, WORD_PREFIX, WORD_WHOLE
+from gleaner.functions.text import NUMBER, PUNCTUATION, SPACE_RANGES, WORD_WHOLE
 from gleaner.operators.graph import ROUNDS
 from gleaner.operators.recommend import MIN_COMMON, NEIGHBOURS
 from gleaner.operators.sketch import SAMPLE_SIZE
@@ -25,6 +25,8 @@ def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+SPACES = "[" + "".join(rf"\x{{{first:x}}}-\x{{{last:x}}}" for first, last in SPACE_RANGES) + "]+"
+WORD_PREFIX = "^[a-zA-Z]+"
 STOP = "(" + ", ".join(_text(w) for w in b.STOPWORDS) + ")"
 
 REVIEWS = """reviews AS (

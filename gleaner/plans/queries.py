@@ -195,8 +195,9 @@ def q_hit_rate(spark: SparkSession, sf: str) -> DataFrame:
 
 def _coded(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct reviews as business, user and the dense number of the user."""
-    rows = b.reviews(spark, sf).select("business_id", "user_id").distinct()
-    return written(numbering.encode(rows, numbering.token_dict(rows, "user_id"), "user_id", "token"), "coded")
+    rows = written(b.reviews(spark, sf).select("business_id", "user_id").distinct(), "reviews")
+    counts = rows.groupBy("user_id").agg(F.count("*").alias("_n"))
+    return written(numbering.encode(rows, numbering.token_dict(rows, "user_id"), "user_id", "token", counts), "coded")
 
 
 def q_token_dict(spark: SparkSession, sf: str) -> DataFrame:

@@ -56,3 +56,12 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores where a small source comes in fewer pieces than there are cores.
+
+    Large sources have more pieces than cores and are left as they are: no extra shuffle at scale.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, *keys) if rows.rdd.getNumPartitions() < cores else rows
