@@ -122,9 +122,10 @@ def with_sizes(pairs: DataFrame, size: DataFrame, names: tuple[str, str] = ("siz
 
 
 def _overlaps_with_heavy(base: DataFrame, heavy: DataFrame, valued: bool, need: Need, max_group: int) -> DataFrame:
-    # rows/max_group keys at most, but no constant bound: no broadcast hint, the join is spread by key pieces
-    light_rows = base.join(heavy, "element", "left_anti")
-    heavy_rows = written(skew_join(base, heavy, "element"), "heavy-rows")
+    # at most one heavy element per max_group rows, but no constant bound: no broadcast hint here
+    degrees = heavy.select("element", F.col("degree").alias("_n"))
+    light_rows = skew_join(base, heavy.select("element"), "element", "left_anti", counts=degrees)
+    heavy_rows = written(skew_join(base, heavy, "element", counts=degrees), "heavy-rows")
     size = written(
         sizes(base, "item").join(
             heavy_rows.groupBy("item").agg(F.count("*").cast("int").alias("heavy_size")), "item", "left"
@@ -188,9 +189,9 @@ def _heavy_only(heavy_rows: DataFrame, size: DataFrame, need: Need, max_group: i
     prefix = written(prefix.filter(F.col("after") >= need.of_item(F.col("size")) - 1), "prefix")
 
     # blocks of about max_group rows; each pair of blocks of an element is one small join group
-    blocks = prefix.groupBy("element").agg(F.count("*").alias("rows"))
-    blocks = blocks.filter(F.col("rows") > 1).select("element", block_count(F.col("rows"), max_group).alias("blocks"))
-    cut = skew_join(prefix, blocks, "element").withColumn(
+    counts = prefix.groupBy("element").agg(F.count("*").alias("_n"))
+    blocks = counts.filter(F.col("_n") > 1).select("element", block_count(F.col("_n"), max_group).alias("blocks"))
+    cut = skew_join(prefix, blocks, "element", counts=counts).withColumn(
         "block", F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int")
     )
     left = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))

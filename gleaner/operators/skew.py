@@ -8,7 +8,6 @@ from pyspark.sql import types as T
 
 HOT_ROWS = 1_000_000  # rows of one key a single task may take
 MAX_HOT_KEYS = 10_000  # any key beyond these holds less than 1/10,000 of the rows
-MAX_SALTS = 1024
 
 
 def hot_keys(rows: DataFrame | None, keys: list[str], limit: int = HOT_ROWS, counts: DataFrame | None = None) -> list:
@@ -20,7 +19,8 @@ def hot_keys(rows: DataFrame | None, keys: list[str], limit: int = HOT_ROWS, cou
     if counts is None:
         counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
     counts = counts.filter(F.col("_n") > limit)
-    pieces = F.least(F.ceil(F.col("_n") / limit), F.lit(MAX_SALTS)).cast("int")
+    # the pieces of all keys together are at most one per ``limit`` rows of the data, and one per key
+    pieces = F.ceil(F.col("_n") / limit).cast("int")
     return counts.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).select(*keys, pieces.alias("_pieces")).collect()
 
 

@@ -73,7 +73,8 @@ def q_semi_state(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _baskets(spark: SparkSession, sf: str) -> DataFrame:
-    return written(itemsets.baskets(b.pairs(spark, sf), "l_orderkey", "p_brand"), "baskets")
+    rows = b.pairs(spark, sf).withColumnsRenamed({"l_orderkey": "basket_id", "p_brand": "item"})
+    return written(rows, "baskets")
 
 
 def q_baskets(spark: SparkSession, sf: str) -> DataFrame:

@@ -79,7 +79,7 @@ def read_baskets(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id, line``: every line of plain-text files, long files split over tasks."""
+    """``doc_id, text``: one row per line of plain-text files, so that a long file is split over tasks."""
     return spark.read.text(path).select(F.input_file_name().alias("doc_id"), F.col("value").alias("text"))
 
 
@@ -90,11 +90,17 @@ def read_averages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_profiles(spark: SparkSession, path: str, description: str) -> DataFrame:
-    """``id, token`` of one kind of profile; the kind is a folder, so only its files are read."""
-    rows = spark.read.schema(PROFILE).json(path).filter(F.col("description") == description)
+    """``id, token`` of one kind of profile from JSON lines with token lists."""
+    rows = read_json_lines(spark, path, PROFILE).filter(F.col("description") == description)
     return rows.select("id", F.explode("profile").alias("token"))
 
 
+def read_profile_tokens(spark: SparkSession, path: str, description: str) -> DataFrame:
+    """``id, token`` from long rows kept in one folder per kind: only the asked folder is read."""
+    rows = spark.read.schema("description string, id string, token long").json(path)
+    return rows.filter(F.col("description") == description).select("id", "token")
+
+
 def read_model(spark: SparkSession, path: str, schema: T.StructType = ITEM_MODEL) -> DataFrame:
     """``k1, k2, sim``"""
     one, two = schema.fieldNames()[:2]
