@@ -69,10 +69,12 @@ def hash_value(x: Column, h: Hash) -> Column:
 
 
 def text_number(text: Column, prime: int = SKETCH_PRIME) -> Column:
-    """UTF-8 bytes of ``text`` read as one big-endian integer, modulo ``prime``."""
-    pairs = F.regexp_extract_all(F.hex(F.encode(text, "UTF-8")), F.lit("(..)"), 1)
-    octets = F.transform(pairs, lambda p: F.conv(p, 16, 10).cast("long"))
-    return F.aggregate(octets, F.lit(0).cast("long"), lambda acc, b: (acc * 256 + b) % F.lit(prime))
+    """UTF-8 bytes of ``text`` read as one big-endian integer, modulo ``prime`` (below 2**39)."""
+    # three bytes at a time, from the hex digits filled up on the left
+    digits = F.hex(F.encode(text, "UTF-8"))
+    filled = F.lpad(digits, (F.ceil(F.length(digits) / 6) * 6).cast("int"), F.lit("0"))
+    parts = F.transform(F.regexp_extract_all(filled, F.lit("(.{6})"), 1), lambda p: F.conv(p, 16, 10).cast("long"))
+    return F.aggregate(parts, F.lit(0).cast("long"), lambda acc, v: (F.shiftleft(acc, 24) + v) % F.lit(prime))
 
 
 def trailing_zeros(value: Column) -> Column:

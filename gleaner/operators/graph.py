@@ -18,9 +18,11 @@ ROUNDS = 5
 def cooccur_edges(
     pairs: DataFrame, node: str, shared: str, min_shared: int, max_group: int = pair_operators.MAX_GROUP
 ) -> DataFrame:
-    """``src, dst, n``: nodes that share at least ``min_shared`` values, ``src < dst``."""
-    rows = written(pairs.select(node, shared).distinct(), "adjacency")
-    found = overlaps(rows, node, shared, need=Need(min_shared), max_group=max_group)
+    """``src, dst, n``: nodes that share at least ``min_shared`` values, ``src < dst``.
+
+    ``pairs`` are distinct rows of a table.
+    """
+    found = overlaps(pairs.select(node, shared), node, shared, need=Need(min_shared), max_group=max_group)
     return found.select(F.col("k1").alias("src"), F.col("k2").alias("dst"), "n")
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from gleaner.operators.numbering import ranked
 from gleaner.operators.skew import block_count, skew_join
-from gleaner.session import spread, written
+from gleaner.session import written
 
 MAX_GROUP = 1000
 SUMS = ("n", "sx", "sy", "sxx", "syy", "sxy")
@@ -98,7 +98,8 @@ def overlaps(
     base = rows.select(
         F.col(item).alias("item"), F.col(element).alias("element"), *([F.col(value).alias("x")] if valued else [])
     )
-    base = spread(base, "element")
+    # both sides of the self-join use this one shuffle
+    base = base.repartition(int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")), "element")
     heavy = base.groupBy("element").agg(F.count("*").alias("degree")).filter(F.col("degree") > max_group)
     if heavy.isEmpty():
         sums = _meet(base, base, ["element"], valued).groupBy("k1", "k2").agg(*_sums(valued))

@@ -11,7 +11,7 @@ from gleaner.operators import pairs as pair_operators
 from gleaner.operators.numbering import token_dict
 from gleaner.operators.pairs import Need, overlaps
 from gleaner.operators.similarity import MAX_BUCKET, lsh_candidates, minhash
-from gleaner.operators.skew import skew_join
+from gleaner.operators.skew import hot_keys, skew_join
 from gleaner.session import written
 
 NEIGHBOURS = 3
@@ -24,11 +24,6 @@ def ratings_dedup(reviews: DataFrame) -> DataFrame:
     return reviews.groupBy("user_id", "business_id").agg(latest["stars"].alias("stars"))
 
 
-def _log(reviews: DataFrame) -> DataFrame:
-    """The columns of a review a model needs, read from their source once."""
-    return written(reviews.select("user_id", "business_id", "stars", "date", "review_id"), "log")
-
-
 def _counts(rows: DataFrame, column: str) -> DataFrame:
     return rows.groupBy(column).agg(F.count("*").alias("_n"))
 
@@ -48,19 +43,21 @@ def pearson(
 ) -> DataFrame:
     """``k1, k2, sim`` above 0 for items with at least ``min_common`` common raters.
 
+    ``reviews`` is a table: it is read more than once.
+
     The mean of an item divides its common ratings by all its raters; ``mean="corated"`` divides by the
     common ones.
     """
-    ratings = _ratings(_log(reviews), item, rater, min_common)
+    ratings = _ratings(reviews, item, rater, min_common, hot_keys(reviews, item))
     sums = overlaps(ratings, item, rater, "stars", Need(min_common), max_group)
     return _correlated(sums, ratings, item, mean)
 
 
-def _ratings(log: DataFrame, item: str, rater: str, at_least: int) -> DataFrame:
+def _ratings(reviews: DataFrame, item: str, rater: str, at_least: int, hot: list) -> DataFrame:
     """Latest ratings of items with enough review rows, repeated ratings included."""
-    latest = ratings_dedup(log).select(item, rater, "stars")
-    often = rated_often(log, item, at_least)
-    return written(skew_join(latest, often, item, "left_semi", counts=_counts(log, item)), "ratings")
+    latest = ratings_dedup(reviews).select(item, rater, "stars")
+    often = rated_often(reviews, item, at_least)
+    return written(skew_join(latest, often, item, "left_semi", hot=hot), "ratings")
 
 
 def _correlated(sums: DataFrame, ratings: DataFrame, item: str, mean: str) -> DataFrame:
@@ -84,17 +81,17 @@ def pearson_lsh(
 ) -> DataFrame:
     """``k1, k2, sim`` above 0 over pairs that share a band bucket, ``min_common`` raters and ``min_jaccard``.
 
-    Signatures read the elements with at least ``min_common`` review rows, correlations read all ratings of items
+    ``reviews`` is a table, read more than once. Signatures read the elements with at least ``min_common`` review rows, correlations read all ratings of items
     with that many rows.
     """
-    log = _log(reviews)
-    ratings = _ratings(log, item, rater, min_common)
-    seen = log.select(F.col(item).alias("item"), F.col(rater).alias("element")).distinct()
-    counts = _counts(log, rater).withColumnRenamed(rater, "element")
-    often = counts.filter(F.col("_n") >= min_common)
+    ratings = _ratings(reviews, item, rater, min_common, hot_keys(reviews, item))
+    seen = reviews.select(F.col(item).alias("item"), F.col(rater).alias("element")).distinct()
+    often = rated_often(reviews, rater, min_common).withColumnRenamed(rater, "element")
     # elements are numbered over the whole training table, before rare ones are left out
-    tokens = token_dict(log, rater).select(F.col("id").alias("element"), "token")
-    signed = skew_join(seen, tokens.join(often, "element", "left_semi"), "element", counts=counts)
+    tokens = token_dict(reviews, rater).select(F.col("id").alias("element"), "token")
+    signed = skew_join(
+        seen, tokens.join(often, "element", "left_semi"), "element", hot=hot_keys(reviews, rater)
+    )
     sigs = written(minhash(signed, "item", "token", family), "sigs")
     rows = ratings.select(F.col(item).alias("item"), F.col(rater).alias("element"))
     sigs = sigs.join(rows.select("item").distinct(), "item", "left_semi")
@@ -130,29 +127,31 @@ def both_ways(model: DataFrame) -> DataFrame:
     )
 
 
-def _neighbours(test: DataFrame, history: DataFrame, model: DataFrame) -> DataFrame:
+def _neighbours(test: DataFrame, history: DataFrame, model: DataFrame, hot: tuple[list, list]) -> DataFrame:
     """``owner, target, near, sim`` and the other columns of ``history``: the rated neighbours of each test pair.
 
     ``test`` is distinct ``owner, target``, ``history`` has ``owner, near``. A pair is resolved through the
-    shorter of two lists: the history of its owner or the model row of its target.
+    shorter of two lists: the history of its owner or the model row of its target. ``hot`` lists the hot owners
+    and the hot targets of ``test``.
     """
+    hot_owners, hot_targets = hot
     oriented = written(both_ways(model), "model")
     listed = history.groupBy("owner").agg(F.count("*").alias("listed"))
     degree = oriented.groupBy("target").agg(F.count("*").alias("degree"))
     # no history or no model row: nothing to weigh
-    routed = skew_join(test, listed, "owner", counts=_counts(test, "owner"))
-    routed = written(skew_join(routed, degree, "target", counts=_counts(test, "target")), "routed")
+    routed = skew_join(skew_join(test, listed, "owner", hot=hot_owners), degree, "target", hot=hot_targets)
+    routed = written(routed, "routed")
     short_history = routed.filter(F.col("listed") <= F.col("degree")).select("owner", "target")
     short_model = routed.filter(F.col("listed") > F.col("degree")).select("owner", "target")
     # an active owner repeats its history, a popular target its model row: both are spread
-    by_history = skew_join(short_history, history, "owner").join(oriented, ["target", "near"])
-    by_model = skew_join(short_model, oriented, "target").join(history, ["owner", "near"])
+    by_history = skew_join(short_history, history, "owner", hot=hot_owners).join(oriented, ["target", "near"])
+    by_model = skew_join(short_model, oriented, "target", hot=hot_targets).join(history, ["owner", "near"])
     return by_history.unionByName(by_model)
 
 
-def _fallback(found: DataFrame, asked: DataFrame, avgs: DataFrame, overall: DataFrame, column: str) -> DataFrame:
+def _fallback(found: DataFrame, avgs: DataFrame, overall: DataFrame, column: str, hot: list) -> DataFrame:
     """Add ``avg`` of ``column`` or the overall average, and whether the id is unknown."""
-    joined = skew_join(found, avgs.withColumnRenamed("id", column), column, "left", counts=_counts(asked, column))
+    joined = skew_join(found, avgs.withColumnRenamed("id", column), column, "left", hot=hot)
     known = F.col("avg").isNotNull()
     return joined.withColumns({
         "cold_start": ~known,
@@ -175,7 +174,8 @@ def predict_item(
     pairs = written(test.select("user_id", "business_id").distinct(), "asked")
     history = train.select(F.col("user_id").alias("owner"), F.col("business_id").alias("near"), "stars").distinct()
     asked = pairs.select(F.col("user_id").alias("owner"), F.col("business_id").alias("target"))
-    near = _neighbours(asked, history, model)
+    hot_users, hot_items = hot_keys(pairs, "user_id"), hot_keys(pairs, "business_id")
+    near = _neighbours(asked, history, model, (hot_users, hot_items))
     best = Window.partitionBy("owner", "target").orderBy(F.desc("sim"), "near", "stars")
     chosen = near.withColumn("_place", F.row_number().over(best)).filter(F.col("_place") <= n)
     weighed = chosen.groupBy("owner", "target").agg(
@@ -183,7 +183,7 @@ def predict_item(
     )
     found = pairs.join(weighed.withColumnsRenamed({"owner": "user_id", "target": "business_id"}),
                        ["user_id", "business_id"], "left")
-    whole = _fallback(found, pairs, avgs, overall, "business_id")
+    whole = _fallback(found, avgs, overall, "business_id", hot_items)
     stars = _weighted(F.col("top"), F.col("weight"), F.col("avg"))
     return whole.select("user_id", "business_id", stars.alias("stars"), "cold_start")
 
@@ -198,20 +198,19 @@ def predict_user(
     """
     rated = train.select(F.col("business_id").alias("owner"), F.col("user_id").alias("near"), "stars").distinct()
     near_avgs = avgs.withColumnsRenamed({"id": "near", "avg": "near_avg"})
-    rated = written(skew_join(rated, near_avgs, "near", counts=_counts(rated, "near")), "rated")
-    pairs = skew_join(
-        test.select("user_id", "business_id").distinct(), rated.select(F.col("owner").alias("business_id")).distinct(),
-        "business_id", "left_semi",
-    )
-    pairs = written(pairs, "asked")
+    rated = written(skew_join(rated, near_avgs, "near", hot=hot_keys(train, "user_id")), "rated")
+    pairs = written(test.select("user_id", "business_id").distinct(), "asked")
+    hot_users, hot_items = hot_keys(pairs, "user_id"), hot_keys(pairs, "business_id")
+    known = rated.select(F.col("owner").alias("business_id")).distinct()
+    pairs = skew_join(pairs, known, "business_id", "left_semi", hot=hot_items)
     asked = pairs.select(F.col("business_id").alias("owner"), F.col("user_id").alias("target"))
-    near = _neighbours(asked, rated, model)
+    near = _neighbours(asked, rated, model, (hot_items, hot_users))
     weighed = near.groupBy("owner", "target").agg(
         F.sum((F.col("stars") - F.col("near_avg")) * F.col("sim")).alias("top"), F.sum(F.abs("sim")).alias("weight")
     )
     found = pairs.join(weighed.withColumnsRenamed({"owner": "business_id", "target": "user_id"}),
                        ["user_id", "business_id"], "left")
-    whole = _fallback(found, pairs, avgs, overall, "user_id")
+    whole = _fallback(found, avgs, overall, "user_id", hot_users)
     stars = _weighted(F.col("top"), F.col("weight"), F.col("avg"), F.col("avg"))
     return whole.select("user_id", "business_id", stars.alias("stars"), "cold_start")
 

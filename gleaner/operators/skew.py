@@ -10,18 +10,19 @@ HOT_ROWS = 1_000_000  # rows of one key a single task may take
 MAX_HOT_KEYS = 10_000  # any key beyond these holds less than 1/10,000 of the rows
 
 
-def hot_keys(rows: DataFrame | None, keys: list[str], limit: int = HOT_ROWS, counts: DataFrame | None = None) -> list:
-    """Keys with more than ``limit`` rows and how many pieces to split each into.
+def hot_keys(rows: DataFrame | None, keys: str | list[str], limit: int = HOT_ROWS, counts: DataFrame | None = None) -> list:
+    """Keys with more than ``limit`` rows, each with the number of pieces to split it into.
 
-    The count is a map-side combined aggregation; the answer has at most
-    ``MAX_HOT_KEYS`` rows whatever the data, so it may go to the driver and be broadcast.
+    The count is a map-side combined aggregation (or given as ``counts``: the keys and ``_n``). The answer has
+    at most ``MAX_HOT_KEYS`` rows whatever the data, so it may go to the driver and be broadcast.
     """
+    keys = [keys] if isinstance(keys, str) else list(keys)
     if counts is None:
         counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
-    counts = counts.filter(F.col("_n") > limit)
     # the pieces of all keys together are at most one per ``limit`` rows of the data, and one per key
     pieces = F.ceil(F.col("_n") / limit).cast("int")
-    return counts.orderBy(F.desc("_n")).limit(MAX_HOT_KEYS).select(*keys, pieces.alias("_pieces")).collect()
+    hot = counts.filter(F.col("_n") > limit).orderBy(F.desc("_n")).limit(MAX_HOT_KEYS)
+    return hot.select(*keys, pieces.alias("_pieces")).collect()
 
 
 def skew_join(
@@ -31,19 +32,23 @@ def skew_join(
     how: str = "inner",
     limit: int = HOT_ROWS,
     counts: DataFrame | None = None,
+    hot: list | None = None,
 ) -> DataFrame:
     """``big.join(small, keys, how)`` with hot keys of ``big`` spread over several tasks.
 
     Every hot key is cut into pieces by a hash of its other columns and the matching rows of
-    ``small`` are repeated once per piece, so all rows still meet. ``counts`` gives the row count of each key
-    (column ``_n``) where the caller has it already. Without hot keys this is the plain join.
+    ``small`` are repeated once per piece, so all rows still meet. The hot keys are looked up in ``big``, or in
+    ``counts``, or taken from ``hot``, an earlier answer of ``hot_keys`` for the same key values: which keys are
+    split decides how the work is spread, never the result. Without hot keys this is the plain join.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    hot = hot_keys(big, keys, limit, counts)
+    if hot is None:
+        hot = hot_keys(big, keys, limit, counts)
     if not hot:
         return big.join(small, keys, how)
-    fields = [big.schema[k] for k in keys] + [T.StructField("_pieces", T.IntegerType())]
-    pieces = F.broadcast(big.sparkSession.createDataFrame(hot, T.StructType(fields)))  # <= MAX_HOT_KEYS rows
+    fields = [T.StructField(k, big.schema[k].dataType) for k in keys] + [T.StructField("_pieces", T.IntegerType())]
+    rows = [tuple(h) for h in hot]
+    pieces = F.broadcast(big.sparkSession.createDataFrame(rows, T.StructType(fields)))  # <= MAX_HOT_KEYS rows
     spread = F.coalesce(F.col("_pieces"), F.lit(1))
     others = [c for c in big.columns if c not in keys] or keys
     left = (

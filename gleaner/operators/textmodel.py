@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gleaner.functions import text as text_functions
 from gleaner.functions.similarity import set_cosine
 from gleaner.operators.skew import skew_join
-from gleaner.session import spread, written
+from gleaner.session import written
 
 PROFILE_WORDS = 200
 TOP_WORDS = 30
@@ -46,7 +46,7 @@ def tf(texts: DataFrame, key: str, stopwords: list[str], min_len: int = 4, min_c
 
 def _word_counts(texts: DataFrame, key: str, listed: Column | None = None) -> DataFrame:
     """``key, word, n``, written out: the text is read and split once."""
-    found = spread(texts.select(key, "text")).select(
+    found = texts.select(
         key, F.explode(text_functions.words(F.lower("text"))).alias("word")
     )
     kept = found if listed is None else found.filter(listed)
@@ -64,7 +64,7 @@ def document_tf(texts: DataFrame, key: str, stopwords: list[str]) -> DataFrame:
 
 def doc_top_words(texts: DataFrame, key: str, stopwords: list[str], k: int) -> DataFrame:
     """``key, word, n``: the ``k`` most frequent words of each text, ties by word."""
-    found = spread(texts.select(key, "text")).select(
+    found = texts.select(
         key, F.explode(text_functions.words(F.lower("text"))).alias("word")
     )
     listed = found.filter(~F.col("word").isin(stopwords) & ~F.col("word").rlike(text_functions.NUMBER))

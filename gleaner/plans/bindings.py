@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.session import table
+from gleaner.session import spread, table
 
 # Words that do not count.
 STOPWORDS = "the a an and or of to in is with by for that as on it un la le les de et en".split()
@@ -60,8 +60,15 @@ def business(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def texts(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select(
+    """Texts with their user and business; one small file is spread over the cores before it is split into words."""
+    return spread(table(spark, sf, "documents").select(
         "doc_id", (F.col("doc_id") % 50).alias("user_id"), F.col("source").alias("business_id"), "text"
+    ))
+
+
+def visits(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "documents").select(
+        (F.col("doc_id") % 50).alias("user_id"), F.col("source").alias("business_id")
     )
 
 

@@ -130,7 +130,7 @@ def _tf(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _n_business(spark: SparkSession, sf: str) -> int:
-    return b.texts(spark, sf).select("business_id").distinct().count()
+    return b.visits(spark, sf).select("business_id").distinct().count()
 
 
 def _profile(spark: SparkSession, sf: str) -> DataFrame:
@@ -167,18 +167,18 @@ def q_doc_top_words(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_user_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return textmodel.user_profile(b.texts(spark, sf), _profile(spark, sf))
+    return textmodel.user_profile(b.visits(spark, sf), _profile(spark, sf))
 
 
 def q_profile_model(spark: SparkSession, sf: str) -> DataFrame:
     profile = _profile(spark, sf)
-    users = textmodel.user_profile(b.texts(spark, sf), profile)
+    users = textmodel.user_profile(b.visits(spark, sf), profile)
     return textmodel.profile_model(profile, users, numbering.token_dict(profile, "word"))
 
 
 def _content(spark: SparkSession, sf: str) -> DataFrame:
     profile = _profile(spark, sf)
-    users = written(textmodel.user_profile(b.texts(spark, sf), profile), "users")
+    users = written(textmodel.user_profile(b.visits(spark, sf), profile), "users")
     return textmodel.content_predict(b.asked(spark, sf), users, profile)
 
 
@@ -222,7 +222,8 @@ def _jaccard_lsh(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _jaccard_exact(spark: SparkSession, sf: str) -> DataFrame:
-    return similarity.jaccard_join(b.reviews(spark, sf), "business_id", "user_id", b.MIN_JACCARD)
+    rows = written(b.reviews(spark, sf).select("business_id", "user_id").distinct(), "reviews")
+    return similarity.jaccard_join(rows, "business_id", "user_id", b.MIN_JACCARD)
 
 
 def q_jaccard_lsh(spark: SparkSession, sf: str) -> DataFrame:
@@ -247,13 +248,17 @@ def q_ratings_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return recommend.ratings_dedup(b.reviews(spark, sf))
 
 
+def _train(spark: SparkSession, sf: str) -> DataFrame:
+    return written(b.train(spark, sf), "train")
+
+
 def _item_model(spark: SparkSession, sf: str) -> DataFrame:
-    return recommend.pearson(b.train(spark, sf), "business_id", "user_id")
+    return recommend.pearson(_train(spark, sf), "business_id", "user_id")
 
 
 def _user_model(spark: SparkSession, sf: str) -> DataFrame:
     family = minhash_family(b.SIM_HASHES, USER_MINHASH_BUCKETS)
-    return recommend.pearson_lsh(b.train(spark, sf), "user_id", "business_id", family, b.SIM_BANDS)
+    return recommend.pearson_lsh(_train(spark, sf), "user_id", "business_id", family, b.SIM_BANDS)
 
 
 def q_pearson_item(spark: SparkSession, sf: str) -> DataFrame:
@@ -261,7 +266,7 @@ def q_pearson_item(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_pearson_item_corated(spark: SparkSession, sf: str) -> DataFrame:
-    found = recommend.pearson(b.train(spark, sf), "business_id", "user_id", mean="corated")
+    found = recommend.pearson(_train(spark, sf), "business_id", "user_id", mean="corated")
     return _rounded(found, "sim")
 
 
@@ -270,7 +275,7 @@ def q_pearson_user(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_cf_item_predict(spark: SparkSession, sf: str) -> DataFrame:
-    train = written(b.train(spark, sf), "train")
+    train = _train(spark, sf)
     model = recommend.pearson(train, "business_id", "user_id")
     found = recommend.predict_item(
         b.test(spark, sf), train, model, recommend.averages(train, "business_id"), recommend.overall_average(train)
@@ -279,7 +284,7 @@ def q_cf_item_predict(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_cf_user_predict(spark: SparkSession, sf: str) -> DataFrame:
-    train = written(b.train(spark, sf), "train")
+    train = _train(spark, sf)
     family = minhash_family(b.SIM_HASHES, USER_MINHASH_BUCKETS)
     model = recommend.pearson_lsh(train, "user_id", "business_id", family, b.SIM_BANDS)
     found = recommend.predict_user(

@@ -24,6 +24,8 @@ def tune(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    # small tables keep as many pieces as there are cores; large ones go by the advisory size
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64KB")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     # a skewed join may be split even where the next step then needs its own shuffle
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
@@ -58,10 +60,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores where a small source comes in fewer pieces than there are cores.
+def spread(rows: DataFrame) -> DataFrame:
+    """Use all cores where a source scan comes in fewer pieces than there are cores.
 
-    Large sources have more pieces than cores and are left as they are: no extra shuffle at scale.
+    For scans only. Large sources have more pieces than cores and are left as they are: no shuffle of raw
+    text at scale.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores, *keys) if rows.rdd.getNumPartitions() < cores else rows
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

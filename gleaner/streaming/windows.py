@@ -34,8 +34,10 @@ def fm_windows(
     if watermark is not None:
         timed = timed.withWatermark(ts, watermark)
     known = timed.filter(F.col(column).isNotNull() & (F.col(column) != ""))
-    values = known.groupBy(F.window(ts, window, slide).alias("window"), column).agg(F.count("*").alias("_seen"))
-    tails = values.withColumn("_x", text_number(F.col(column))).select("window", *fm_tails("_x", hashes, m, seed))
+    # the number of a value is found per input row, before rows are repeated for each window
+    numbered = known.select(ts, column, text_number(F.col(column)).alias("_x"))
+    values = numbered.groupBy(F.window(ts, window, slide).alias("window"), column, "_x").agg(F.count("*").alias("_seen"))
+    tails = values.select("window", *fm_tails("_x", hashes, m, seed))
     counted = tails.groupBy("window").agg(
         F.count("*").alias("exact"), *[F.max(f"r{i}").alias(f"r{i}") for i in range(hashes)]
     )
