@@ -172,14 +172,15 @@ def frequent_itemsets(
     """``items, size, support`` of all sets in at least ``support`` baskets (more than, if ``strict``).
 
     ``rows`` are distinct ``basket_id, item``. ``levelwise``, ``pcy`` (bucket counts drop occurrences before
-    they are counted), ``son`` (two passes over chunks) and ``fpgrowth`` give the same answer.
+    they are counted), ``son`` (two passes over chunks) and ``fpgrowth`` give the same answer; ``fpgrowth`` holds
+    a basket as one list and gives way to ``levelwise`` where baskets over ``large`` items remain.
     """
     rows = rows.select("basket_id", "item")
     least = support + 1 if strict else support
     ordinary, aside, n_aside = _set_aside(rows, least, large)
     threshold = least - n_aside
 
-    if method == "fpgrowth":
+    if method == "fpgrowth" and _largest(ordinary) <= large:
         found = _fpgrowth(ordinary, threshold, max_k)
     else:
         keep = lambda counts: counts.filter(F.col("support") >= threshold)
@@ -200,11 +201,16 @@ def frequent_itemsets(
     return _shaped(_with_aside(found, aside, least))
 
 
+def _largest(rows: DataFrame) -> int:
+    size = rows.groupBy("basket_id").agg(F.count("*").alias("n"))
+    return size.agg(F.max("n")).first()[0] or 0
+
+
 def _fpgrowth(rows: DataFrame, threshold: int, max_k: int | None) -> DataFrame:
+    """Sets by prefix trees; used only where every basket is small, as it needs each basket as one list."""
     from pyspark.ml.fpm import FPGrowth
 
     n = rows.select("basket_id").distinct().count()
-    # baskets here have at most LARGE_BASKET items, unless more than support - 1 baskets are larger
     lists = rows.groupBy("basket_id").agg(F.collect_set("item").alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=max(threshold - 0.5, 0.5) / max(n, 1)).fit(lists)
     found = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").alias("support"))

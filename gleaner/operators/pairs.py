@@ -99,7 +99,7 @@ def overlaps(
         F.col(item).alias("item"), F.col(element).alias("element"), *([F.col(value).alias("x")] if valued else [])
     )
     # both sides of the self-join use this one shuffle
-    base = base.repartition(int(base.sparkSession.conf.get("spark.sql.shuffle.partitions")), "element")
+    base = base.repartition("element")
     heavy = base.groupBy("element").agg(F.count("*").alias("degree")).filter(F.col("degree") > max_group)
     if heavy.isEmpty():
         sums = _meet(base, base, ["element"], valued).groupBy("k1", "k2").agg(*_sums(valued))

@@ -81,8 +81,8 @@ def pearson_lsh(
 ) -> DataFrame:
     """``k1, k2, sim`` above 0 over pairs that share a band bucket, ``min_common`` raters and ``min_jaccard``.
 
-    ``reviews`` is a table, read more than once. Signatures read the elements with at least ``min_common`` review rows, correlations read all ratings of items
-    with that many rows.
+    ``reviews`` is a table, read more than once. Signatures read the elements with at least ``min_common`` review
+    rows, correlations read all ratings of items with that many rows.
     """
     ratings = _ratings(reviews, item, rater, min_common, hot_keys(reviews, item))
     seen = reviews.select(F.col(item).alias("item"), F.col(rater).alias("element")).distinct()

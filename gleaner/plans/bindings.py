@@ -50,12 +50,12 @@ def test(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def business(spark: SparkSession, sf: str) -> DataFrame:
-    key = F.col("p_partkey")
+    size = F.col("p_size")
     listed = F.concat("p_type", F.lit(", "), F.replace("p_name", F.lit(" "), F.lit(", ")))
     return table(spark, sf, "part").select(
-        key.alias("business_id"),
-        F.when(key % 10 == 0, F.lit(None)).when(key % 10 == 1, "").otherwise(listed).alias("categories"),
-        F.when(key % 7 == 0, F.lit(None)).otherwise(F.col("p_brand")).alias("state"),
+        F.col("p_partkey").alias("business_id"),
+        F.when(size <= 5, F.lit(None)).when(size <= 10, "").otherwise(listed).alias("categories"),
+        F.when(size >= 44, F.lit(None)).otherwise(F.col("p_brand")).alias("state"),
     )
 
 
@@ -89,19 +89,22 @@ def bloom_build(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bloom_asked(spark: SparkSession, sf: str) -> DataFrame:
-    key = F.col("c_custkey")
-    return table(spark, sf, "customer").select("c_custkey", F.when(key % 50 != 0, F.col("c_name")).alias("c_name"))
+    """All customers; those in debt are asked for without a name."""
+    named = F.when(F.col("c_acctbal") >= 0, F.col("c_name"))
+    return table(spark, sf, "customer").select("c_custkey", named.alias("c_name"))
 
 
 def cities(events: DataFrame) -> DataFrame:
-    named = F.when(F.col("event_id") % 25 != 0, F.concat(F.lit("u"), F.col("user_id").cast("string")))
+    """Every event with its city; errors have none."""
+    named = F.when(F.col("event_type") != "error", F.concat(F.lit("u"), F.col("user_id").cast("string")))
     return events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), named.alias("city"))
 
 
 def messages(events: DataFrame) -> DataFrame:
+    """Every event as a message; views carry no tags."""
     tags = F.array(F.concat(F.lit("k"), F.get_json_object("props", "$.k")), F.col("event_type"))
     none = F.array().cast("array<string>")
-    return events.select("event_id", F.when(F.col("event_id") % 3 == 0, tags).otherwise(none).alias("tags"))
+    return events.select("event_id", F.when(F.col("event_type") != "view", tags).otherwise(none).alias("tags"))
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:

@@ -40,9 +40,9 @@ test AS (SELECT DISTINCT user_id, business_id FROM reviews WHERE date >= TIMESTA
 
 BUSINESS = """business AS (
   SELECT p_partkey AS business_id,
-         CASE WHEN p_partkey % 10 = 0 THEN NULL WHEN p_partkey % 10 = 1 THEN ''
+         CASE WHEN p_size <= 5 THEN NULL WHEN p_size <= 10 THEN ''
               ELSE p_type || ', ' || replace(p_name, ' ', ', ') END AS categories,
-         CASE WHEN p_partkey % 7 = 0 THEN NULL ELSE p_brand END AS state
+         CASE WHEN p_size >= 44 THEN NULL ELSE p_brand END AS state
   FROM part)"""
 
 CATEGORIES = """categories AS (
@@ -302,14 +302,14 @@ bits AS (SELECT DISTINCT CAST(((a * {_text_number("c_name")} + c) % {SKETCH_PRIM
          FROM customer, family WHERE c_mktsegment = 'BUILDING' AND c_name <> '')"""
 
 BLOOM_PROBE = f"""WITH {BLOOM},
-asked AS (SELECT c_custkey, CASE WHEN c_custkey % 50 <> 0 THEN c_name END AS c_name FROM customer),
+asked AS (SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_name END AS c_name FROM customer),
 hits AS (SELECT c_custkey, count(*) AS hit FROM (
     SELECT c_custkey, CAST(((a * {_text_number("c_name")} + c) % {SKETCH_PRIME}) % {BLOOM_BITS} AS BIGINT) AS pos
     FROM asked, family WHERE c_name <> '') JOIN bits USING (pos) GROUP BY 1)
 SELECT c_custkey, c_name, CASE WHEN c_name IS NOT NULL AND hit = {BLOOM_HASHES} THEN 1 ELSE 0 END AS flag
 FROM asked LEFT JOIN hits USING (c_custkey)"""
 
-CITIES = "cities AS (SELECT ts, CASE WHEN event_id % 25 <> 0 THEN 'u' || user_id END AS city FROM events)"
+CITIES = "cities AS (SELECT ts, CASE WHEN event_type <> 'error' THEN 'u' || user_id END AS city FROM events)"
 
 
 def _fm(source: str, group: str, having: str = "TRUE") -> str:
@@ -336,7 +336,7 @@ CLOSED = """window_start IN (SELECT DISTINCT window_start FROM named
 
 _PRIORITY = sketch_family(1, SKETCH_PRIME)[0]
 SAMPLE = f"""messages AS (
-  SELECT event_id, ['k' || json_extract_string(props, '$.k'), event_type] AS tags FROM events WHERE event_id % 3 = 0),
+  SELECT event_id, ['k' || json_extract_string(props, '$.k'), event_type] AS tags FROM events WHERE event_type <> 'view'),
 sample AS (SELECT * FROM messages
            ORDER BY ({_PRIORITY.a}::HUGEINT * event_id + {_PRIORITY.c}) % {SKETCH_PRIME}, event_id LIMIT {SAMPLE_SIZE})"""
 
@@ -397,9 +397,12 @@ def oracle_sql() -> dict[str, str]:
             FROM (SELECT DISTINCT user_id FROM reviews)""",
         "q_minhash": f"""WITH {SETS}, {_signatures("coded", 42949)}
             SELECT item, string_agg(h, ' ' ORDER BY i) AS sig FROM mins GROUP BY item""",
-        "q_lsh_candidates": f"""WITH {SETS}, {_signatures("coded", 42949)}, {_bands(b.SIM_HASHES, b.SIM_BANDS)}
+        "q_lsh_buckets": f"""WITH {SETS}, {_signatures("coded", 42949)}, {_bands(b.SIM_HASHES, b.SIM_BANDS)}
             SELECT band, key, item, members FROM (
               SELECT band, key, item, count(*) OVER (PARTITION BY band, key) AS members FROM bands) WHERE members > 1""",
+        "q_lsh_candidates": f"""WITH {SETS}, {_signatures("coded", 42949)}, {_bands(b.SIM_HASHES, b.SIM_BANDS)}
+            SELECT DISTINCT x.item AS k1, y.item AS k2 FROM bands x JOIN bands y
+            ON x.band = y.band AND x.key = y.key AND x.item < y.item""",
         "q_jaccard_lsh": f"WITH {LSH} SELECT k1, k2, round(sim, 6) AS sim FROM lsh",
         "q_jaccard_exact": f"WITH {EXACT} SELECT k1, k2, round(sim, 6) AS sim FROM exact",
         "q_lsh_recall": f"""WITH {LSH} SELECT (SELECT count(*) FROM lsh) AS found, (SELECT count(*) FROM exact) AS known,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions.hashing import USER_MINHASH_BUCKETS, minhash_family
 from gleaner.operators import graph, itemsets, numbering, recommend, reviews, similarity, sketch, textmodel
+from gleaner.operators.pairs import Need
 from gleaner.plans import bindings as b
 from gleaner.session import scratch_path, tune, written
 from gleaner.streaming import windows
@@ -210,11 +211,18 @@ def q_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return sigs.select("item", F.array_join("sig", " ").alias("sig"))
 
 
-def q_lsh_candidates(spark: SparkSession, sf: str) -> DataFrame:
+def q_lsh_buckets(spark: SparkSession, sf: str) -> DataFrame:
     sigs = similarity.minhash(_coded(spark, sf), "business_id", "token", minhash_family(b.SIM_HASHES))
     return similarity.lsh_buckets(sigs, b.SIM_BANDS).withColumn("key", F.array_join("key", " "))
 
 
+def q_lsh_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    coded = _coded(spark, sf)
+    sigs = similarity.minhash(coded, "business_id", "token", minhash_family(b.SIM_HASHES))
+    rows = coded.select(F.col("business_id").alias("item"), F.col("user_id").alias("element"))
+    return similarity.lsh_candidates(rows, sigs, b.SIM_BANDS, Need(1, b.MIN_JACCARD))
+
+
 def _jaccard_lsh(spark: SparkSession, sf: str) -> DataFrame:
     return similarity.jaccard_lsh(
         _coded(spark, sf), "business_id", "user_id", "token", minhash_family(b.SIM_HASHES), b.SIM_BANDS, b.MIN_JACCARD

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gleaner.functions.hashing import SEED
-from gleaner.operators.sketch import SAMPLE_SIZE, reservoir
+from gleaner.operators.sketch import SAMPLE_SIZE, reservoir, tag_counts
 
 
 def tagged(messages: DataFrame, tags: str = "tags") -> DataFrame:
@@ -58,6 +58,11 @@ def keep_sample(
     return writer.start()
 
 
+def show_tags(sample: DataFrame, epoch: int) -> None:
+    """Live tag table for ``on_sample``: the counts over the sample, recounted after every batch."""
+    tag_counts(sample).show(truncate=False)
+
+
 def last_sample(spark: SparkSession, query: StreamingQuery, base: str, schema) -> DataFrame:
     """The sample after the last finished micro-batch of ``query``."""
     done = query.lastProgress
