@@ -3,10 +3,10 @@
 A basket is kept as rows, never as one list. Itemsets grow level by level: an occurrence of a frequent
 set in a basket is extended by later frequent items of that basket.
 
-Very large baskets would list a power of their size. There are few of them and each adds at
-most one to any support, so up to ``support - 1`` of the largest are set aside: with ``h``
-baskets aside, a frequent set has support of at least ``support - h`` in the rest. Sets are mined there
-at that lower threshold and counted again, exactly, in the baskets set aside.
+Very large baskets would list a power of their size. There are few of them and each adds at most one to any
+support, so baskets above a size limit are set aside, at most half the support in number: with ``h`` baskets
+aside, a frequent set has support of at least ``support - h`` in the rest. Sets are mined there at that lower
+threshold and counted again, exactly, in the baskets set aside.
 """
 
 from __future__ import annotations
@@ -23,7 +23,6 @@ from gleaner.operators.skew import skew_join
 from gleaner.session import written
 
 LARGE_BASKET = 200  # items; larger baskets are set aside
-MAX_ASIDE = 10_000
 
 
 def baskets(pairs: DataFrame, key: str, item: str, min_size: int = 1) -> DataFrame:
@@ -55,18 +54,20 @@ def support_count(rows: DataFrame, fraction: float) -> int:
 
 
 def _set_aside(rows: DataFrame, support: int, large: int) -> tuple[DataFrame, DataFrame | None, int]:
-    """Ordinary rows, rows of the baskets set aside and how many baskets those are."""
-    most = min(support - 1, MAX_ASIDE)
-    if most < 1:
-        return rows, None, 0
-    size = rows.groupBy("basket_id").agg(F.count("*").alias("_size")).filter(F.col("_size") > large)
-    size = size.orderBy(F.desc("_size"), "basket_id").limit(most)
-    ids = size.select("basket_id").collect()  # at most MAX_ASIDE rows
-    if not ids:
+    """Ordinary rows, rows of the baskets set aside and how many baskets those are.
+
+    The size limit starts at ``large`` and doubles until at most half the support lies above it.
+    """
+    size = written(rows.groupBy("basket_id").agg(F.count("*").alias("_n")), "basket-sizes")
+    limits = [large << j for j in range(40)]
+    above = size.agg(*[F.count_if(F.col("_n") > limit) for limit in limits]).first()
+    limit, n_aside = next((t, n) for t, n in zip(limits, above) if n <= support // 2)
+    if n_aside == 0:
         return rows, None, 0
-    aside = rows.sparkSession.createDataFrame(ids, rows.select("basket_id").schema)
-    aside = F.broadcast(aside)  # at most MAX_ASIDE rows
-    return rows.join(aside, "basket_id", "left_anti"), rows.join(aside, "basket_id", "left_semi"), len(ids)
+    over = size.filter(F.col("_n") > limit).select("basket_id")
+    aside = skew_join(rows, over, "basket_id", "left_semi", counts=size)
+    ordinary = skew_join(rows, over, "basket_id", "left_anti", counts=size)
+    return written(ordinary, "ordinary"), written(aside, "aside"), n_aside
 
 
 def _grow(
@@ -168,12 +169,14 @@ def frequent_itemsets(
     buckets: int = 1000,
     chunks: int = 4,
     large: int = LARGE_BASKET,
+    candidates: DataFrame | None = None,
 ) -> DataFrame:
     """``items, size, support`` of all sets in at least ``support`` baskets (more than, if ``strict``).
 
     ``rows`` are distinct ``basket_id, item``. ``levelwise``, ``pcy`` (bucket counts drop occurrences before
     they are counted), ``son`` (two passes over chunks) and ``fpgrowth`` give the same answer; ``fpgrowth`` holds
-    a basket as one list and gives way to ``levelwise`` where baskets over ``large`` items remain.
+    a basket as one list and gives way to ``levelwise`` where baskets over ``large`` items remain. ``candidates``
+    (``items``) is the first pass of ``son``, if it is there already.
     """
     rows = rows.select("basket_id", "item")
     least = support + 1 if strict else support
@@ -189,10 +192,11 @@ def frequent_itemsets(
             tokens = written(token_dict(ordinary, "item"), "tokens")
             prune = lambda found, places: _bucket_prune(found, places, tokens, threshold, buckets)
         elif method == "son":
-            first_pass = _chunk_frequent(ordinary, threshold, chunks, max_k, None)
-            candidates = written(first_pass.select("items").distinct(), "candidates")
+            if candidates is None:
+                first_pass = _chunk_frequent(ordinary, threshold, chunks, max_k, None)
+                candidates = written(first_pass.select("items").distinct(), "candidates")
             keep = lambda counts: counts.filter(F.col("support") >= threshold).join(
-                candidates, "items", "left_semi"
+                candidates.select("items"), "items", "left_semi"
             )
         levels = _grow(ordinary, keep, [], max_k, prune)
         if not levels:

@@ -92,7 +92,7 @@ def pearson_lsh(
     signed = skew_join(
         seen, tokens.join(often, "element", "left_semi"), "element", hot=hot_keys(reviews, rater)
     )
-    sigs = written(minhash(signed, "item", "token", family), "sigs")
+    sigs = minhash(signed, "item", "token", family)
     rows = ratings.select(F.col(item).alias("item"), F.col(rater).alias("element"))
     sigs = sigs.join(rows.select("item").distinct(), "item", "left_semi")
     candidates = written(lsh_candidates(rows, sigs, n_bands, Need(min_common, min_jaccard), max_bucket), "candidates")
@@ -120,6 +120,12 @@ def overall_average(reviews: DataFrame) -> DataFrame:
     return reviews.agg(F.avg("stars").alias("avg"))
 
 
+def split_averages(table: DataFrame, unknown: str = "UNK") -> tuple[DataFrame, DataFrame]:
+    """The averages of known ids and the one-row fallback of a ready ``id, avg`` table."""
+    fallback = table.filter(F.col("id") == unknown).select("avg")
+    return table.filter(F.col("id") != unknown), fallback
+
+
 def both_ways(model: DataFrame) -> DataFrame:
     """``target, near, sim`` in either orientation of a ``k1, k2, sim`` model."""
     return model.select(F.col("k1").alias("target"), F.col("k2").alias("near"), "sim").unionByName(

@@ -53,15 +53,15 @@ def bloom_probe(
 
     The bit vector is one value of fixed size ``m / 8`` bytes; rows are tested where they are, without a shuffle.
     """
+    # one subquery: its answer is found once and reused for every hash
     words = bloom_words(bits, m).scalar()
     probed = values.withColumn("_x", F.when(_present(column), text_number(F.col(column))))
-    hits = None
+    hits = F.col("_x").isNotNull()
     for h in sketch_family(k, m, seed):
         place = hash_value(F.col("_x"), h)
         word = F.get(words, F.shiftright(place, 6).cast("int"))
-        bit = F.getbit(word, place.bitwiseAND(F.lit(63)).cast("int")) == 1
-        hits = bit if hits is None else hits & bit
-    return probed.withColumn("flag", F.when(F.col("_x").isNotNull() & hits, 1).otherwise(0)).drop("_x")
+        hits = hits & (F.getbit(word, place.bitwiseAND(F.lit(63)).cast("int")) == 1)
+    return probed.withColumn("flag", F.when(hits, 1).otherwise(0)).drop("_x")
 
 
 def fm_tails(column: str, hashes: int = FM_HASHES, m: int = FM_BUCKETS, seed: int = SEED) -> list[Column]:

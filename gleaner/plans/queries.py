@@ -119,7 +119,7 @@ def q_itemset_report(spark: SparkSession, sf: str) -> DataFrame:
     support = itemsets.support_count(rows, b.SUPPORT_SHARE)
     chunk = F.pmod("basket_id", F.lit(b.CHUNKS))
     candidates = written(itemsets.itemset_candidates(rows, support, b.CHUNKS, chunk=chunk), "candidates")
-    frequent = written(itemsets.frequent_itemsets(rows, support, method="son", chunks=b.CHUNKS), "frequent")
+    frequent = itemsets.frequent_itemsets(rows, support, method="son", candidates=candidates)
     return itemsets.itemset_report(candidates, frequent)
 
 

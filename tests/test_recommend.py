@@ -110,6 +110,15 @@ def test_item_predictions(spark, train, log):
     assert all(r["cold_start"] == (r["business_id"] == 555) for r in got)
 
 
+def test_ready_averages_with_an_unknown_entry(spark):
+    ready = spark.createDataFrame([("b1", 4.0), ("UNK", 3.5)], "id string, avg double")
+    train = spark.createDataFrame([("u1", "b1", 4.0)], "user_id string, business_id string, stars double")
+    model = spark.createDataFrame([], "k1 string, k2 string, sim double")
+    test = spark.createDataFrame([("u1", "b1"), ("u9", "b9")], "user_id string, business_id string")
+    got = recommend.predict_item(test, train, model, *recommend.split_averages(ready)).collect()
+    assert {r["business_id"]: (r["stars"], r["cold_start"]) for r in got} == {"b1": (4.0, False), "b9": (3.5, True)}
+
+
 def test_user_predictions(spark, train, log):
     family = minhash_family(200, USER_MINHASH_BUCKETS)
     model = recommend.pearson_lsh(train, "user_id", "business_id", family, 100)
