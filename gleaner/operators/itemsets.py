@@ -53,21 +53,27 @@ def support_count(rows: DataFrame, fraction: float) -> int:
     return n.select(F.ceil(F.lit(fraction) * F.col("n")).cast("long")).first()[0]
 
 
-def _set_aside(rows: DataFrame, support: int, large: int) -> tuple[DataFrame, DataFrame | None, int]:
-    """Ordinary rows, rows of the baskets set aside and how many baskets those are.
+def _set_aside(rows: DataFrame, support: int, large: int) -> tuple[DataFrame, DataFrame | None, int, int]:
+    """Ordinary rows, rows of the baskets set aside, how many those are, and the size ordinary baskets keep to.
 
     The size limit starts at ``large`` and doubles until at most half the support lies above it.
     """
-    size = written(rows.groupBy("basket_id").agg(F.count("*").alias("_n")), "basket-sizes")
-    limits = [large << j for j in range(40)]
+    size = rows.groupBy("basket_id").agg(F.count("*").alias("_n"))
+    top = size.agg(F.max("_n")).first()[0] or 0
+    if top <= large:
+        return rows, None, 0, large
+    size = written(size, "basket-sizes")
+    limits = [large]
+    while limits[-1] < top:
+        limits.append(limits[-1] * 2)
     above = size.agg(*[F.count_if(F.col("_n") > limit) for limit in limits]).first()
     limit, n_aside = next((t, n) for t, n in zip(limits, above) if n <= support // 2)
     if n_aside == 0:
-        return rows, None, 0
+        return rows, None, 0, limit
     over = size.filter(F.col("_n") > limit).select("basket_id")
     aside = skew_join(rows, over, "basket_id", "left_semi", counts=size)
     ordinary = skew_join(rows, over, "basket_id", "left_anti", counts=size)
-    return written(ordinary, "ordinary"), written(aside, "aside"), n_aside
+    return written(ordinary, "ordinary"), written(aside, "aside"), n_aside, limit
 
 
 def _grow(
@@ -180,10 +186,10 @@ def frequent_itemsets(
     """
     rows = rows.select("basket_id", "item")
     least = support + 1 if strict else support
-    ordinary, aside, n_aside = _set_aside(rows, least, large)
+    ordinary, aside, n_aside, limit = _set_aside(rows, least, large)
     threshold = least - n_aside
 
-    if method == "fpgrowth" and _largest(ordinary) <= large:
+    if method == "fpgrowth" and limit <= large:
         found = _fpgrowth(ordinary, threshold, max_k)
     else:
         keep = lambda counts: counts.filter(F.col("support") >= threshold)
@@ -205,11 +211,6 @@ def frequent_itemsets(
     return _shaped(_with_aside(found, aside, least))
 
 
-def _largest(rows: DataFrame) -> int:
-    size = rows.groupBy("basket_id").agg(F.count("*").alias("n"))
-    return size.agg(F.max("n")).first()[0] or 0
-
-
 def _fpgrowth(rows: DataFrame, threshold: int, max_k: int | None) -> DataFrame:
     """Sets by prefix trees; used only where every basket is small, as it needs each basket as one list."""
     from pyspark.ml.fpm import FPGrowth
@@ -274,7 +275,7 @@ def itemset_candidates(
     support has that in some chunk, so this contains every frequent set.
     """
     rows = rows.select("basket_id", "item")
-    ordinary, _, n_aside = _set_aside(rows, support, large)
+    ordinary, _, n_aside, _ = _set_aside(rows, support, large)
     found = _chunk_frequent(ordinary, support - n_aside, chunks, max_k, chunk).select("items").distinct()
     return found.select("items", F.size("items").alias("size"))
 
