@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import zlib
+from array import array
 from itertools import chain
 
 import numpy as np
@@ -19,14 +20,24 @@ from gleaner.session import scratch_path
 SHARD_BYTES = 8 << 20
 SHARD_DOCS = 1 << 16
 MARKS = ".,;:!?"
+START, LEADS = "\r", "\r\n"  # mark of the first word of a text; of that and of the first of a line
+WORDS = 800_000  # words remembered per task
+
+
+def _byte_chars() -> dict[str, str]:
+    """The letter that stands for each byte in the words of a byte-level vocabulary: itself if it can be seen, else the
+    next free one from 256 on."""
+    seen = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    unseen = [b for b in range(256) if b not in seen]
+    return {chr(b): chr(b) for b in seen} | {chr(b): chr(256 + k) for k, b in enumerate(unseen)}
 
 
 def _encoder(tokenizer_path: str):
     """A function of a list of texts: the ids of each as little-endian unsigned 32-bit bytes.
 
     The byte-level pattern always ends a piece before a single space or line break between two other characters, so the
-    ids of such a text are those of its words, and every word is encoded once. Texts with any other white space go to
-    the tokenizer whole.
+    ids of such a text are those of its words, and every word is encoded once; words of letters go to the library's
+    merges directly, others through its whole chain. Texts with any other white space go to the tokenizer whole.
     """
     import os
 
@@ -34,54 +45,51 @@ def _encoder(tokenizer_path: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path)
-    memo = Memo()
+    merges, memo = tokenizer.model, Memo(WORDS)
+    byte_chars = str.maketrans(_byte_chars())
 
     def whole(texts: list[str]) -> list[bytes]:
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
+
+    def letters(piece: str) -> bytes:
+        """A piece of letters, maybe after a space, is one word of the model."""
+        word = piece.encode().decode("latin-1").translate(byte_chars)
+        return array("I", [x.id for x in merges.tokenize(word)]).tobytes()
 
     def learn(words: set[str]) -> None:
-        """Words of letters are encoded in one text, where each is a piece of its own."""
-        cores = {w: w[:-1] for w in words if w[-1] in MARKS and w[1:-1].isalpha() and w[0] == " "}
-        plain = {w for w in words if w[0] == " " and w[1:].isalpha()} | (set(cores.values()) - memo.keys())
-        listed = list(plain)
-        if listed:
-            found = tokenizer.encode("".join(listed), add_special_tokens=False)
-            pieces = np.array(found.word_ids)
-            cuts = np.flatnonzero(np.diff(pieces)) + 1
-            if len(cuts) + 1 == len(listed):
-                ids = np.array(found.ids, "<u4").tobytes()
-                ends = [0, *(cuts * 4).tolist(), len(ids)]
-                memo.update((w, ids[a:b]) for w, a, b in zip(listed, ends, ends[1:], strict=False))
+        rest = []
+        for w in words:
+            lead, core = (w[0], w[1:]) if w[0] in LEADS else (" ", w)
+            mark = core[-1:] if core[-1:] in marks else ""
+            letter = core[:-1] if mark else core
+            if letter.isalpha():
+                value = memo.get(letter) if lead == " " and mark else None
+                value = value or letters(" " + letter if lead == " " else letter)
+                memo[w] = (line if lead == "\n" else b"") + value + marks.get(mark, b"")
             else:
-                memo.update(zip(listed, whole(listed), strict=True))
-        for mark in {w[-1] for w in cores} - memo.keys():
-            memo[mark] = whole([mark])[0]
-        memo.update((w, memo[core] + memo[w[-1]]) for w, core in cores.items())
-        rest = [w for w in words if w not in memo]
+                rest.append(w)
         if rest:
-            memo.update(zip(rest, whole(rest), strict=True))
+            memo.update(zip(rest, whole([w[1:] if w[0] == START else w if w[0] == "\n" else " " + w for w in rest]), strict=True))
 
     def pieces(text: str) -> list[str] | None:
-        spaced = text.split(" ")
-        if "\n" in text:
-            flat = text.replace("\n", " ").split(" ")
-            if flat != text.split():
-                return None
-            out = []
-            for k, line in enumerate(text.split("\n")):
-                first, *rest = line.split(" ")
-                out += ["\n", first] if k else [first]
-                out += [" " + w for w in rest]
-            return out
-        if spaced != text.split():
+        """Words of a text; the first of a text and of a line say so by a leading mark."""
+        words = text.replace("\n", " ").split(" ")
+        if words != text.split():
             return None
-        return [spaced[0], *(" " + w for w in spaced[1:])]
+        at = 0
+        for part in text.split("\n"):
+            words[at] = ("\n" if at else START) + words[at]
+            at += part.count(" ") + 1
+        return words
+
+    (line, *listed) = whole(["\n", *MARKS])
+    marks = dict(zip(MARKS, listed, strict=True))
 
     def run(texts: list[str]) -> list[bytes]:
         memo.room()
         cut = [pieces(t) if t else [] for t in texts]
-        unknown = set(chain.from_iterable(x for x in cut if x)) - memo.keys()
+        unknown = set(chain.from_iterable(x for x in cut if x)).difference(memo)
         if unknown:
             learn(unknown)
         odd = iter(whole([t for t, x in zip(texts, cut, strict=True) if x is None]))
