@@ -177,12 +177,21 @@ def _prefix(a: str, b: str) -> str:
     return a[:n]
 
 
+def _packed_lines():
+    import zstandard
+
+    pack = zstandard.ZstdCompressor(level=3).compress
+    return lambda texts: [[pack("\n".join(f"{place}{text}" for place, text in lines(x.decode("utf-8", "replace"))).encode()) for x in texts]]
+
+
 def _texts(batches):
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        pages, shared = batch.column(2).to_pylist(), batch.column(3).to_pylist()
         texts = []
-        for page, gone in zip(pages, shared, strict=True):
-            listed = lines((page or b"").decode("utf-8", "replace"))
+        for packed, gone in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            listed = [(int(x[0]), x[1:]) for x in unpack(packed).decode().split("\n") if x]
             dropped = set(gone or ())
             left = [(place, text) for k, (place, text) in enumerate(listed) if k not in dropped]
             if any(place == ARTICLE for place, _ in listed):  # a page that marks its article: whole, and nothing else
@@ -199,7 +208,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     common subsequence of lines, and the lines both have are deleted. A check against the markup follows: what stands in
     menus, headers, footers, sidebars, notices, adverts, forms or comments goes also when no neighbour has it, and a page
     that marks its article keeps it whole, also lines that a copy repeats. Only line hashes are sorted and aligned; a hot
-    host is many range partitions. Null and empty pages have no text, null urls are one host, a host of one page deletes
+    host is many range partitions. Pages meet their deletions as compressed lines, without markup. Null and empty pages have no text, null urls are one host, a host of one page deletes
     nothing; repeated rows each keep their row.
     """
     source = pages.select(
@@ -218,6 +227,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     of_host = lambda name: F.when(F.col(f"_h{name}") == F.col("_host"), F.col(f"_l{name}"))
     pairs = beside.select("_key", "_lines", "_path", of_host("b").alias("_lb"), "_pb", of_host("a").alias("_la"), "_pa")
     shared = written(pairs.mapInArrow(_shared_lines, "_key long, shared array<int>"), "shared")
-    joined = source.join(shared, "_key", "left").select("_id", "_url", F.col("_html").cast("binary").alias("_html"), "shared")
+    packed = per_text(source, "_html", ["_key", "_id", "_url"], [("_packed", T.BinaryType(), pa.binary())], _packed_lines)
+    joined = packed.join(shared, "_key", "left").select("_id", "_url", "_packed", "shared")
     schema = T.StructType([T.StructField("_id", source.schema["_id"].dataType), *T._parse_datatype_string("_url string, text string, n_chars long").fields])
     return joined.mapInArrow(_texts, schema).select(F.col("_id").alias(id_col), F.col("_url").alias(url_col), "text", "n_chars")
