@@ -82,3 +82,15 @@ class Memo(dict):
 def crc_fold(key: Column, folds: int = 3) -> Column:
     """Fold of a row: crc32 of the key as text, modulo ``folds`` (null keys: fold 0)."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % folds, F.lit(0).cast("bigint"))
+
+
+def first_by_hash(rows: DataFrame, limit: int, *keys: str) -> DataFrame:
+    """The ``limit`` rows that come first by a hash of the keys.
+
+    A share of the hash range that holds about three times as many is cut out first, so what is sorted stays that small at
+    any size.
+    """
+    n = max(rows.count(), 1)
+    place = F.shiftrightunsigned(F.xxhash64(*keys), 11) / float(1 << 53)
+    near = rows.filter(place < (3 * limit + 100) / n) if n > 3 * limit + 100 else rows
+    return near.orderBy(F.xxhash64(*keys), *keys).limit(limit)

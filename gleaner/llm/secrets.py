@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.llm import spans as S
+from gleaner.llm.common import first_by_hash
 from gleaner.session import written
 
 KINDS = ("assign", "access", "hex")
@@ -48,8 +49,8 @@ def fit(
     """
     tail = F.regexp_replace("s.value", KEY_PART, "")
     known = rows.select(F.explode(F.concat(*KINDS)).alias("s")).select(F.lower(tail).alias("w")).distinct()
-    known = known.orderBy(F.xxhash64("w"), "w").limit(sample_secrets)
-    ids = docs.select(F.col(id_col).alias("_id")).filter("_id is not null").distinct().orderBy(F.xxhash64("_id"), "_id").limit(sample_docs)
+    known = first_by_hash(known, sample_secrets, "w")
+    ids = first_by_hash(docs.select(F.col(id_col).alias("_id")).filter("_id is not null").distinct(), sample_docs, "_id")
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_t")).join(F.broadcast(ids), "_id", "left_semi")  # sample_docs ids
     words = texts.select(F.explode(F.regexp_extract_all(F.lower("_t"), F.lit("(?<![a-z0-9+/_=-])[a-z_-]{4,}+(?![a-z0-9+/_=-])"), F.lit(0))).alias("w"))
     models = []

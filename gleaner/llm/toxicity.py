@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleaner.llm.common import UPPER_TO_LOWER, Memo, crc_fold, per_text
+from gleaner.llm.common import UPPER_TO_LOWER, Memo, crc_fold, first_by_hash, per_text
 from gleaner.session import written
 
 #: Starting word lists of the grammar.
@@ -233,7 +233,7 @@ def fit(
     marked = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("toxic")).filter(
         F.col("toxic").isNotNull() & F.col("_id").isNotNull() & (crc_fold(F.col("_id")) != held_out)
     )
-    chosen = marked.groupBy("_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
+    chosen = first_by_hash(marked.groupBy("_id").agg(F.max("toxic").alias("toxic")), max_rows, "_id")
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_t")).filter(F.col("_t").isNotNull())
     sample = written(texts.join(F.broadcast(chosen), "_id").select("toxic", "_t").distinct(), "labelled")  # max_rows ids
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two labels
