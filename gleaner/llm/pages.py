@@ -126,7 +126,7 @@ def _middle(a: np.ndarray, b: np.ndarray) -> list[int]:
     if not len(a) or not len(b):
         return []
     if len(a) == 1:
-        return [0]
+        return [0] if a[0] in b else []
     if len(a) * len(b) > LARGE:  # halves of a, at the split of b where their lengths add up to most
         half = len(a) // 2
         cut = int(np.argmax(_row(a[:half], b) + _row(a[half:][::-1], b[::-1])[::-1]))
