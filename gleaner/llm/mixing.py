@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from gleaner.session import written
 
-CHUNK = 20_000  # units one flight takes
+CHUNK = 2_000  # units one flight takes
 WEIGHTS = (3, 1, 2)
 EDGE = 1e-9
 
