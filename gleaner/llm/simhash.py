@@ -208,15 +208,14 @@ def near_copies(
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """The rows of ``docs`` that name their group of near copies, each once; all columns as they were.
 
-    Rows whose id is not their group's go. Where several rows share the id that stays, or a group has only null ids, the
-    row with the smallest hash of id and text stays.
+    A group is named by its smallest pair of id and text hash (null ids first), and every row that isn't this one goes; of
+    equal rows one stays. Texts move only where the rows to drop are too many to send along.
     """
     keyed = docs.withColumn("_key", F.xxhash64(id_col, text_col))
-    named = written(near_copies(keyed.select(F.struct(F.col(id_col).alias("id"), F.col("_key").alias("key")).alias("_id"), text_col), "_id", text_col, **settings), "groups")
-    least = named.groupBy("component_id").agg(F.count("*").alias("n"))
-    many = named.join(least, "component_id").filter("n > 1")
-    out = many.filter("_id != component_id").select("_id.key").distinct()
-    left = keyed.join(out.withColumnRenamed("key", "_key"), "_key", "left_anti")
-    twice = many.filter("_id = component_id").groupBy("_id.key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("_key"))
+    pair = F.struct(F.col(id_col).alias("id"), F.col("_key").alias("key"))
+    named = written(near_copies(keyed.select(pair.alias("_id"), text_col), "_id", text_col, **settings), "groups")
+    out = named.filter("not (_id <=> component_id)").select(F.col("_id.key").alias("_key")).distinct()
+    left = keyed.join(out, "_key", "left_anti")
+    twice = named.filter("_id <=> component_id").groupBy(F.col("_id.key").alias("_key")).agg(F.count("*").alias("n")).filter("n > 1")
     single = left.join(twice, "_key", "left_anti")
     return single.unionByName(left.join(twice, "_key", "left_semi").dropDuplicates(["_key"])).drop("_key")
