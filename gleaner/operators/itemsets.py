@@ -191,19 +191,20 @@ def frequent_itemsets(
 
     if method == "fpgrowth" and limit <= large:
         found = _fpgrowth(ordinary, threshold, max_k)
+    elif method == "son":
+        if candidates is None:
+            first_pass = _chunk_frequent(ordinary, threshold, chunks, max_k, None)
+            candidates = written(first_pass.select("items").distinct(), "candidates")
+        # the second pass only counts: every frequent set is among the candidates
+        found = contained(ordinary, candidates.select("items")).filter(F.col("support") >= threshold)
+        if max_k is not None:
+            found = found.filter(F.size("items") <= max_k)
     else:
         keep = lambda counts: counts.filter(F.col("support") >= threshold)
         prune = None
         if method == "pcy":
             tokens = written(token_dict(ordinary, "item"), "tokens")
             prune = lambda found, places: _bucket_prune(found, places, tokens, threshold, buckets)
-        elif method == "son":
-            if candidates is None:
-                first_pass = _chunk_frequent(ordinary, threshold, chunks, max_k, None)
-                candidates = written(first_pass.select("items").distinct(), "candidates")
-            keep = lambda counts: counts.filter(F.col("support") >= threshold).join(
-                candidates.select("items"), "items", "left_semi"
-            )
         levels = _grow(ordinary, keep, [], max_k, prune)
         if not levels:
             return _shaped(ordinary.select(F.array("item").alias("items"), F.lit(0).alias("support")).limit(0))
@@ -275,8 +276,7 @@ def itemset_candidates(
     support has that in some chunk, so this contains every frequent set.
     """
     rows = rows.select("basket_id", "item")
-    ordinary, _, n_aside, _ = _set_aside(rows, support, large)
-    found = _chunk_frequent(ordinary, support - n_aside, chunks, max_k, chunk).select("items").distinct()
+    found = _chunk_frequent(rows, support, chunks, max_k, chunk).select("items").distinct()
     return found.select("items", F.size("items").alias("size"))
 
 

@@ -98,8 +98,7 @@ def overlaps(
     base = rows.select(
         F.col(item).alias("item"), F.col(element).alias("element"), *([F.col(value).alias("x")] if valued else [])
     )
-    # both sides of the self-join use this one shuffle
-    base = base.repartition("element")
+    # counted where the rows lie; the self-join below shuffles only rows of elements that are not heavy
     heavy = base.groupBy("element").agg(F.count("*").alias("degree")).filter(F.col("degree") > max_group)
     if heavy.isEmpty():
         sums = _meet(base, base, ["element"], valued).groupBy("k1", "k2").agg(*_sums(valued))

@@ -306,9 +306,8 @@ def q_cf_user_predict(spark: SparkSession, sf: str) -> DataFrame:
 
 def _min_shared(rows: DataFrame) -> int:
     """A common count well above chance: mean overlap of two users plus three deviations, at least 3."""
-    users, items, n = rows.agg(
-        F.count_distinct("user_id"), F.count_distinct("business_id"), F.count_distinct("user_id", "business_id")
-    ).first()
+    n = rows.count()  # rows are distinct
+    users, items = (rows.select(c).distinct().count() for c in ("user_id", "business_id"))
     chance = (n / users) ** 2 / items
     return max(3, math.ceil(chance + 3 * math.sqrt(chance) + 1))
 

@@ -4,8 +4,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from gleaner.plans import oracle, queries
 
-QUERIES, ORACLE = driver.queries(), driver.oracle_sql()
+QUERIES, ORACLE = queries.queries(), oracle.oracle_sql()
 TABLES = "customer documents events lineitem orders part".split()
 
 
