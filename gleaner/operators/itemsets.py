@@ -268,7 +268,6 @@ def itemset_candidates(
     chunks: int,
     max_k: int | None = None,
     chunk: Column | None = None,
-    large: int = LARGE_BASKET,
 ) -> DataFrame:
     """``items, size``: sets frequent in at least one chunk at its share of the support, first pass of two.
 

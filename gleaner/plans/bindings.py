@@ -22,8 +22,8 @@ TEST_FROM = "2001-01-01 00:00:00"
 SUPPORT_SHARE = 0.0054
 CHUNKS = 4
 PCY_BUCKETS = 97
-SIM_HASHES = 20
-SIM_BANDS = 10
+SIM_HASHES = 1000
+SIM_BANDS = 500
 MIN_JACCARD = 0.05
 WINDOW = "30 minutes"
 SLIDE = "10 minutes"
