@@ -6,11 +6,12 @@ from collections.abc import Callable, Iterator
 from itertools import islice
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SLICE_BYTES = 4 << 20  # text worked on at a time; a longer text is a slice of its own
+SLICE_BYTES = 1 << 20  # text worked on at a time; a longer text is a slice of its own
 MEMO_ENTRIES = 400_000  # words remembered per worker; a full memo starts anew, results stay the same
 UPPER_TO_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
@@ -24,16 +25,16 @@ def with_fields(kept: T.StructType, *fields: tuple[str, T.DataType]) -> T.Struct
     return T.StructType([*kept.fields, *(T.StructField(name, kind) for name, kind in fields)])
 
 
-def slices(texts: list[bytes]) -> Iterator[tuple[int, int]]:
-    """Ranges of rows that hold about ``SLICE_BYTES`` of text."""
+def slices(texts: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Ranges of rows that hold about ``SLICE_BYTES`` of text, with their texts; the others stay in the batch."""
     start = held = 0
-    for i, text in enumerate(texts):
-        held += len(text)
+    for i, size in enumerate(pc.binary_length(texts).to_pylist()):
+        held += size
         if held >= SLICE_BYTES:
-            yield start, i + 1
+            yield start, i + 1, texts.slice(start, i + 1 - start).to_pylist()
             start, held = i + 1, 0
     if start < len(texts):
-        yield start, len(texts)
+        yield start, len(texts), texts.slice(start).to_pylist()
 
 
 def per_text(
@@ -54,9 +55,8 @@ def per_text(
     def run(batches):
         work = start()
         for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            for a, b in slices(texts):
-                found = work(texts[a:b])
+            for a, b, texts in slices(batch.column(len(keep))):
+                found = work(texts)
                 held = [batch.column(i).slice(a, b - a) for i in range(len(keep))]
                 made = [x if isinstance(x, pa.Array) else pa.array(x, kind) for x, kind in zip(found, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays(held + made, names=names)

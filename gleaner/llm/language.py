@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from gleaner.llm.common import Memo, crc_fold, per_text
 
 LONGEST = 24  # bytes the network reads at a time; longer words are cut into such pieces, all of them read
+BATCH = 2048  # pieces the network reads side by side
 LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -174,8 +175,8 @@ def _labels(names: list[str], network: Network | None):
             cut = sorted((piece, k) for k, w in enumerate(words) for piece in pieces(w))
             cut.sort(key=lambda x: len(x[0]))
             sums = np.zeros((len(words), len(names) + 1))
-            for i in range(0, len(cut), 8192):
-                part = cut[i : i + 8192]
+            for i in range(0, len(cut), BATCH):
+                part = cut[i : i + BATCH]
                 codes, live = packed([w for w, _ in part])
                 probs, _ = network.positions(codes, live)
                 at = [k for _, k in part]

@@ -145,9 +145,8 @@ def write_tokens(
             return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                encoded = [x + end for x in tokenize([t.decode("utf-8", "replace") for t in texts[a:b]])]
+            for a, b, texts in slices(batch.column(1)):
+                encoded = [x + end for x in tokenize([t.decode("utf-8", "replace") for t in texts])]
                 held += encoded
                 keys.append(batch.column(0).slice(a, b - a))
                 size += sum(map(len, encoded))
