@@ -10,7 +10,7 @@ from gleaner.functions.hashing import Hash
 from gleaner.operators import pairs as pair_operators
 from gleaner.operators.numbering import token_dict
 from gleaner.operators.pairs import Need, overlaps
-from gleaner.operators.similarity import MAX_BUCKET, lsh_candidates, minhash
+from gleaner.operators.similarity import MAX_BUCKET, bucket_pairs, minhash
 from gleaner.operators.skew import hot_keys, skew_join
 from gleaner.session import written
 
@@ -95,7 +95,7 @@ def pearson_lsh(
     sigs = minhash(signed, "item", "token", family)
     rows = ratings.select(F.col(item).alias("item"), F.col(rater).alias("element"))
     sigs = sigs.join(rows.select("item").distinct(), "item", "left_semi")
-    candidates = written(lsh_candidates(rows, sigs, n_bands, Need(min_common, min_jaccard), max_bucket), "candidates")
+    candidates = written(bucket_pairs(rows, sigs, n_bands, Need(min_common, min_jaccard), max_bucket), "candidates")
     sums = _sums_of(candidates, ratings.select(F.col(item).alias("item"), F.col(rater).alias("element"), "stars"))
     sized = pair_operators.with_sizes(sums, pair_operators.sizes(rows, "item"))
     need = Need(min_common, min_jaccard)

@@ -6,23 +6,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleaner.session import written
+
 HOT_ROWS = 1_000_000  # rows of one key a single task may take
-MAX_HOT_KEYS = 10_000  # any key beyond these holds less than 1/10,000 of the rows
+MAX_HOT_KEYS = 10_000  # hot keys that are broadcast; more of them travel as a table
 
 
-def hot_keys(rows: DataFrame | None, keys: str | list[str], limit: int = HOT_ROWS, counts: DataFrame | None = None) -> list:
-    """Keys with more than ``limit`` rows, each with the number of pieces to split it into.
+def hot_keys(
+    rows: DataFrame | None,
+    keys: str | list[str],
+    limit: int = HOT_ROWS,
+    counts: DataFrame | None = None,
+    most: int = MAX_HOT_KEYS,
+) -> list | DataFrame:
+    """Keys with more than ``limit`` rows, each with ``_pieces``, the number of pieces to split it into.
 
-    The count is a map-side combined aggregation (or given as ``counts``: the keys and ``_n``). The answer has
-    at most ``MAX_HOT_KEYS`` rows whatever the data, so it may go to the driver and be broadcast.
+    The count is a map-side combined aggregation (or given as ``counts``: the keys and ``_n``). Up to ``most`` keys come
+    as a list; more of them stay a written table, all of them, and never reach the driver.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if counts is None:
         counts = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
     # the pieces of all keys together are at most one per ``limit`` rows of the data, and one per key
     pieces = F.ceil(F.col("_n") / limit).cast("int")
-    hot = counts.filter(F.col("_n") > limit).orderBy(F.desc("_n")).limit(MAX_HOT_KEYS)
-    return hot.select(*keys, pieces.alias("_pieces")).collect()
+    hot = counts.filter(F.col("_n") > limit).select(*keys, pieces.alias("_pieces"))
+    first = hot.limit(most + 1).collect()
+    return first if len(first) <= most else written(hot, "hot-keys")
 
 
 def skew_join(
@@ -32,23 +41,27 @@ def skew_join(
     how: str = "inner",
     limit: int = HOT_ROWS,
     counts: DataFrame | None = None,
-    hot: list | None = None,
+    hot: list | DataFrame | None = None,
+    most: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """``big.join(small, keys, how)`` with hot keys of ``big`` spread over several tasks.
 
     Every hot key is cut into pieces by a hash of its other columns and the matching rows of
     ``small`` are repeated once per piece, so all rows still meet. The hot keys are looked up in ``big``, or in
     ``counts``, or taken from ``hot``, an earlier answer of ``hot_keys`` for the same key values: which keys are
-    split decides how the work is spread, never the result. Without hot keys this is the plain join.
+    split decides how the work is spread, never the result. Up to ``most`` of them are broadcast; a longer list is
+    joined by key, where AQE splits the partitions of hot keys. Without hot keys this is the plain join.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if hot is None:
-        hot = hot_keys(big, keys, limit, counts)
-    if not hot:
+        hot = hot_keys(big, keys, limit, counts, most)
+    if isinstance(hot, DataFrame):
+        pieces = hot.toDF(*keys, "_pieces")
+    elif not hot:
         return big.join(small, keys, how)
-    fields = [T.StructField(k, big.schema[k].dataType) for k in keys] + [T.StructField("_pieces", T.IntegerType())]
-    rows = [tuple(h) for h in hot]
-    pieces = F.broadcast(big.sparkSession.createDataFrame(rows, T.StructType(fields)))  # <= MAX_HOT_KEYS rows
+    else:
+        fields = [T.StructField(k, big.schema[k].dataType) for k in keys] + [T.StructField("_pieces", T.IntegerType())]
+        pieces = F.broadcast(big.sparkSession.createDataFrame([tuple(h) for h in hot], T.StructType(fields)))  # <= most rows
     spread = F.coalesce(F.col("_pieces"), F.lit(1))
     others = [c for c in big.columns if c not in keys] or keys
     left = (

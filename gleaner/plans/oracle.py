@@ -400,9 +400,15 @@ def oracle_sql() -> dict[str, str]:
         "q_lsh_buckets": f"""WITH {SETS}, {_signatures("coded", 42949)}, {_bands(b.SIM_HASHES, b.SIM_BANDS)}
             SELECT band, key, item, members FROM (
               SELECT band, key, item, count(*) OVER (PARTITION BY band, key) AS members FROM bands) WHERE members > 1""",
-        "q_lsh_candidates": f"""WITH {SETS}, {_signatures("coded", 42949)}, {_bands(b.SIM_HASHES, b.SIM_BANDS)}
-            SELECT DISTINCT x.item AS k1, y.item AS k2 FROM bands x JOIN bands y
-            ON x.band = y.band AND x.key = y.key AND x.item < y.item""",
+        "q_lsh_candidates": f"""WITH {SETS}, {_signatures("coded", 42949)}, {_bands(b.SIM_HASHES, b.SIM_BANDS)},
+            near AS (SELECT DISTINCT x.item AS k1, y.item AS k2 FROM bands x JOIN bands y
+                     ON x.band = y.band AND x.key = y.key AND x.item < y.item),
+            held AS (SELECT DISTINCT business_id AS item, user_id AS element FROM reviews),
+            n AS (SELECT item, count(*) AS size FROM held GROUP BY 1),
+            met AS (SELECT k1, k2, count(*) AS n FROM near JOIN held x ON x.item = k1
+                    JOIN held y ON y.item = k2 AND y.element = x.element GROUP BY 1, 2)
+            SELECT k1, k2 FROM met JOIN n a ON a.item = k1 JOIN n b ON b.item = k2
+            WHERE met.n / (a.size + b.size - met.n) >= {b.MIN_JACCARD}""",
         "q_jaccard_lsh": f"WITH {LSH} SELECT k1, k2, round(sim, 6) AS sim FROM lsh",
         "q_jaccard_exact": f"WITH {EXACT} SELECT k1, k2, round(sim, 6) AS sim FROM exact",
         "q_lsh_recall": f"""WITH {LSH} SELECT (SELECT count(*) FROM lsh) AS found, (SELECT count(*) FROM exact) AS known,

@@ -23,6 +23,18 @@ def test_hot_keys_join_like_a_plain_join(sides, how):
     assert sorted(map(repr, split.select(*plain.columns).collect())) == sorted(map(repr, plain.collect()))
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_more_hot_keys_than_are_broadcast(sides, how):
+    """All of them are split, none is left out for being one too many."""
+    big, small = sides
+    hot = skew.hot_keys(big, ["k"], limit=5, most=3)
+    counts = {r["k"]: r["count"] for r in big.groupBy("k").count().collect()}
+    assert {r["k"]: r["_pieces"] for r in hot.collect()} == {k: -(-n // 5) for k, n in counts.items() if n > 5}
+    plain = big.join(small, ["k"], how)
+    split = skew.skew_join(big, small, "k", how, limit=5, most=3)
+    assert sorted(map(repr, split.select(*plain.columns).collect())) == sorted(map(repr, plain.collect()))
+
+
 def test_only_keys_over_the_limit_are_hot(sides):
     hot = skew.hot_keys(sides[0], ["k"], limit=100)
     assert [(r["k"], r["_pieces"]) for r in hot] == [(1, -(-sides[0].filter("k = 1").count() // 100))]
