@@ -53,15 +53,15 @@ def support_count(rows: DataFrame, fraction: float) -> int:
     return n.select(F.ceil(F.lit(fraction) * F.col("n")).cast("long")).first()[0]
 
 
-def _set_aside(rows: DataFrame, support: int, large: int) -> tuple[DataFrame, DataFrame | None, int, int]:
-    """Ordinary rows, rows of the baskets set aside, how many those are, and the size ordinary baskets keep to.
+def _set_aside(rows: DataFrame, support: int, large: int) -> tuple[DataFrame, DataFrame | None, int]:
+    """Ordinary rows, rows of the baskets set aside, and how many baskets those are.
 
     The size limit starts at ``large`` and doubles until at most half the support lies above it.
     """
     size = rows.groupBy("basket_id").agg(F.count("*").alias("_n"))
     top = size.agg(F.max("_n")).first()[0] or 0
     if top <= large:
-        return rows, None, 0, large
+        return rows, None, 0
     size = written(size, "basket-sizes")
     limits = [large]
     while limits[-1] < top:
@@ -69,11 +69,11 @@ def _set_aside(rows: DataFrame, support: int, large: int) -> tuple[DataFrame, Da
     above = size.agg(*[F.count_if(F.col("_n") > limit) for limit in limits]).first()
     limit, n_aside = next((t, n) for t, n in zip(limits, above) if n <= support // 2)
     if n_aside == 0:
-        return rows, None, 0, limit
+        return rows, None, 0
     over = size.filter(F.col("_n") > limit).select("basket_id")
     aside = skew_join(rows, over, "basket_id", "left_semi", counts=size)
     ordinary = skew_join(rows, over, "basket_id", "left_anti", counts=size)
-    return written(ordinary, "ordinary"), written(aside, "aside"), n_aside, limit
+    return written(ordinary, "ordinary"), written(aside, "aside"), n_aside
 
 
 def _grow(
@@ -81,21 +81,23 @@ def _grow(
     keep: Callable[[DataFrame], DataFrame],
     scope: list[str],
     max_k: int | None,
-    prune: Callable[[DataFrame, list[str]], DataFrame] | None = None,
+    prune: Callable[[DataFrame, int], DataFrame] | None = None,
 ) -> list[DataFrame]:
     """Frequent sets of every level.
 
     ``rows`` has ``basket_id, item`` and the ``scope`` columns (the chunk of a two-pass run). A set of level k
-    is held in columns ``i1 … ik``. ``keep(counts)`` applies the support threshold to ``scope, items, support``;
-    ``prune(occurrences, places)`` may drop occurrences before they are counted.
+    is held in columns ``i1 … ik``; its occurrences are joined once and written, then counted and filtered from there.
+    ``keep(counts)`` applies the support threshold to ``scope, items, support``. ``prune(occurrences, k)`` may drop
+    occurrences before they are counted; it then finds the sum of their items' ``token`` in ``sum``.
     """
     here = [*scope, "basket_id"]
     levels: list[DataFrame] = []
-    occurrences, k = rows.select(*here, F.col("item").alias("i1")), 1
+    tokens = [F.col("token").alias("sum"), F.col("token").alias("last")] if prune is not None else []
+    occurrences, k = rows.select(*here, F.col("item").alias("i1"), *tokens), 1
     while True:
         places = [f"i{j}" for j in range(1, k + 1)]
-        if prune is not None and k > 1:
-            occurrences = prune(occurrences, places)
+        if k > 1:
+            occurrences = written(occurrences if prune is None else prune(occurrences, k), f"occurrences{k}")
         counts = occurrences.groupBy(*scope, *places).agg(F.count("*").alias("support"))
         frequent = written(keep(counts.withColumn("items", F.array(*places))), f"frequent{k}")
         if frequent.isEmpty():
@@ -110,15 +112,16 @@ def _grow(
             counts=frequent.select(*key, F.col("support").alias("_n")),
         )
         if k == 1:
-            later = kept.withColumnRenamed("i1", "i2")
+            later = kept.withColumnsRenamed({"i1": "i2", "last": "next"}).drop("sum")
             occurrences = kept.join(later, here).filter(F.col("i1") < F.col("i2"))
         else:
-            kept = written(kept, f"occurrences{k}")
             if k == 2:
-                frequent_pairs = kept
+                kept = frequent_pairs = written(kept, "frequent-pairs")
             # the last two items of a frequent set are a frequent pair
-            follows = frequent_pairs.withColumnsRenamed({"i2": f"i{k + 1}", "i1": f"i{k}"})
+            follows = frequent_pairs.withColumnsRenamed({"i2": f"i{k + 1}", "i1": f"i{k}", "last": "next"}).drop("sum")
             occurrences = kept.join(follows, [*here, f"i{k}"])
+        if prune is not None:
+            occurrences = occurrences.withColumns({"sum": F.col("sum") + F.col("next"), "last": F.col("next")}).drop("next")
         k += 1
 
 
@@ -181,15 +184,15 @@ def frequent_itemsets(
 
     ``rows`` are distinct ``basket_id, item``. ``levelwise``, ``pcy`` (bucket counts drop occurrences before
     they are counted), ``son`` (two passes over chunks) and ``fpgrowth`` give the same answer; ``fpgrowth`` holds
-    a basket as one list and gives way to ``levelwise`` where baskets over ``large`` items remain. ``candidates``
+    a basket as one list, of at most the size beyond which baskets are set aside. ``candidates``
     (``items``) is the first pass of ``son``, if it is there already.
     """
     rows = rows.select("basket_id", "item")
     least = support + 1 if strict else support
-    ordinary, aside, n_aside, limit = _set_aside(rows, least, large)
+    ordinary, aside, n_aside = _set_aside(rows, least, large)
     threshold = least - n_aside
 
-    if method == "fpgrowth" and limit <= large:
+    if method == "fpgrowth":
         found = _fpgrowth(ordinary, threshold, max_k)
     elif method == "son":
         if candidates is None:
@@ -203,8 +206,8 @@ def frequent_itemsets(
         keep = lambda counts: counts.filter(F.col("support") >= threshold)
         prune = None
         if method == "pcy":
-            tokens = written(token_dict(ordinary, "item"), "tokens")
-            prune = lambda found, places: _bucket_prune(found, places, tokens, threshold, buckets)
+            ordinary = written(_tokens_of(ordinary), "coded")
+            prune = lambda met, k: _bucket_prune(met, k, ordinary, threshold, buckets)
         levels = _grow(ordinary, keep, [], max_k, prune)
         if not levels:
             return _shaped(ordinary.select(F.array("item").alias("items"), F.lit(0).alias("support")).limit(0))
@@ -213,7 +216,7 @@ def frequent_itemsets(
 
 
 def _fpgrowth(rows: DataFrame, threshold: int, max_k: int | None) -> DataFrame:
-    """Sets by prefix trees; used only where every basket is small, as it needs each basket as one list."""
+    """Sets by prefix trees over each basket as one list."""
     from pyspark.ml.fpm import FPGrowth
 
     n = rows.select("basket_id").distinct().count()
@@ -223,20 +226,25 @@ def _fpgrowth(rows: DataFrame, threshold: int, max_k: int | None) -> DataFrame:
     return found if max_k is None else found.filter(F.size("items") <= max_k)
 
 
-def _bucket_prune(
-    occurrences: DataFrame, places: list[str], tokens: DataFrame, threshold: int, buckets: int
-) -> DataFrame:
-    """Occurrences of sets whose bucket reaches the threshold.
+def _tokens_of(rows: DataFrame) -> DataFrame:
+    """``basket_id, item, token``: every row with the dense number of its item."""
+    tokens = written(token_dict(rows, "item"), "tokens")
+    coded = skew_join(rows.select("basket_id", F.col("item").alias("id")), tokens, "id")
+    return coded.select("basket_id", F.col("id").alias("item"), "token")
 
-    The bucket of a set is the sum of its items' tokens modulo ``buckets``, found once per distinct set.
+
+def _bucket_prune(met: DataFrame, k: int, coded: DataFrame, threshold: int, buckets: int) -> DataFrame:
+    """Occurrences whose bucket, the sum of the items' tokens modulo ``buckets``, reaches the threshold.
+
+    Pair buckets are counted from residues before any pair is listed; those of larger sets from their occurrences.
     """
-    counts = written(occurrences.groupBy(*places).agg(F.count("*").alias("n")), "set-counts")
-    items = counts.select(*places, "n", F.explode(F.array(*places)).alias("id"))
-    sets = skew_join(items, tokens, "id").groupBy(*places, "n").agg(
-        F.pmod(F.sum("token"), F.lit(buckets)).alias("bucket")
-    )
-    full = sets.groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") >= threshold).select("bucket")
-    return occurrences.join(sets.join(full, "bucket", "left_semi").select(*places), places, "left_semi")
+    if k == 2:
+        full = _pair_buckets(coded, buckets).filter(F.col("n") >= threshold).select("bucket")
+        met = met.withColumn("bucket", F.pmod("sum", F.lit(buckets)))
+    else:
+        met = written(met.withColumn("bucket", F.pmod("sum", F.lit(buckets))), f"met{k}")
+        full = met.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") >= threshold).select("bucket")
+    return met.join(F.broadcast(full), "bucket", "left_semi").drop("bucket")  # at most ``buckets`` rows
 
 
 def pcy_buckets(rows: DataFrame, support: int, buckets: int) -> DataFrame:
@@ -245,8 +253,10 @@ def pcy_buckets(rows: DataFrame, support: int, buckets: int) -> DataFrame:
     Only residues matter, so a basket is first reduced to a count per residue: at most ``buckets`` rows,
     whatever its size, meet each other.
     """
-    tokens = written(token_dict(rows, "item"), "tokens")
-    coded = skew_join(rows.select("basket_id", F.col("item").alias("id")), tokens, "id")
+    return _pair_buckets(_tokens_of(rows), buckets).filter(F.col("n") >= support)
+
+
+def _pair_buckets(coded: DataFrame, buckets: int) -> DataFrame:
     residues = coded.groupBy("basket_id", F.pmod("token", F.lit(buckets)).alias("r")).agg(F.count("*").alias("c"))
     residues = written(residues, "residues")
     one = residues.select("basket_id", F.col("r").alias("r1"), F.col("c").alias("c1"))
@@ -258,8 +268,7 @@ def pcy_buckets(rows: DataFrame, support: int, buckets: int) -> DataFrame:
         F.pmod(F.col("r") * 2, F.lit(buckets)).alias("bucket"),
         F.expr("c * (c - 1) div 2").alias("n"),
     )
-    total = across.unionByName(within).groupBy("bucket").agg(F.sum("n").alias("n"))
-    return total.filter(F.col("n") >= support)
+    return across.unionByName(within).groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
 def itemset_candidates(

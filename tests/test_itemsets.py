@@ -45,6 +45,21 @@ def test_methods_match_brute_force(rows, data, method, large):
     assert as_dict(got) == brute(data, 9)
 
 
+def test_set_buckets_prune_before_sets_are_counted(rows, data):
+    """Whatever the number of buckets, occurrences of a full bucket stay and those of others go."""
+    coded = itemsets._tokens_of(rows)
+    token = {r["item"]: r["token"] for r in coded.select("item", "token").distinct().collect()}
+    met = [tuple(sorted(p)) for v in data.values() for p in combinations(v, 2)]
+    for buckets in (1, 5, 40):
+        counts = Counter(sum(token[x] for x in p) % buckets for p in met)
+        other = coded.withColumnsRenamed({"item": "i2", "token": "t2"})
+        found = coded.withColumnRenamed("item", "i1").join(other, "basket_id").filter("i1 < i2").withColumn("sum", F.expr("token + t2"))
+        kept = itemsets._bucket_prune(found, 2, coded, 20, buckets)
+        got = Counter((r["i1"], r["i2"]) for r in kept.collect())
+        assert got == Counter(p for p in met if counts[sum(token[x] for x in p) % buckets] >= 20)
+    assert len(got) < len(set(met))
+
+
 def test_strict_and_max_size(rows, data):
     got = itemsets.frequent_itemsets(rows, 9, max_k=2, strict=True, large=6)
     assert as_dict(got) == brute(data, 10, 2)
