@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from gleaner.llm.common import per_text
 from gleaner.operators.numbering import numbered
+from gleaner.operators.skew import skew_join
 from gleaner.session import written
 
 RAW = "script|style|noscript|template|textarea|title|iframe|svg|select|object"
@@ -34,6 +35,7 @@ HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|display\s*:\s*none""", r
 COMMENTS = re.compile(r"comment|repl|respond|disqus", re.I)  # may hold articles of their own
 ARTICLE, OPEN, BOILER = 2, 1, 0  # where a line stands
 LARGE = 4_000_000  # cells of an alignment table kept at once
+NEAR_WHOLE = 0.8  # a neighbour with this share of a page's text outside menus and the like is a near-whole copy of it
 
 
 def _apart(tag: str, rest: str) -> bool:
@@ -167,7 +169,7 @@ def _shared_lines(batches):
                 continue
             other = near[0][1] if len(near) == 1 or near[0][0] >= near[1][0] else near[1][1]
             found.append(common(np.array(mine), np.array(other, dtype=np.int64)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["_key", "shared"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["_group", "shared"])
 
 
 def _prefix(a: str, b: str) -> str:
@@ -192,11 +194,11 @@ def _texts(batches):
         texts = []
         for packed, gone in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             listed = [(int(x[0]), x[1:]) for x in unpack(packed).decode().split("\n") if x]
-            dropped = set(gone or ())
-            left = [(place, text) for k, (place, text) in enumerate(listed) if k not in dropped]
-            if any(place == ARTICLE for place, _ in listed):  # a page that marks its article: whole, and nothing else
-                left = [(place, text) for place, text in listed if place == ARTICLE]
-            texts.append("\n".join(text for place, text in left if place != BOILER))
+            dropped = {k for k in gone or () if listed[k][0] != BOILER}
+            size = sum(len(text) for place, text in listed if place != BOILER)
+            if sum(len(listed[k][1]) for k in dropped) >= NEAR_WHOLE * size:  # differencing with a copy says nothing of the article
+                dropped = {k for k in dropped if listed[k][0] != ARTICLE}
+            texts.append("\n".join(text for k, (place, text) in enumerate(listed) if k not in dropped and place != BOILER))
         chars = pa.array(map(len, texts), pa.int64())
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), chars], names=["_id", "_url", "text", "n_chars"])
 
@@ -204,12 +206,13 @@ def _texts(batches):
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per page: id, url, ``text`` (blocks of the main text, one a line) and ``n_chars``.
 
-    Pages of a host stand in the order of their paths. Each is aligned with the nearer of its two neighbours by a longest
-    common subsequence of lines, and the lines both have are deleted. A check against the markup follows: what stands in
-    menus, headers, footers, sidebars, notices, adverts, forms or comments goes also when no neighbour has it, and a page
-    that marks its article keeps it whole, also lines that a copy repeats. Only line hashes are sorted and aligned; a hot
-    host is many range partitions. Pages meet their deletions as compressed lines, without markup. Null and empty pages have no text, null urls are one host, a host of one page deletes
-    nothing; repeated rows each keep their row.
+    Pages of a host stand in the order of their paths, pages of equal lines once, at the first of their paths. Each is
+    aligned with the nearer of its two neighbours by a longest common subsequence of lines, and the lines both have are
+    deleted, in and out of articles. A check against the markup follows: what stands in menus, headers, footers, sidebars,
+    notices, adverts, forms or comments goes also when no neighbour has it, and where the neighbour is a near-whole copy
+    (``NEAR_WHOLE``) the lines of a marked article stay. Only line hashes are sorted and aligned; a hot host is many range
+    partitions. Pages meet their deletions as compressed lines, without markup. Null and empty pages have no text, null
+    urls are one host, a host of one page deletes nothing; repeated rows each keep their row.
     """
     source = pages.select(
         F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url"), F.col(html_col).cast("string").alias("_html")
@@ -219,14 +222,17 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     path = F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1)
     placed = source.select("_key", host.alias("_host"), path.alias("_path"), "_html")
     hashed = per_text(placed, "_html", ["_key", "_host", "_path"], [("_lines", T.ArrayType(T.LongType()), pa.list_(pa.int64()))], _line_hashes)
-    ranked = written(numbered(hashed.dropDuplicates(["_key"]), ["_host", "_path", "_key"], "_at"), "ranked")
+    listed = written(hashed.withColumn("_group", F.xxhash64("_host", "_lines")), "lines")
+    first = listed.groupBy("_group").agg(F.min(F.struct("_host", "_path", "_key", "_lines")).alias("_p")).select("_group", "_p.*")
+    ranked = written(numbered(first, ["_host", "_path", "_key"], "_at"), "ranked")
     side = lambda step, name: ranked.select(
         (F.col("_at") + step).alias("_at"), F.col("_host").alias(f"_h{name}"), F.col("_path").alias(f"_p{name}"), F.col("_lines").alias(f"_l{name}")
     )
     beside = ranked.join(side(1, "b"), "_at", "left").join(side(-1, "a"), "_at", "left")
     of_host = lambda name: F.when(F.col(f"_h{name}") == F.col("_host"), F.col(f"_l{name}"))
-    pairs = beside.select("_key", "_lines", "_path", of_host("b").alias("_lb"), "_pb", of_host("a").alias("_la"), "_pa")
-    shared = written(pairs.mapInArrow(_shared_lines, "_key long, shared array<int>"), "shared")
+    pairs = beside.select("_group", "_lines", "_path", of_host("b").alias("_lb"), "_pb", of_host("a").alias("_la"), "_pa")
+    found = written(pairs.mapInArrow(_shared_lines, "_group long, shared array<int>").filter(F.size("shared") > 0), "shared")
+    shared = skew_join(listed.select("_key", "_group").distinct(), found, "_group").select("_key", "shared")
     packed = per_text(source, "_html", ["_key", "_id", "_url"], [("_packed", T.BinaryType(), pa.binary())], _packed_lines)
     joined = packed.join(shared, "_key", "left").select("_id", "_url", "_packed", "shared")
     schema = T.StructType([T.StructField("_id", source.schema["_id"].dataType), *T._parse_datatype_string("_url string, text string, n_chars long").fields])

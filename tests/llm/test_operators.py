@@ -270,6 +270,22 @@ def test_pages_keep_the_article_and_delete_shared_lines(spark):
     assert got == [(k, t, len(t)) for k, t in want]
 
 
+def test_pages_difference_decides_in_and_out_of_articles(spark):
+    body = lambda k: "".join(f"<p>sentence {k}{j} of a body that no other page of this host has</p>" for j in range(3))
+    said = lambda k: [f"sentence {k}{j} of a body that no other page of this host has" for j in range(3)]
+    teaser, notice = "<article><p>read this too</p></article>", "<p>prices may vary</p>"
+    rows = [(k, f"http://div/{k}", f"<div>{body(k)}</div>{teaser}") for k in range(3)]  # the body is in no article
+    rows += [(10 + k, f"http://in/{k}", f"<article>{body(k)}{notice}</article>") for k in range(3)]  # a notice in the article
+    rows += [(20 + k, f"http://copy/{k}", f"<article>{body(9 if k < 4 else k)}{notice}</article>") for k in range(6)]  # four copies in a row
+    rows += [(30 + k, f"http://near/{k}", f"<article>{body(1)}<p>at {k}</p></article>") for k in range(3)]  # copies but for a line
+    found = pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = {r.page_id: r.text.split("\n") for r in found.collect()}
+    assert [got[k] for k in range(3)] == [said(k) for k in range(3)]
+    assert [got[10 + k] for k in range(3)] == [said(k) for k in range(3)]
+    assert [got[20 + k] for k in range(6)] == [said(9 if k < 4 else k) for k in range(6)]
+    assert [got[30 + k] for k in range(3)] == [[*said(1), f"at {k}"] for k in range(3)]
+
+
 def test_common_subsequence_is_longest(monkeypatch):
     monkeypatch.setattr(pages, "LARGE", 6)
     draw = np.random.default_rng(5)
