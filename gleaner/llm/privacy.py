@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gleaner.llm import spans as S
+from gleaner.operators.skew import skew_join
 from gleaner.session import written
 
 KINDS = ("email", "ip", "card", "phone")
@@ -14,8 +15,7 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-TERM = r"\p{L}[\p{L}'-]{2,}"
-AROUND = 60  # code points beside a match that are its context
+TERM = r"\p{L}[\p{L}'-]+\p{L}"  # quotation marks and dashes around a word are no part of it
 
 
 def _digits(value: Column) -> Column:
@@ -35,10 +35,10 @@ def base_spans(text: Column) -> dict[str, Column]:
     small = lambda s: F.forall(F.split(F.regexp_replace(s["value"], r"(?<![0-9])0+(?=[0-9])", ""), r"\."), low)
     n_digits = lambda s: F.length(_digits(s["value"]))
     return {
-        "email": S.when(F.contains(text, F.lit("@")), S.found(text, EMAIL, AROUND)),
-        "ip": F.filter(S.when(F.rlike(text, F.lit(r"[0-9]\.[0-9]+\.[0-9]")), S.found(text, IP, AROUND)), small),
-        "card": F.filter(S.when(F.rlike(text, F.lit(r"[0-9](?:[\x20-]?[0-9]){12}")), S.found(text, CARD, AROUND)), lambda s: _luhn(s["value"])),
-        "phone": F.filter(S.when(F.contains(text, F.lit("+")), S.found(text, PHONE, AROUND)), lambda s: n_digits(s).between(9, 15)),
+        "email": S.when(F.contains(text, F.lit("@")), S.found(text, EMAIL)),
+        "ip": F.filter(S.when(F.rlike(text, F.lit(r"[0-9]\.[0-9]+\.[0-9]")), S.found(text, IP)), small),
+        "card": F.filter(S.when(F.rlike(text, F.lit(r"[0-9](?:[\x20-]?[0-9]){12}")), S.found(text, CARD)), lambda s: _luhn(s["value"])),
+        "phone": F.filter(S.when(F.contains(text, F.lit("+")), S.found(text, PHONE)), lambda s: n_digits(s).between(9, 15)),
     }
 
 
@@ -51,18 +51,36 @@ def _entity(kind: str, s: Column) -> Column:
     return F.concat(F.lit(kind + ":"), F.lower(value) if kind in ("email", "ip") else _digits(value))
 
 
-def _context(kind: str, s: Column) -> Column:
-    """Terms beside a span: entity, term and place. A word the context cuts off is none."""
-    entity = _entity(kind, s)
-    left, right = s["before"], s["after"]
-    one = lambda t, shift: F.struct(
-        entity.alias("entity"), F.lower(t["value"]).alias("term"), (t["start"] + shift).alias("start"), (t["end"] + shift).alias("end")
-    )
-    ahead = F.filter(S.found(left, TERM), lambda t: (t["start"] > 0) | (F.length(left) < AROUND))
-    behind = F.filter(S.found(right, TERM), lambda t: (t["end"] < F.length(right)) | (F.length(right) < AROUND))
-    return F.concat(
-        F.transform(ahead, lambda t: one(t, s["start"] - F.length(left))), F.transform(behind, lambda t: one(t, s["end"]))
-    )
+def _masked(text: Column, spans: Column) -> Column:
+    """The text with as many spaces in place of its spans, so every other place stays."""
+    start = F.expr("named_struct('at', 0L, 'out', cast(array() as array<string>))")
+    piece = lambda a, b: F.substring(text, (a + 1).cast("int"), (b - a).cast("int"))
+
+    def step(acc, s):
+        begin, end = F.greatest(s["start"], acc["at"]), F.greatest(s["end"], acc["at"])
+        one = F.concat(piece(acc["at"], begin), F.repeat(F.lit(" "), (end - begin).cast("int")))
+        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+    return F.aggregate(F.array_sort(spans), start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), piece(acc["at"], F.length(text))))
+
+
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
+
+
+def _places(text: Column, marks: Column) -> Column:
+    """Spans of all occurrences of the terms in ``marks``. Only these are appended, so it is linear in the other words."""
+    both = F.arrays_zip(F.split(text, TERM, -1).alias("gap"), F.regexp_extract_all(text, F.lit(TERM), F.lit(0)).alias("value"))
+    start = F.expr("named_struct('at', 0L, 'out', cast(array() as array<struct<start:bigint,end:bigint,mark:string>>))")
+
+    def step(acc, x):
+        begin = acc["at"] + F.length(x["gap"])
+        end = begin + F.length(x["value"])
+        mark = F.when(x["value"].isNotNull(), F.try_element_at(marks, F.lower(x["value"])))
+        out = F.concat(acc["out"], F.array(F.struct(begin.alias("start"), end.alias("end"), mark.alias("mark"))))
+        return F.struct(F.coalesce(end, begin).alias("at"), F.when(mark.isNotNull(), out).otherwise(acc["out"]).alias("out"))
+
+    return F.aggregate(both, start, step, lambda acc: acc["out"])
 
 
 def find_personal(
@@ -75,38 +93,45 @@ def find_personal(
 ) -> DataFrame:
     """Per row: id, the spans of each kind (``email ip card phone``: start, end, value ...) and ``terms`` (start, end, mark).
 
-    An entity (the same address or number anywhere) is disclosed by a term of its contexts when PMI(entity; term) over the
-    information of the entity, that is 1 + log p(entity | term) / -log p(entity), reaches ``disclosure``; p is the share of rows,
-    and the two must meet in ``support`` rows. Such terms get the mark ``[TERM]``, from ``removal`` on none (they go).
-    Words are counted over all rows once a row, combined before the shuffle; hot entities and terms stay sums. Null texts
-    are empty and have no spans; repeated rows count as rows of their own. The scan is a written table.
+    An entity (the same address or number anywhere) is disclosed by a term when PMI(entity; term) over the information of
+    the entity, that is 1 + log p(entity | term) / -log p(entity), reaches ``disclosure``; p is the share of rows, and the two
+    must meet in ``support`` rows, anywhere in their texts outside the spans. Every occurrence of such a term in any row
+    gets the mark ``[TERM]``, from ``removal`` on none (they go). Words are counted over all rows once a row, combined before
+    the shuffle; terms that cannot reach the ratio with an entity, however often they meet, go before pairs are made. Hot
+    entities and terms stay sums. Null texts are empty and have no spans; repeated rows count as rows of their own. The
+    scan is a written table.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     source = docs.select(F.col(id_col).alias("_id"), text.alias("_t"))
-    scanned = source.select("_id", *(x.alias(k) for k, x in base_spans(F.col("_t")).items()))
-    rows = written(scanned.withColumn("_row", F.monotonically_increasing_id()), "personal")
-    near = F.flatten(F.concat(*(F.transform(k, _of(_context, k)) for k in KINDS)))
+    scanned = source.select("_id", "_t", *(x.alias(k) for k, x in base_spans(F.col("_t")).items()))
     some = sum((F.size(k) for k in KINDS[1:]), F.size(KINDS[0])) > 0
-    places = written(rows.filter(some).select("_row", near.alias("c")), "contexts")
-    met = places.select(F.explode(F.array_distinct(F.transform("c", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))).alias("p"))
-    pairs = met.groupBy("p.entity", "p.term").agg(F.count("*").alias("both")).filter(F.col("both") >= support)
-    named = F.array_distinct(F.concat(*(F.transform(k, _of(_entity, k)) for k in KINDS)))
-    entities = rows.filter(some).select(F.explode(named).alias("entity")).groupBy("entity").agg(F.count("*").alias("with_entity"))
-    words = F.array_distinct(F.split(F.lower("_t"), r"[^\p{L}'-]+"))
-    terms = source.select(F.explode(words).alias("term")).filter(F.length("term") >= 3).groupBy("term").agg(F.count("*").alias("with_term"))
+    ends = F.concat(*(F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS))
+    masked = F.when(some, _masked(F.col("_t"), ends)).otherwise(F.col("_t"))
+    rows = written(scanned.withColumn("_m", masked).drop("_t").withColumn("_row", F.monotonically_increasing_id()), "personal")
     n = rows.count()
-    share = F.log(F.col("both") / F.greatest("with_term", "both")) / -F.log(F.greatest(F.col("with_entity"), F.lit(1)) / F.lit(float(max(n, 1) + 1)))
-    telling = written(
-        pairs.join(entities, "entity").join(terms, "term").withColumn("ratio", 1 + share).filter(F.col("ratio") >= disclosure)
-        .select("entity", "term", F.when(F.col("ratio") >= removal, "").otherwise("[TERM]").alias("mark")), "telling",
-    )
-    hits = places.select("_row", F.explode("c").alias("c")).select("_row", "c.*").join(telling, ["entity", "term"])
-    marks = hits.groupBy("_row", "start", "end").agg(F.min("mark").alias("mark")).groupBy("_row").agg(
-        F.array_sort(F.collect_list(F.struct("start", "end", "mark"))).alias("terms")
-    )
+    information = -F.log(F.greatest(F.col("with_entity"), F.lit(1)) / F.lit(float(max(n, 1) + 1)))
+    ratio = lambda both: 1 + F.log(both / F.col("with_term")) / information
+    within_reach = ratio(F.least("with_term", "with_entity")) >= disclosure - 1e-9
+    named = F.array_distinct(F.concat(*(F.transform(k, _of(_entity, k)) for k in KINDS)))
+    holding = rows.filter(some).select("_row", F.explode(named).alias("entity"))
+    entities = written(holding.groupBy("entity").agg(F.count("*").alias("with_entity")).filter(F.col("with_entity") >= support), "entities")
+    most = entities.agg(F.max("with_entity").alias("n")).first()["n"] or 0
+    words = rows.select("_row", F.explode(_terms(F.col("_m"))).alias("term"))
+    counted = words.groupBy("term").agg(F.count("*").alias("with_term")).filter(F.col("with_term") >= support)
+    terms = written(counted.withColumn("with_entity", F.lit(most)).filter(within_reach).drop("with_entity"), "terms")
+    held = written(skew_join(holding, entities, "entity", counts=entities.withColumnRenamed("with_entity", "_n")), "held")
+    beside = rows.filter(some).select("_row", "_m").join(held.select("_row").distinct(), "_row", "left_semi")
+    near = skew_join(beside.select("_row", F.explode(_terms(F.col("_m"))).alias("term")), terms, "term", counts=terms.withColumnRenamed("with_term", "_n"))
+    pairs = held.join(near, "_row").filter(within_reach).groupBy("entity", "term", "with_entity", "with_term").agg(F.count("*").alias("both"))
+    told = pairs.filter(F.col("both") >= support).withColumn("ratio", ratio(F.col("both"))).filter(F.col("ratio") >= disclosure)
+    mark = F.when(F.col("ratio") >= removal, "").otherwise("[TERM]")
+    telling = written(told.groupBy("term").agg(F.min(mark).alias("mark")), "telling")
+    hits = skew_join(words, telling, "term", counts=telling.join(terms, "term").select("term", F.col("with_term").alias("_n")))
+    marks = written(hits.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("term", "mark"))).alias("marks")), "marks")
     none = F.expr("cast(array() as array<struct<start:bigint,end:bigint,mark:string>>)")
     joined = rows.join(marks, "_row", "left")
-    return joined.select(F.col("_id").alias(id_col), *KINDS, F.coalesce("terms", none).alias("terms"))
+    places = F.when(F.col("marks").isNotNull(), _places(F.col("_m"), F.col("marks"))).otherwise(none)
+    return joined.select(F.col("_id").alias(id_col), *KINDS, places.alias("terms"))
 
 
 def _mark(kind: str, s: Column) -> Column:

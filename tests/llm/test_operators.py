@@ -205,6 +205,19 @@ def test_telling_terms_and_random_strings_are_found(spark):
     assert random.pop(1) == ["Zx9Qk2LmV8Rt4Yw7Pb3N"] and not any(random.values())
 
 
+def test_telling_terms_are_counted_and_marked_over_whole_texts(spark):
+    far = " and so on" * 30
+    rows = [(i, f"Dear Quillbrook,{far} yours, ann@x.example.com") for i in range(6)]  # the address is far from the name
+    rows += [(10 + i, f"'Dunmore Vale' <bob@y.example.com>{far}") for i in range(6)]  # a quotation mark before the name
+    rows += [(20, "no address, but Quillbrook - and QUILLBROOK - is named"), (21, "-Dunmore +1 234 567 8901 dunmore"), (22, None)]
+    rows += [(100 + i, f"other words{far}") for i in range(60)]
+    text = dict(rows)
+    found = {r.doc_id: r.terms for r in privacy.find_personal(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    got = {k: [text[k][t.start : t.end] for t in v] for k, v in found.items() if v}
+    want = {i: ["Dear", "Quillbrook", "yours"] for i in range(6)} | {10 + i: ["Dunmore", "Vale"] for i in range(6)}
+    assert got == want | {20: ["Quillbrook", "QUILLBROOK"], 21: ["Dunmore", "dunmore"]}
+
+
 def test_toxicity_grammar_and_held_out_labels(spark, docs, empty):
     (machine, first), lexicon = toxicity.grammar(), toxicity.Lexicon({"idiot": 4.0})
     strength = lambda t: float(np.array(toxicity.START) @ np.array(toxicity.features(t.encode(), lexicon, machine, first) or [0] * 7))
