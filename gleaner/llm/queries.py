@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gleaner.llm import language, leaks, mixing, pages, privacy, repetition, secrets, simhash, tokens, toxicity
+from gleaner.llm import (
+    language, leaks, licenses, mixing, pages, privacy, repetition, runs, search, secrets, simhash, tokens, toxicity,
+)
 from gleaner.llm import spans as S
 from gleaner.llm.common import crc_fold
 from gleaner.session import table
@@ -81,10 +83,36 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(runs.looped(table(spark, sf_dir, "documents")))
+    best = runs.strongest("runs")
+    line = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.withColumn("_best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "_best.start", "_best.length", "_best.period",
+        F.floor(1000 * F.col("_best.length") / F.col("_best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(line, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_licenses(table(spark, sf_dir, "documents"))
+    base, more = F.array_distinct("places.label"), F.array_distinct("spans.label")
+    return found.select(
+        "doc_id", "n_words", F.size("places").cast("long").alias("n_base"), F.array_min("places.start").alias("first_word"),
+        F.array_max("places.start").alias("last_word"), F.array_join(F.array_sort(base), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_union(base, more)), ",").alias("labels"), "score",
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = (
         op1_simhash, op2_decontamination, op3_tokens, op4_pii, op5_secrets, op6_toxicity, op7_extraction, op8_language,
-        op9_mixing, op10_repetition,
+        op9_mixing, op10_repetition, op11_periodic_runs, op12_ranked_search, op13_licenses,
     )
     return {f.__name__: f for f in listed}
 
@@ -131,5 +159,51 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   not base_failed and covered <= 0.5 * n_words and not long kept from f"""
 
 
+#: crc32 of the decimal doc_id, byte by byte and bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(string_split(cast(doc_id as varchar), ''),
+    lambda c: ord(c)::bigint)), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+    lambda x, i: case when x % 2 = 1 then xor(x // 2, 3988292384) else x // 2 end)))"""
+
+_RUNS = rf"""
+with o as (select row_number() over () r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w,
+  case when doc_id is null then 1 else {_CRC} end h from documents),
+s as (select *, len(w) n, h // 10 g from o),
+a as (select *, g % n a, 1 + (n - g % n) // (3 + g % 8) p from s where h % 10 = 0 and n > 0),
+d as (select r, doc_id, w from s where h % 10 <> 0 or n = 0
+  union all select r, doc_id, list_transform(range(n), lambda i: w[1 + case when i < a then i else a + (i - a) % p end]) from a),
+x as (select r, unnest(range(len(w))) i, unnest(w) x from d),
+m as (select a.r, a.i - b.i q, a.i from x a join x b on a.r = b.r and a.x = b.x and b.i < a.i join s on s.r = a.r where 4 * (a.i - b.i) <= s.n),
+k as (select r, q, i, i - row_number() over (partition by r, q order by i) island from m),
+l as (select r, q, min(i) - q s, count(*) + q n from k group by r, q, island),
+u as (select r, s, n, min(q) q from l where n >= greatest(6, 4 * q) group by r, s, n),
+t as (select r, count(*) n_runs, string_agg(s || ',' || n || ',' || q || chr(10), '' order by s, q) listed from u group by r),
+b as (select * from u a where not exists (select 1 from u b where a.r = b.r
+  and (b.n * a.q > a.n * b.q or b.n * a.q = a.n * b.q and (b.s < a.s or b.s = a.s and b.q < a.q)))),
+g as (select distinct r, unnest(range(s + q, s + n)) i from u),
+c as (select r, string_agg(x, ' ' order by i) kept from x anti join g using (r, i) group by r)
+select doc_id, coalesce(n_runs, 0) n_runs, b.s start, b.n length, b.q period, 1000 * b.n // b.q exponent_milli,
+  sha256(coalesce(listed, '')) runs_sha256, sha256(coalesce(kept, '')) collapsed_sha256
+from d left join t using (r) left join b using (r) left join c using (r)"""
+
+_SEARCH = f"""
+with d as (select row_number() over () r, doc_id, {_LEAK_WORDS.format(t="text")} w from documents),
+i as (select row_number() over () k, item_id, {_LEAK_WORDS.format(t="text")} w from benchmark),
+s as (select count(*) filter (len(w) > 0) docs, sum(len(w))::bigint words from d),
+t as (select distinct k, item_id, unnest(w) x from i),
+p as (select r, x, count(*) tf from (select r, unnest(w) x from d) semi join t using (x) group by r, x),
+f as (select x, count(*) df from p group by x),
+q as (select r, x, floor(1000 * ln((2 * docs + 2)::double / (2 * df + 1)::double))::bigint
+    * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(w) * docs) // words))) v
+  from p join f using (x) join d using (r), s),
+g as (select k, item_id, r, doc_id, sum(v)::bigint score from t join q using (x) join d using (r) group by all)
+select item_id, row_number() over (partition by k order by score desc, doc_id, r)::int rank, doc_id, score from g where score > 0
+qualify rank <= 50"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontamination": _LEAKS, "op10_repetition": _REPETITION}
+    return {
+        "op2_decontamination": _LEAKS,
+        "op10_repetition": _REPETITION,
+        "op11_periodic_runs": _RUNS,
+        "op12_ranked_search": _SEARCH,
+    }
