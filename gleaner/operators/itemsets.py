@@ -5,12 +5,13 @@ set in a basket is extended by later frequent items of that basket.
 
 Very large baskets would list a power of their size. There are few of them and each adds at most one to any
 support, so baskets above a size limit are set aside, at most half the support in number: with ``h`` baskets
-aside, a frequent set has support of at least ``support - h`` in the rest. Sets are mined there at that lower
-threshold and counted again, exactly, in the baskets set aside.
+aside, a frequent set has support of at least ``support - h`` in the rest. Sets that reach this there are counted in
+the baskets set aside, level by level, before they grow.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from functools import reduce
 
@@ -23,6 +24,7 @@ from gleaner.operators.skew import skew_join
 from gleaner.session import written
 
 LARGE_BASKET = 200  # items; larger baskets are set aside
+BROADCAST_BUCKETS = 1 << 27  # buckets whose bitmap, two million words, travels to every task
 
 
 def baskets(pairs: DataFrame, key: str, item: str, min_size: int = 1) -> DataFrame:
@@ -76,52 +78,99 @@ def _set_aside(rows: DataFrame, support: int, large: int) -> tuple[DataFrame, Da
     return written(ordinary, "ordinary"), written(aside, "aside"), n_aside
 
 
+def _candidates(frequent: DataFrame, scope: list[str], k: int) -> DataFrame:
+    """Sets of ``k + 1`` items whose every subset of ``k`` is frequent: ``scope, i1 … i(k+1), least``.
+
+    Two frequent sets that share all but their last item make one; the other subsets are looked up by key. ``least``, the
+    smaller support of the two, bounds the support of the new set. Nothing here looks at a basket.
+    """
+    shared, last = [f"i{j}" for j in range(1, k)], f"i{k}"
+    one = frequent.select(*scope, *shared, last, F.col("support").alias("_s1"))
+    two = frequent.select(*scope, *shared, F.col(last).alias(f"i{k + 1}"), F.col("support").alias("_s2"))
+    made = one.join(two, [*scope, *shared]).filter(F.col(last) < F.col(f"i{k + 1}"))
+    made = made.withColumn("least", F.least("_s1", "_s2")).drop("_s1", "_s2")
+    for left_out in range(1, k):
+        subset = [f"i{j}" for j in range(1, k + 2) if j != left_out]
+        known = frequent.select(*scope, *(F.col(f"i{j}").alias(name) for j, name in enumerate(subset, 1)))
+        made = made.join(known, [*scope, *subset], "left_semi")
+    return made
+
+
+def _held(aside: DataFrame, found: DataFrame, scope: list[str], k: int) -> DataFrame:
+    """Occurrences of the sets in ``found`` in the baskets set aside, from the occurrences of their subsets there."""
+    places = [f"i{j}" for j in range(1, k + 1)]
+    if k == 1:
+        return aside.join(found.select(*scope, "i1"), [*scope, "i1"], "left_semi")
+    sets = found.select(*scope, *places)
+    met = aside.join(sets, [*scope, *places[:-1]])
+    others = aside.withColumnRenamed(f"i{k - 1}", f"i{k}")
+    return met.join(others, [*scope, "basket_id", *places[:-2], f"i{k}"], "left_semi")
+
+
 def _grow(
     rows: DataFrame,
-    keep: Callable[[DataFrame], DataFrame],
+    near: Callable[[DataFrame], DataFrame],
     scope: list[str],
     max_k: int | None,
     prune: Callable[[DataFrame, int], DataFrame] | None = None,
+    aside: DataFrame | None = None,
+    keep: Callable[[DataFrame], DataFrame] | None = None,
 ) -> list[DataFrame]:
-    """Frequent sets of every level.
+    """Frequent sets of every level: ``scope, items, support``.
+
+    ``rows`` has ``basket_id, item`` and the ``scope`` columns (the chunk of a two-pass run). A set of level k is held in
+    columns ``i1 … ik``; its occurrences are joined once and written, then counted and filtered from there. From pairs on
+    only candidates are listed, sets whose every subset is frequent, in baskets that hold the two sets they are made of.
 
-    ``rows`` has ``basket_id, item`` and the ``scope`` columns (the chunk of a two-pass run). A set of level k
-    is held in columns ``i1 … ik``; its occurrences are joined once and written, then counted and filtered from there.
-    ``keep(counts)`` applies the support threshold to ``scope, items, support``. ``prune(occurrences, k)`` may drop
-    occurrences before they are counted; it then finds the sum of their items' ``token`` in ``sum``.
+    ``near(counts)`` applies the support threshold to ``scope, items, support``. Baskets in ``aside`` (as ``rows``) list no
+    pairs: ``near`` then lets through what they could still lift over the support, those sets are counted there level by
+    level, and ``keep`` applies the support to the sum, so no set that is not frequent is ever extended.
+    ``prune(occurrences, k)`` may drop occurrences before they are counted; other columns of ``rows`` stand beside the items
+    of pairs (as they are and with an underscore) until it drops them.
     """
     here = [*scope, "basket_id"]
     levels: list[DataFrame] = []
-    tokens = [F.col("token").alias("sum"), F.col("token").alias("last")] if prune is not None else []
-    occurrences, k = rows.select(*here, F.col("item").alias("i1"), *tokens), 1
+    occurrences, k = rows.withColumnRenamed("item", "i1"), 1
+    held = None if aside is None else aside.select(*here, F.col("item").alias("i1"))
     while True:
         places = [f"i{j}" for j in range(1, k + 1)]
+        key = [*scope, *places]
         if k > 1:
             occurrences = written(occurrences if prune is None else prune(occurrences, k), f"occurrences{k}")
-        counts = occurrences.groupBy(*scope, *places).agg(F.count("*").alias("support"))
-        frequent = written(keep(counts.withColumn("items", F.array(*places))), f"frequent{k}")
+        counts = occurrences.groupBy(*key).agg(F.count("*").alias("support"))
+        frequent = near(counts)
+        if held is not None:
+            frequent = written(frequent, f"near{k}")
+            held = written(_held(held, frequent, scope, k), f"held{k}")
+            more = held.groupBy(*key).agg(F.count("*").alias("_more"))
+            total = F.col("support") + F.coalesce("_more", F.lit(0))
+            frequent = keep(frequent.join(more, key, "left").withColumn("support", total).drop("_more"))
+        frequent = written(frequent, f"frequent{k}")
         if frequent.isEmpty():
             return levels
-        levels.append(frequent.select(*scope, "items", "support"))
+        levels.append(frequent.select(*scope, F.array(*places).alias("items"), "support"))
         if k == max_k:
             return levels
-        # a frequent set may occur in a large share of the baskets; its support says so
-        key = [*scope, *places]
-        kept = skew_join(
-            occurrences, frequent.select(*key), key, "left_semi",
-            counts=frequent.select(*key, F.col("support").alias("_n")),
-        )
+        if held is not None:
+            held = held.join(frequent.select(*key), key, "left_semi")
+        shared, last, new = places[:-1], places[-1], f"i{k + 1}"
         if k == 1:
-            later = kept.withColumnsRenamed({"i1": "i2", "last": "next"}).drop("sum")
-            occurrences = kept.join(later, here).filter(F.col("i1") < F.col("i2"))
+            # a frequent item may occur in a large share of the baskets; its support says so
+            size = frequent.select(*key, F.col("support").alias("_n"))
+            kept = skew_join(occurrences, frequent.select(*key), key, "left_semi", counts=size)
+            extra = [F.col(c).alias(f"_{c}") for c in rows.columns if c not in (*here, "item")]  # what pruning pairs needs
+            two = kept.select(*here, F.col("i1").alias("i2"), *extra)
+            occurrences = kept.join(two, here).filter(F.col("i1") < F.col("i2"))
         else:
-            if k == 2:
-                kept = frequent_pairs = written(kept, "frequent-pairs")
-            # the last two items of a frequent set are a frequent pair
-            follows = frequent_pairs.withColumnsRenamed({"i2": f"i{k + 1}", "i1": f"i{k}", "last": "next"}).drop("sum")
-            occurrences = kept.join(follows, [*here, f"i{k}"])
-        if prune is not None:
-            occurrences = occurrences.withColumns({"sum": F.col("sum") + F.col("next"), "last": F.col("next")}).drop("next")
+            wanted = written(_candidates(frequent, scope, k), f"candidates{k + 1}")
+            if wanted.isEmpty():
+                return levels
+            one = occurrences.join(wanted.select(*key), key, "left_semi")
+            ends = wanted.select(*scope, *shared, F.col(new).alias(last))
+            two = occurrences.join(ends, key, "left_semi").withColumnRenamed(last, new)
+            met = one.join(two, [*here, *shared]).filter(F.col(last) < F.col(new))
+            size = wanted.select(*key, new, F.col("least").alias("_n"))
+            occurrences = skew_join(met, wanted.select(*key, new), [*key, new], "left_semi", counts=size)
         k += 1
 
 
@@ -158,13 +207,6 @@ def contained(rows: DataFrame, candidates: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _with_aside(found: DataFrame, aside: DataFrame | None, least: int) -> DataFrame:
-    if aside is not None:
-        extra = contained(aside, found.select("items"))
-        found = found.unionByName(extra).groupBy("items").agg(F.sum("support").alias("support"))
-    return found.filter(F.col("support") >= least)
-
-
 def _shaped(found: DataFrame) -> DataFrame:
     return found.select("items", F.size("items").alias("size"), F.col("support").cast("long"))
 
@@ -175,44 +217,48 @@ def frequent_itemsets(
     max_k: int | None = None,
     strict: bool = False,
     method: str = "levelwise",
-    buckets: int = 1000,
+    buckets: int | None = None,
     chunks: int = 4,
     large: int = LARGE_BASKET,
     candidates: DataFrame | None = None,
 ) -> DataFrame:
     """``items, size, support`` of all sets in at least ``support`` baskets (more than, if ``strict``).
 
-    ``rows`` are distinct ``basket_id, item``. ``levelwise``, ``pcy`` (bucket counts drop occurrences before
-    they are counted), ``son`` (two passes over chunks) and ``fpgrowth`` give the same answer; ``fpgrowth`` holds
-    a basket as one list, of at most the size beyond which baskets are set aside. ``candidates``
-    (``items``) is the first pass of ``son``, if it is there already.
+    ``rows`` are distinct ``basket_id, item``. ``levelwise``, ``pcy`` (a bitmap of full buckets drops occurrences before
+    they are listed; ``buckets`` is twice the baskets by default), ``son`` (two passes over chunks) and ``fpgrowth`` give
+    the same answer; ``fpgrowth`` holds a basket as one list, of at most the size beyond which baskets are set aside.
+    ``candidates`` (``items``) is the first pass of ``son``, if it is there already.
     """
     rows = rows.select("basket_id", "item")
     least = support + 1 if strict else support
+    if method == "son":
+        if candidates is None:
+            candidates = written(_chunk_frequent(rows, least, chunks, max_k, None, large).select("items").distinct(), "candidates")
+        # the second pass only counts: every frequent set is among the candidates
+        found = contained(rows, candidates.select("items")).filter(F.col("support") >= least)
+        return _shaped(found if max_k is None else found.filter(F.size("items") <= max_k))
+
     ordinary, aside, n_aside = _set_aside(rows, least, large)
     threshold = least - n_aside
-
     if method == "fpgrowth":
         found = _fpgrowth(ordinary, threshold, max_k)
-    elif method == "son":
-        if candidates is None:
-            first_pass = _chunk_frequent(ordinary, threshold, chunks, max_k, None)
-            candidates = written(first_pass.select("items").distinct(), "candidates")
-        # the second pass only counts: every frequent set is among the candidates
-        found = contained(ordinary, candidates.select("items")).filter(F.col("support") >= threshold)
-        if max_k is not None:
-            found = found.filter(F.size("items") <= max_k)
-    else:
-        keep = lambda counts: counts.filter(F.col("support") >= threshold)
-        prune = None
-        if method == "pcy":
-            ordinary = written(_tokens_of(ordinary), "coded")
-            prune = lambda met, k: _bucket_prune(met, k, ordinary, threshold, buckets)
-        levels = _grow(ordinary, keep, [], max_k, prune)
-        if not levels:
-            return _shaped(ordinary.select(F.array("item").alias("items"), F.lit(0).alias("support")).limit(0))
-        found = reduce(DataFrame.unionByName, levels)
-    return _shaped(_with_aside(found, aside, least))
+        if aside is not None:
+            more = contained(aside, found.select("items"))
+            found = found.unionByName(more).groupBy("items").agg(F.sum("support").alias("support"))
+        return _shaped(found.filter(F.col("support") >= least))
+
+    near = lambda counts: counts.filter(F.col("support") >= threshold)
+    keep = lambda counts: counts.filter(F.col("support") >= least)
+    prune = None
+    if method == "pcy":
+        bits = buckets or bitmap_size(rows)
+        coded = written(_tokens_of(ordinary).withColumn("r", F.col("token") % F.lit(_side(bits))).drop("token"), "coded")
+        prune = lambda met, k: _bucket_prune(met, k, coded, threshold, bits)
+        ordinary = coded
+    levels = _grow(ordinary, near, [], max_k, prune, aside, keep)
+    if not levels:
+        return _shaped(rows.select(F.array("item").alias("items"), F.lit(0).alias("support")).limit(0))
+    return _shaped(reduce(DataFrame.unionByName, levels))
 
 
 def _fpgrowth(rows: DataFrame, threshold: int, max_k: int | None) -> DataFrame:
@@ -233,40 +279,70 @@ def _tokens_of(rows: DataFrame) -> DataFrame:
     return coded.select("basket_id", F.col("id").alias("item"), "token")
 
 
+def bitmap_size(rows: DataFrame) -> int:
+    """Buckets of a bitmap over these baskets: two for each."""
+    return 2 * max(1, rows.select("basket_id").distinct().count())
+
+
+def _side(buckets: int) -> int:
+    """Residues whose pairs, equal ones included, fill at most ``buckets`` buckets."""
+    return max(1, (math.isqrt(8 * buckets + 1) - 1) // 2)
+
+
+def _pair_bucket(r1: Column, r2: Column) -> Column:
+    """Bucket of two residues in any order."""
+    high = F.greatest(r1, r2)
+    return F.shiftright(high * (high + 1), 1) + F.least(r1, r2)
+
+
 def _bucket_prune(met: DataFrame, k: int, coded: DataFrame, threshold: int, buckets: int) -> DataFrame:
-    """Occurrences whose bucket, the sum of the items' tokens modulo ``buckets``, reaches the threshold.
+    """Occurrences whose bucket reaches the threshold, by a bitmap of such buckets; one bitmap for each level.
 
-    Pair buckets are counted from residues before any pair is listed; those of larger sets from their occurrences.
+    Pair buckets are counted from residues (column ``r`` of ``coded``) before any pair is listed; those of larger sets from
+    a hash of their items, as they are met, before they are written.
     """
     if k == 2:
-        full = _pair_buckets(coded, buckets).filter(F.col("n") >= threshold).select("bucket")
-        met = met.withColumn("bucket", F.pmod("sum", F.lit(buckets)))
+        placed = met.withColumn("_bucket", _pair_bucket(F.col("r"), F.col("_r"))).drop("r", "_r")
+        counts = _pair_buckets(coded)
     else:
-        met = written(met.withColumn("bucket", F.pmod("sum", F.lit(buckets))), f"met{k}")
-        full = met.groupBy("bucket").agg(F.count("*").alias("n")).filter(F.col("n") >= threshold).select("bucket")
-    return met.join(F.broadcast(full), "bucket", "left_semi").drop("bucket")  # at most ``buckets`` rows
+        placed = met.withColumn("_bucket", F.pmod(F.xxhash64(*[f"i{j}" for j in range(1, k + 1)]), F.lit(buckets)))
+        counts = placed.groupBy(F.col("_bucket").alias("bucket")).agg(F.count("*").alias("n"))
+    return _in_bitmap(placed, "_bucket", bitmap(counts.filter(F.col("n") >= threshold)), buckets).drop("_bucket")
+
 
+def bitmap(full: DataFrame) -> DataFrame:
+    """``at, word``: the buckets of ``full`` as bits, 64 to a word; words without a bit are left out."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bucket").bitwiseAND(F.lit(63)).cast("int"))
+    return full.groupBy(F.shiftright("bucket", 6).alias("at")).agg(F.bit_or(bit).alias("word"))
 
-def pcy_buckets(rows: DataFrame, support: int, buckets: int) -> DataFrame:
-    """``bucket, n``: pair buckets that reach ``support``; a pair falls in bucket ``(t1 + t2) mod buckets``.
 
-    Only residues matter, so a basket is first reduced to a count per residue: at most ``buckets`` rows,
-    whatever its size, meet each other.
+def _in_bitmap(rows: DataFrame, bucket: str, words: DataFrame, buckets: int) -> DataFrame:
+    """Rows whose bucket is set. Up to ``BROADCAST_BUCKETS`` buckets the words travel to the rows, beyond they meet by key."""
+    placed = rows.withColumn("at", F.shiftright(bucket, 6))
+    met = placed.join(F.broadcast(words), "at") if buckets <= BROADCAST_BUCKETS else skew_join(placed, words, "at")
+    return met.filter(F.getbit("word", F.col(bucket).bitwiseAND(F.lit(63)).cast("int")) == 1).drop("at", "word")
+
+
+def pcy_buckets(rows: DataFrame, support: int, buckets: int | None = None) -> DataFrame:
+    """``bucket, n``: pair buckets that reach ``support``, of at most ``buckets`` (twice the baskets by default).
+
+    An item falls to a residue of its token, a pair to the bucket of its two residues. A basket is first reduced to a
+    count per residue, so no more rows meet each other than there are buckets, whatever its size.
     """
-    return _pair_buckets(_tokens_of(rows), buckets).filter(F.col("n") >= support)
+    side = _side(buckets or bitmap_size(rows))
+    coded = _tokens_of(rows).withColumn("r", F.col("token") % F.lit(side))
+    return _pair_buckets(coded).filter(F.col("n") >= support)
 
 
-def _pair_buckets(coded: DataFrame, buckets: int) -> DataFrame:
-    residues = coded.groupBy("basket_id", F.pmod("token", F.lit(buckets)).alias("r")).agg(F.count("*").alias("c"))
-    residues = written(residues, "residues")
+def _pair_buckets(coded: DataFrame) -> DataFrame:
+    residues = written(coded.groupBy("basket_id", "r").agg(F.count("*").alias("c")), "residues")
     one = residues.select("basket_id", F.col("r").alias("r1"), F.col("c").alias("c1"))
     two = residues.select("basket_id", F.col("r").alias("r2"), F.col("c").alias("c2"))
     across = one.join(two, "basket_id").filter(F.col("r1") < F.col("r2")).select(
-        F.pmod(F.col("r1") + F.col("r2"), F.lit(buckets)).alias("bucket"), (F.col("c1") * F.col("c2")).alias("n")
+        _pair_bucket(F.col("r1"), F.col("r2")).alias("bucket"), (F.col("c1") * F.col("c2")).alias("n")
     )
     within = residues.filter(F.col("c") > 1).select(
-        F.pmod(F.col("r") * 2, F.lit(buckets)).alias("bucket"),
-        F.expr("c * (c - 1) div 2").alias("n"),
+        _pair_bucket(F.col("r"), F.col("r")).alias("bucket"), F.expr("c * (c - 1) div 2").alias("n")
     )
     return across.unionByName(within).groupBy("bucket").agg(F.sum("n").alias("n"))
 
@@ -283,28 +359,110 @@ def itemset_candidates(
     A chunk with ``c`` of the ``N`` baskets asks for ``ceil(support * c / N)``. A set with global
     support has that in some chunk, so this contains every frequent set.
     """
-    rows = rows.select("basket_id", "item")
-    found = _chunk_frequent(rows, support, chunks, max_k, chunk).select("items").distinct()
+    found = _chunk_frequent(rows.select("basket_id", "item"), support, chunks, max_k, chunk).select("items").distinct()
     return found.select("items", F.size("items").alias("size"))
 
 
 def _chunk_frequent(
-    rows: DataFrame, support: int, chunks: int, max_k: int | None, chunk: Column | None
+    rows: DataFrame, support: int, chunks: int, max_k: int | None, chunk: Column | None, large: int = LARGE_BASKET
 ) -> DataFrame:
-    """``chunk, items, support`` of the sets frequent inside a chunk."""
+    """``chunk, items, support`` of the sets frequent inside a chunk.
+
+    Each chunk sets its largest baskets aside, at most half its own threshold in number and of over ``large`` items: they
+    list no pairs, and the sets that they may lift over the threshold are counted in them by key, in time linear in
+    their items. The thresholds are a table of a row a chunk.
+    """
     place = chunk if chunk is not None else F.pmod(F.xxhash64("basket_id"), F.lit(chunks))
-    placed = rows.withColumn("chunk", place.cast("int"))
-    shares = placed.groupBy("chunk").agg(F.count_distinct("basket_id").alias("c")).collect()  # one row per chunk
-    total = sum(r["c"] for r in shares)
-    if not total:
-        return placed.select("chunk", F.array("item").alias("items"), F.lit(0).alias("support")).limit(0)
+    placed = written(rows.withColumn("chunk", place.cast("int")), "chunks")
+    size = written(placed.groupBy("chunk", "basket_id").agg(F.count("*").alias("_n")), "chunk-baskets")
+    seen = size.agg(F.count("*").alias("baskets"), F.max("_n").alias("top")).first()
+    if not seen["baskets"]:
+        return placed.select("chunk", F.array("item").alias("items"), F.lit(0).cast("long").alias("support")).limit(0)
+    limits = [large]
+    while limits[-1] < seen["top"]:
+        limits.append(limits[-1] * 2)
     # ceiling division in whole numbers
-    needs = [(r["chunk"], -(-support * r["c"] // total)) for r in shares]
-    need = F.create_map(*[F.lit(v) for pair in needs for v in pair])
-    levels = _grow(placed, lambda counts: counts.filter(F.col("support") >= need[F.col("chunk")]), ["chunk"], max_k)
+    need = F.expr(f"({support}L * c + {seen['baskets'] - 1}L) div {seen['baskets']}L")
+    shares = size.groupBy("chunk").agg(
+        F.count("*").alias("c"), *[F.count_if(F.col("_n") > limit).alias(f"a{limit}") for limit in limits]
+    ).withColumn("need", need)
+    fits = [F.when(F.col(f"a{t}") <= F.shiftright("need", 1), F.struct(F.lit(t).alias("limit"), F.col(f"a{t}").alias("n"))) for t in limits]
+    shares = written(shares.withColumn("_fit", F.coalesce(*fits)).select("chunk", "need", "_fit.limit", "_fit.n"), "chunk-limits")
+    above = lambda counts, least: counts.join(shares.select("chunk", least.alias("_least")), "chunk").filter(
+        F.col("support") >= F.col("_least")
+    ).drop("_least")
+    near = lambda counts: above(counts, F.col("need") - F.col("n"))
+    keep = lambda counts: above(counts, F.col("need"))
+    aside = None
+    if seen["top"] > large:
+        over = size.join(shares, "chunk").filter(F.col("_n") > F.col("limit")).select("chunk", "basket_id")
+        over = written(over, "over")
+        here = ["chunk", "basket_id"]
+        aside = written(skew_join(placed, over, here, "left_semi", counts=size), "aside")
+        placed = written(skew_join(placed, over, here, "left_anti", counts=size), "ordinary")
+    levels = _grow(placed, near, ["chunk"], max_k, None, aside, keep)
+    if not levels:
+        return placed.select("chunk", F.array("item").alias("items"), F.lit(0).cast("long").alias("support")).limit(0)
     return reduce(DataFrame.unionByName, levels)
 
 
+def multiset_baskets(pairs: DataFrame, key: str, item: str) -> DataFrame:
+    """``basket_id, item, n``: items of each basket with how often it holds them."""
+    return pairs.groupBy(F.col(key).alias("basket_id"), F.col(item).alias("item")).agg(F.count("*").alias("n"))
+
+
+def frequent_multisets(rows: DataFrame, support: int, max_k: int = 3, strict: bool = True) -> DataFrame:
+    """``items, size, support`` of the multisets of up to ``max_k`` items met more than (at least, unless ``strict``)
+    ``support`` times, repeats inside a basket included.
+
+    ``rows`` are distinct ``basket_id, item, n``. A basket meets a multiset as often as its items can be picked from it:
+    the item ``a`` n times, the pair (a, b) n(a) n(b) times, (a, a) n(a) (n(a) - 1) / 2 times, and so on. Counts are
+    products of the numbers of a row per item; repeats are never listed. A multiset is listed in the baskets that hold it
+    only if all its parts of one item less are frequent.
+    """
+    least = support + 1 if strict else support
+    occurrences = rows.select("basket_id", F.col("item").alias("i1"), F.col("n").alias("ways"), "n", F.lit(1).cast("long").alias("m"))
+    levels, singles, k = [], None, 1
+    while True:
+        places = [f"i{j}" for j in range(1, k + 1)]
+        if k > 1:
+            occurrences = written(occurrences, f"multi{k}")
+        counts = occurrences.groupBy(*places).agg(F.sum("ways").alias("support"), F.count("*").alias("_n"))
+        frequent = written(counts.filter(F.col("support") >= least), f"multi-frequent{k}")
+        if frequent.isEmpty():
+            break
+        levels.append(frequent.select(F.array(*places).alias("items"), "support"))
+        if k == max_k:
+            break
+        last, new = places[-1], f"i{k + 1}"
+        sized = frequent.select(*places, "_n")
+        kept = skew_join(occurrences, frequent.select(*places), places, "left_semi", counts=sized)
+        if k == 1:
+            singles = written(kept.select("basket_id", F.col("i1").alias("_item"), F.col("n").alias("_more")), "multi-items")
+        met = kept.join(singles, "basket_id").filter(
+            (F.col("_item") > F.col(last)) | ((F.col("_item") == F.col(last)) & (F.col("n") > F.col("m")))
+        )
+        same = F.col("_item") == F.col(last)
+        again = F.expr("ways * (n - m) div (m + 1)")
+        grown = met.select(
+            "basket_id", *places, F.col("_item").alias(new),
+            F.when(same, again).otherwise(F.col("ways") * F.col("_more")).alias("ways"),
+            F.col("_more").alias("n"), F.when(same, F.col("m") + 1).otherwise(F.lit(1)).alias("m"),
+        )
+        if k > 1:
+            wanted = frequent.select(*places).join(frequent.select(*places[:-1], F.col(last).alias(new)), places[:-1])
+            wanted = wanted.filter(F.col(last) <= F.col(new))
+            for left_out in range(1, k):
+                subset = [f"i{j}" for j in range(1, k + 2) if j != left_out]
+                known = frequent.select(*(F.col(f"i{j}").alias(name) for j, name in enumerate(subset, 1)))
+                wanted = wanted.join(known, subset, "left_semi")
+            grown = grown.join(written(wanted, f"multi-candidates{k + 1}"), [*places, new], "left_semi")
+        occurrences, k = grown, k + 1
+    if not levels:
+        return _shaped(rows.select(F.array("item").alias("items"), F.lit(0).alias("support")).limit(0))
+    return _shaped(reduce(DataFrame.unionByName, levels))
+
+
 def itemset_report(candidates: DataFrame, frequent: DataFrame, per_line: int = 1000) -> DataFrame:
     """``line_no, line``: both lists, one line per size and a blank line between, items as ``('a', 'b')``.
 

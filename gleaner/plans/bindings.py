@@ -21,13 +21,16 @@ STATE = "Brand#4"
 TEST_FROM = "2001-01-01 00:00:00"
 SUPPORT_SHARE = 0.0054
 CHUNKS = 4
-PCY_BUCKETS = 97
+BLOOM_RATE = 0.01
 SIM_HASHES = 1000
 SIM_BANDS = 500
 MIN_JACCARD = 0.05
 WINDOW = "30 minutes"
 SLIDE = "10 minutes"
 WATERMARK = "10 minutes"
+REPLAY_PARTS = 4
+AFTER_LAST = "50 minutes"  # window, watermark and slide
+TRACKED = ["of", "the"]
 
 
 def reviews(spark: SparkSession, sf: str) -> DataFrame:
@@ -94,6 +97,18 @@ def bloom_asked(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "customer").select("c_custkey", named.alias("c_name"))
 
 
+def order_names(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders with a name; open ones of unknown state have none."""
+    named = F.when(F.col("o_orderstatus") != "P", F.concat(F.lit("order"), F.col("o_orderkey").cast("string")))
+    return table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", named.alias("name"))
+
+
+def multi_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders and brands, as often as an order holds a part of the brand."""
+    lines, parts = table(spark, sf, "lineitem"), table(spark, sf, "part")
+    return lines.join(parts, lines["l_partkey"] == parts["p_partkey"]).select("l_orderkey", "p_brand")
+
+
 def cities(events: DataFrame) -> DataFrame:
     """Every event with its city; errors have none."""
     named = F.when(F.col("event_type") != "error", F.concat(F.lit("u"), F.col("user_id").cast("string")))
@@ -111,7 +126,8 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "events")
 
 
-def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The event table replayed as a stream of files."""
-    schema = table(spark, sf, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+def tracked_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """Texts as messages: their language, and their first words as tags."""
+    return table(spark, sf, "documents").select(
+        F.col("doc_id").alias("id"), "text", "lang", F.slice(F.split("text", " "), 1, 3).alias("tags")
+    )

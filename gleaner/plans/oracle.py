@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from gleaner.functions.hashing import (
     BLOOM_BITS,
     BLOOM_HASHES,
@@ -14,6 +16,7 @@ from gleaner.functions.hashing import (
     sketch_family,
 )
 from gleaner.functions.text import NUMBER, PUNCTUATION, SPACE_RANGES, WORD_WHOLE
+from gleaner.operators import bloom
 from gleaner.operators.graph import ROUNDS
 from gleaner.operators.recommend import MIN_COMMON, NEIGHBOURS
 from gleaner.operators.sketch import SAMPLE_SIZE
@@ -104,11 +107,25 @@ lines AS (
 SELECT row_number() OVER (ORDER BY section, size, piece) - 1 AS line_no, line FROM lines"""
 
 PCY = f"""WITH {PAIRS}, {SUPPORT},
-t AS (SELECT basket_id, dense_rank() OVER (ORDER BY item) - 1 AS token FROM p)
-SELECT (x.token + y.token) % {b.PCY_BUCKETS} AS bucket, count(*) AS n
-FROM t x JOIN t y ON x.basket_id = y.basket_id AND x.token < y.token
+t AS (SELECT basket_id, (dense_rank() OVER (ORDER BY item) - 1)
+             % CAST(floor((sqrt(16 * (SELECT n FROM s) + 1) - 1) / 2) AS BIGINT) AS r, item FROM p),
+met AS (SELECT greatest(x.r, y.r) AS high, least(x.r, y.r) AS low FROM t x JOIN t y ON x.basket_id = y.basket_id AND x.item < y.item)
+SELECT high * (high + 1) // 2 + low AS bucket, count(*) AS n FROM met
 GROUP BY 1 HAVING count(*) >= (SELECT support FROM s)"""
 
+# every way to pick one, two or three of the lines of an order, by the brands of the lines
+MULTISETS = f"""WITH lines AS (SELECT l_orderkey AS o, p_brand AS item, row_number() OVER () AS i FROM lineitem JOIN part ON l_partkey = p_partkey),
+s AS (SELECT CAST(ceil({b.SUPPORT_SHARE} * count(DISTINCT o)) AS BIGINT) AS support FROM lines),
+x1 AS (SELECT item AS a, count(*) AS n FROM lines GROUP BY 1 HAVING count(*) > (SELECT support FROM s)),
+x2 AS (SELECT least(x.item, y.item) AS a, greatest(x.item, y.item) AS b, count(*) AS n
+       FROM lines x JOIN lines y ON x.o = y.o AND x.i < y.i GROUP BY 1, 2 HAVING count(*) > (SELECT support FROM s)),
+t AS (SELECT list_sort([x.item, y.item, z.item]) AS l FROM lines x JOIN lines y ON x.o = y.o AND x.i < y.i JOIN lines z ON y.o = z.o AND y.i < z.i),
+x3 AS (SELECT l, count(*) AS n FROM t GROUP BY 1 HAVING count(*) > (SELECT support FROM s))
+SELECT a AS items, 1 AS size, n AS support FROM x1
+UNION ALL SELECT a || '|' || b, 2, n FROM x2 WHERE a IN (SELECT a FROM x1) AND b IN (SELECT a FROM x1)
+UNION ALL SELECT array_to_string(l, '|'), 3, n FROM x3 WHERE (l[1], l[2]) IN (SELECT (a, b) FROM x2)
+  AND (l[1], l[3]) IN (SELECT (a, b) FROM x2) AND (l[2], l[3]) IN (SELECT (a, b) FROM x2)"""
+
 TF = f"""{WORDS},
 kept AS (SELECT business_id, word, count(*) AS n FROM words
          WHERE regexp_matches(word, {_text(WORD_PREFIX)}) AND length(word) > 3 AND word NOT IN {STOP}
@@ -309,6 +326,26 @@ hits AS (SELECT c_custkey, count(*) AS hit FROM (
 SELECT c_custkey, c_name, CASE WHEN c_name IS NOT NULL AND hit = {BLOOM_HASHES} THEN 1 ELSE 0 END AS flag
 FROM asked LEFT JOIN hits USING (c_custkey)"""
 
+
+
+def _spots(shape: bloom.Shape) -> str:
+    """Bits of a block for the MD5 ``d``."""
+    high, low = "('0x' || substr(d, 17, 8))::BIGINT", "('0x' || substr(d, 25, 8))::BIGINT"
+    bits = [f"({half} >> {9 * i}) & 511" for half in (high, low) for i in range(3)] + [f"((({high} >> 27) << 5) + ({low} >> 27)) & 511"]
+    return "[" + ", ".join(bits[: shape.hashes]) + "]"
+
+
+_SHAPE = bloom.shape_for(512, b.BLOOM_RATE)  # its hashes hold for any number of keys
+_PER_KEY = bloom.BLOCK_COST * -math.log(b.BLOOM_RATE) / math.log(2) ** 2
+ORDER_FILTER = f"""asked AS (SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus <> 'P' THEN 'order' || o_orderkey END AS name FROM orders),
+keys AS (SELECT DISTINCT name FROM asked WHERE o_orderstatus = 'F'),
+shape AS (SELECT greatest(1, CAST(ceil(count(*) * {_PER_KEY!r}::DOUBLE / 512) AS BIGINT)) AS blocks FROM keys),
+digests AS (SELECT name, name IN (SELECT name FROM keys) AS is_key, md5(name) AS d FROM (SELECT DISTINCT name FROM asked WHERE name IS NOT NULL)),
+spots AS (SELECT name, is_key, ('0x' || substr(d, 1, 15))::BIGINT % blocks AS block, unnest({_spots(_SHAPE)}) AS bit FROM digests, shape),
+bits AS (SELECT DISTINCT block, bit FROM spots WHERE is_key),
+hits AS (SELECT name FROM (SELECT DISTINCT name, block, bit FROM spots) x LEFT JOIN bits y ON x.block = y.block AND x.bit = y.bit
+         GROUP BY name HAVING count(*) = count(y.bit))"""
+
 CITIES = "cities AS (SELECT ts, CASE WHEN event_type <> 'error' THEN 'u' || user_id END AS city FROM events)"
 
 
@@ -330,9 +367,7 @@ WINDOWS = """slots AS (
   FROM cities, (VALUES (0), (1), (2)) AS back(k)),
 named AS (SELECT strftime(w AT TIME ZONE 'UTC', '%Y-%m-%d %H:%M:%S') AS window_start, city FROM slots)"""
 
-CLOSED = """window_start IN (SELECT DISTINCT window_start FROM named
-  WHERE strptime(window_start, '%Y-%m-%d %H:%M:%S') + INTERVAL 30 MINUTE
-        <= (SELECT max(ts) FROM cities WHERE city IS NOT NULL) - INTERVAL 10 MINUTE)"""
+FM_WINDOWS = f"WITH {CITIES}, {WINDOWS}, {_fm('named', 'window_start')}"
 
 _PRIORITY = sketch_family(1, SKETCH_PRIME)[0]
 SAMPLE = f"""messages AS (
@@ -373,6 +408,7 @@ def oracle_sql() -> dict[str, str]:
         "q_itemset_candidates": f"WITH RECURSIVE {PAIRS}, {SUPPORT}, {SUBSETS}, {CHUNK_SETS} SELECT items, size FROM candidates",
         "q_itemset_report": REPORT,
         "q_pcy_buckets": PCY,
+        "q_multisets3": MULTISETS,
         "q_tf": f"WITH {TF} SELECT business_id, word, round(tf, 6) AS tf FROM tf",
         "q_idf": f"WITH {TFIDF} SELECT word, round(idf, 6) AS idf FROM idf",
         "q_tfidf": f"WITH {TFIDF} SELECT business_id, word, round(score, 6) AS score FROM tfidf",
@@ -426,9 +462,46 @@ def oracle_sql() -> dict[str, str]:
         "q_community_lines": COMMUNITY_LINES,
         "q_bloom_bits": f"WITH {BLOOM} SELECT pos FROM bits",
         "q_bloom_probe": BLOOM_PROBE,
+        "q_bloom_blocks": f"WITH {ORDER_FILTER} SELECT block, string_agg(bit, ' ' ORDER BY bit) AS bits FROM bits GROUP BY block",
+        "q_bloom_member": f"""WITH {ORDER_FILTER} SELECT o_orderkey, name, CASE WHEN name IN (SELECT name FROM hits) THEN 1 ELSE 0 END AS flag
+            FROM asked""",
+        "q_bloom_quality": f"""WITH {ORDER_FILTER},
+            n AS (SELECT count(*) FILTER (is_key) AS present, 0::BIGINT AS missed, count(*) FILTER (NOT is_key) AS absent,
+                         count(*) FILTER (NOT is_key AND name IN (SELECT name FROM hits)) AS wrong FROM digests)
+            SELECT present, missed, absent, wrong, TRUE AS within FROM n""",
         "q_fm": f"WITH {CITIES}, {_fm('cities', '')}",
-        "q_fm_windows": f"WITH {CITIES}, {WINDOWS}, {_fm('named', 'window_start')}",
-        "q_fm_windows_stream": f"WITH {CITIES}, {WINDOWS}, {_fm('named', 'window_start', CLOSED)}",
+        "q_fm_windows": FM_WINDOWS,
+        "q_fm_windows_stream": FM_WINDOWS,
+        "q_fm_windows_merged": f"SELECT *, TRUE AS near FROM ({FM_WINDOWS})",
         "q_reservoir_tags": f"WITH {SAMPLE} SELECT unnest(tags) AS tag, count(*) AS n FROM sample GROUP BY 1",
+        "q_tracked_tags": f"""WITH m AS (SELECT doc_id, list_slice(string_split(text, ' '), 1, 3) AS tags FROM documents
+              WHERE lang = 'en' AND list_has_any(regexp_split_to_array(lower(text), '[^a-zA-Z0-9_]+'), {b.TRACKED!r})),
+            sample AS (SELECT * FROM m ORDER BY ({_PRIORITY.a}::HUGEINT * doc_id + {_PRIORITY.c}) % {SKETCH_PRIME}, doc_id LIMIT {SAMPLE_SIZE})
+            SELECT unnest(tags) AS tag, count(*) AS n FROM sample GROUP BY 1""",
+        "q_json_reviews": f"""WITH {REVIEWS} SELECT count(*) AS total,
+            count(*) FILTER (WHERE year(date) = {b.YEAR}) AS in_year, count(DISTINCT user_id) AS users FROM reviews""",
+        "q_csv_pairs": """WITH p AS (SELECT DISTINCT CAST(doc_id % 50 AS VARCHAR) AS basket_id, CAST(source AS VARCHAR) AS item FROM documents)
+            SELECT basket_id, item, count(*) OVER (PARTITION BY basket_id) AS size FROM p""",
+        "q_basket_lines": f"WITH {PAIRS} SELECT item, count(*) AS n FROM p GROUP BY 1",
+        "q_stopword_table": _top_words(WORD_PREFIX),
+        "q_document_lines": _top_words(WORD_PREFIX),
+        "q_report_lines": REPORT,
+        "q_review_report": f"""WITH {REVIEWS},
+            u AS (SELECT user_id, count(*) AS n FROM reviews GROUP BY 1 ORDER BY n DESC, user_id LIMIT {b.TOP}),
+            w AS ({_top_words(WORD_PREFIX)})
+            SELECT count(*) AS total, count(*) FILTER (WHERE year(date) = {b.YEAR}) AS in_year, count(DISTINCT user_id) AS users,
+              (SELECT string_agg(user_id || ':' || n, ' ' ORDER BY n DESC, user_id) FROM u) AS top_users,
+              (SELECT string_agg(word, ' ' ORDER BY word) FROM w) AS top_words FROM reviews""",
+        "q_csv_ordered": f"""WITH {REVIEWS}, {BUSINESS} SELECT row_number() OVER (ORDER BY user_id, business_id) AS line_no, user_id, business_id
+            FROM reviews WHERE business_id IN (SELECT business_id FROM business WHERE coalesce(state, '') = '{b.STATE}')""",
+        "q_windows_csv": f"SELECT row_number() OVER (ORDER BY window_start) AS line_no, * FROM ({FM_WINDOWS})",
+        "q_membership_lines": f"""WITH f AS ({BLOOM_PROBE}), l AS (SELECT flag, row_number() OVER (ORDER BY c_custkey) - 1 AS pos FROM f)
+            SELECT pos // 1000 AS line_no, string_agg(flag, ' ' ORDER BY pos) AS line FROM l GROUP BY 1""",
+        "q_model_store": f"""WITH {USERS},
+            tokens AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS token FROM (SELECT DISTINCT word FROM profile))
+            SELECT CAST(user_id AS VARCHAR) AS id, count(*) AS n, min(token) AS least, max(token) AS most
+            FROM users JOIN tokens USING (word) GROUP BY 1""",
+        "q_content_predict_stored": f"WITH {CONTENT} SELECT user_id, business_id, round(sim, 6) AS sim FROM content",
+        "q_cf_item_predict_ready": ITEM_PREDICT,
         "q_reservoir_stream": f"WITH {SAMPLE} SELECT event_id, array_to_string(tags, '|') AS tags FROM sample",
     }

@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gleaner.functions.hashing import USER_MINHASH_BUCKETS, minhash_family
-from gleaner.operators import graph, itemsets, numbering, recommend, reviews, similarity, sketch, textmodel
+from gleaner.operators import bloom, graph, itemsets, numbering, recommend, reviews, similarity, sketch, textmodel
 from gleaner.operators.pairs import Need
 from gleaner.plans import bindings as b
 from gleaner.session import scratch_path, tune, written
-from gleaner.streaming import windows
-from gleaner.streaming.reservoir import keep_sample, last_sample, tagged
+from gleaner.sources import readers, writers
+from gleaner.streaming import replay, windows
+from gleaner.streaming.reservoir import keep_sample, last_sample, tagged, tracked
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -95,7 +96,7 @@ def _frequent(method: str, max_k: int | None = None, strict: bool = False, sizes
         rows = _baskets(spark, sf)
         support = itemsets.support_count(rows, b.SUPPORT_SHARE)
         found = itemsets.frequent_itemsets(
-            rows, support, max_k, strict, method, buckets=b.PCY_BUCKETS, chunks=b.CHUNKS
+            rows, support, max_k, strict, method, chunks=b.CHUNKS
         )
         return _shown(found if sizes is None else found.filter(F.col("size").isin(sizes)))
 
@@ -111,7 +112,12 @@ def q_itemset_candidates(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_pcy_buckets(spark: SparkSession, sf: str) -> DataFrame:
     rows = _baskets(spark, sf)
-    return itemsets.pcy_buckets(rows, itemsets.support_count(rows, b.SUPPORT_SHARE), b.PCY_BUCKETS)
+    return itemsets.pcy_buckets(rows, itemsets.support_count(rows, b.SUPPORT_SHARE))
+
+
+def q_multisets3(spark: SparkSession, sf: str) -> DataFrame:
+    rows = written(itemsets.multiset_baskets(b.multi_pairs(spark, sf), "l_orderkey", "p_brand"), "multi-baskets")
+    return _shown(itemsets.frequent_multisets(rows, itemsets.support_count(rows, b.SUPPORT_SHARE)))
 
 
 def q_itemset_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -349,6 +355,34 @@ def q_bloom_probe(spark: SparkSession, sf: str) -> DataFrame:
     return sketch.bloom_probe(b.bloom_asked(spark, sf), "c_name", sketch.bloom_bits(b.bloom_build(spark, sf), "c_name"))
 
 
+def _order_filter(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, bloom.Shape]:
+    """Orders asked for, the names of finished ones and the shape of their filter."""
+    asked = b.order_names(spark, sf)
+    keys = asked.filter(F.col("o_orderstatus") == "F").select("name")
+    return asked, keys, bloom.shape_for(bloom.count_keys(keys, "name"), b.BLOOM_RATE)
+
+
+def q_bloom_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    _, keys, shape = _order_filter(spark, sf)
+    held = bloom.build(keys, "name", shape)
+    places = F.sequence(F.lit(0), F.lit(bloom.BLOCK_BITS - 1))
+    words = F.array(*[f"w{w}" for w in range(bloom.WORDS)])
+    is_set = lambda i: F.getbit(F.get(words, F.shiftright(i, 6)), i.bitwiseAND(F.lit(63))) == 1
+    return held.select("block", F.array_join(F.filter(places, is_set).cast("array<string>"), " ").alias("bits"))
+
+
+def q_bloom_member(spark: SparkSession, sf: str) -> DataFrame:
+    asked, keys, shape = _order_filter(spark, sf)
+    return bloom.probe(asked.select("o_orderkey", "name"), "name", bloom.build(keys, "name", shape), shape)
+
+
+def q_bloom_quality(spark: SparkSession, sf: str) -> DataFrame:
+    asked, keys, shape = _order_filter(spark, sf)
+    flags = bloom.probe(asked.select("name"), "name", bloom.build(keys, "name", shape), shape)
+    found = bloom.quality(flags, keys, "name")
+    return found.withColumn("within", F.col("wrong") <= b.BLOOM_RATE * F.col("absent"))
+
+
 def q_fm(spark: SparkSession, sf: str) -> DataFrame:
     return sketch.fm_estimate(b.cities(b.events(spark, sf)), "city")
 
@@ -357,11 +391,28 @@ def q_fm_windows(spark: SparkSession, sf: str) -> DataFrame:
     return windows.fm_windows(b.cities(b.events(spark, sf)), "ts", "city", b.WINDOW, b.SLIDE)
 
 
+def q_fm_windows_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact counts beside the estimates from states that were written per pane and united."""
+    rows = b.cities(b.events(spark, sf))
+    panes = written(windows.pane_sketches(rows, "ts", "city", b.SLIDE), "panes")
+    united = windows.united_windows(panes, b.WINDOW, b.SLIDE)
+    whole = windows.fm_windows(rows, "ts", "city", b.WINDOW, b.SLIDE).select("window_start", "exact")
+    near = F.abs(F.col("sketched") - F.col("exact")) <= F.greatest(F.lit(2.0), 0.1 * F.col("exact"))
+    return whole.join(united, "window_start").select("window_start", "exact", "estimate", near.alias("near"))
+
+
 def q_fm_windows_stream(spark: SparkSession, sf: str) -> DataFrame:
-    found = windows.fm_windows(b.cities(b.event_stream(spark, sf)), "ts", "city", b.WINDOW, b.SLIDE, b.WATERMARK)
-    path = scratch_path(spark, "windows")
-    writer = found.writeStream.outputMode("append").format("parquet").trigger(availableNow=True)
-    writer.option("checkpointLocation", scratch_path(spark, "windows-state")).start(path).awaitTermination()
+    events = b.events(spark, sf)
+    folder, state, path = (scratch_path(spark, name) for name in ("arrived", "windows-state", "windows"))
+    stream = replay.source(spark, folder, events.schema)
+    found = windows.fm_windows(b.cities(stream), "ts", "city", b.WINDOW, b.SLIDE, b.WATERMARK)
+
+    def start():
+        writer = found.writeStream.outputMode("append").format("parquet").trigger(availableNow=True)
+        return writer.option("checkpointLocation", state).start(path)
+
+    last = replay.closing_row(events.filter("event_type <> 'error'"), "ts", b.AFTER_LAST)
+    replay.replay([*replay.parts_of(events, "ts", b.REPLAY_PARTS), last], folder, start)
     return spark.read.schema(found.schema).parquet(path)
 
 
@@ -371,14 +422,131 @@ def q_reservoir_tags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_reservoir_stream(spark: SparkSession, sf: str) -> DataFrame:
-    stream = tagged(b.messages(b.event_stream(spark, sf)))
-    base = scratch_path(spark, "sample")
-    query = keep_sample(stream, "event_id", base, scratch_path(spark, "sample-state"), every=None)
-    query.awaitTermination()
-    sample = last_sample(spark, query, base, stream.schema)
+    events = b.events(spark, sf)
+    folder, state, base = (scratch_path(spark, name) for name in ("arrived", "sample-state", "sample"))
+    stream = tagged(b.messages(replay.source(spark, folder, events.schema)))
+    start = lambda: keep_sample(stream, "event_id", base, state, every=None)
+    replay.replay(replay.parts_of(events, "ts", b.REPLAY_PARTS), folder, start)
+    sample = last_sample(spark, base, stream.schema, "event_id")
     return sample.select("event_id", F.array_join("tags", "|").alias("tags"))
 
 
+def q_tracked_tags(spark: SparkSession, sf: str) -> DataFrame:
+    """Tags of a sample of the English messages that mention a tracked word."""
+    return sketch.tag_counts(sketch.reservoir(tagged(tracked(b.tracked_messages(spark, sf), b.TRACKED)), "id"))
+
+
+# --- sources and sinks: written to the shared folder and read back ---
+
+
+def q_json_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "reviews")
+    shown = F.date_format(F.col("date").cast("timestamp"), readers.DATE_FORMAT)
+    writers.write_json_lines(b.reviews(spark, sf).withColumn("date", shown), path)
+    return reviews.review_stats(readers.read_reviews(spark, path), b.YEAR)
+
+
+def q_csv_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "pairs")
+    writers.write_pairs(b.visits(spark, sf), path)
+    return itemsets.baskets(readers.read_pairs(spark, path), "user_id", "business_id")
+
+
+def q_basket_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """How many baskets of a white-space separated file hold each item."""
+    path = scratch_path(spark, "basket-lines")
+    lists = b.multi_pairs(spark, sf).groupBy("l_orderkey").agg(F.concat_ws(" ", F.collect_list("p_brand")).alias("value"))
+    lists.select("value").write.text(path)
+    return readers.read_baskets(spark, path).groupBy("item").agg(F.count("*").alias("n"))
+
+
+def q_stopword_table(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "stopwords")
+    spark.createDataFrame([(" ".join(b.STOPWORDS),)], "value string").write.text(path)
+    counts = reviews.without_words(reviews.word_counts(b.texts(spark, sf), []), readers.read_stopwords(spark, path))
+    return counts.orderBy(F.desc("n"), "word").limit(b.TOP).orderBy("word")
+
+
+def q_document_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Most frequent words of texts read as plain lines."""
+    path = scratch_path(spark, "documents")
+    b.texts(spark, sf).select("text").write.text(path)
+    return reviews.top_words(readers.read_documents(spark, path), b.STOPWORDS, b.TOP)
+
+
+def q_report_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The itemset report as ordered text files, read back."""
+    path = scratch_path(spark, "report")
+    writers.write_ordered(q_itemset_report(spark, sf), path)
+    return readers.read_ordered(spark, path)
+
+
+def q_review_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics, top users and top words from a JSON report read back."""
+    path = scratch_path(spark, "review-report")
+    report = writers.review_report(q_review_stats(spark, sf), q_top_users(spark, sf), q_top_words(spark, sf))
+    writers.write_report(report, path)
+    kind = "A long, B long, C long, D array<array<string>>, E array<string>"
+    read = spark.read.text(path).select(F.from_json("value", kind).alias("r")).select("r.*")
+    users = F.transform("D", lambda u: F.concat_ws(":", u))
+    return read.select(
+        F.col("A").alias("total"), F.col("B").alias("in_year"), F.col("C").alias("users"),
+        F.array_join(users, " ").alias("top_users"), F.array_join("E", " ").alias("top_words"),
+    )
+
+
+def q_csv_ordered(spark: SparkSession, sf: str) -> DataFrame:
+    """Reviews of businesses in a state as one ordered CSV over several files, read back with line numbers."""
+    path = scratch_path(spark, "csv")
+    rows = q_semi_state(spark, sf)
+    writers.write_csv_ordered(rows, ["user_id", "business_id"], path)
+    return readers.read_csv_ordered(spark, path, rows.schema)
+
+
+def q_windows_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Windows as an ordered CSV, read back."""
+    path = scratch_path(spark, "windows-csv")
+    rows = q_fm_windows(spark, sf)
+    writers.write_csv_ordered(rows, ["window_start"], path)
+    return readers.read_csv_ordered(spark, path, rows.schema)
+
+
+def q_membership_lines(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "membership")
+    writers.write_ordered(writers.membership_lines(q_bloom_probe(spark, sf), "c_custkey"), path)
+    return readers.read_ordered(spark, path)
+
+
+def _stored(spark: SparkSession, sf: str) -> str:
+    path = scratch_path(spark, "store")
+    writers.write_store(q_profile_model(spark, sf), path)
+    return path
+
+
+def q_model_store(spark: SparkSession, sf: str) -> DataFrame:
+    """Token lists of the users' profiles, read from the store of both kinds."""
+    users = readers.read_store(spark, _stored(spark, sf), "user_profile")
+    return users.groupBy("id").agg(F.count("*").alias("n"), F.min("token").alias("least"), F.max("token").alias("most"))
+
+
+def q_content_predict_stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Content predictions from the stored model alone."""
+    path = _stored(spark, sf)
+    users = readers.read_store(spark, path, "user_profile").select(F.col("id").cast("long").alias("user_id"), F.col("token").alias("word"))
+    profile = readers.read_store(spark, path, "business_profile").select(F.col("id").alias("business_id"), F.col("token").alias("word"))
+    return _rounded(textmodel.content_predict(b.asked(spark, sf), users, profile), "sim")
+
+
+def q_cf_item_predict_ready(spark: SparkSession, sf: str) -> DataFrame:
+    """Item-based predictions with averages from a ready JSON file, its entry for unknown ids included."""
+    train, path = _train(spark, sf), scratch_path(spark, "averages")
+    writers.write_averages(recommend.averages(train, "business_id"), recommend.overall_average(train), path)
+    known, unknown = recommend.split_averages(readers.read_averages(spark, path))
+    known = known.withColumn("id", F.col("id").cast(train.schema["business_id"].dataType))
+    model = recommend.pearson(train, "business_id", "user_id")
+    return _rounded(recommend.predict_item(b.test(spark, sf), train, model, known, unknown), "stars")
+
+
 QUERIES: dict[str, Query] = {
     "q_itemsets": _frequent("levelwise"),
     "q_itemsets_son": _frequent("son"),

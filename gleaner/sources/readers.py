@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleaner.operators.numbering import numbered
+from gleaner.sources.writers import ORDER
+
 REVIEW = T.StructType([
     T.StructField("review_id", T.StringType()),
     T.StructField("user_id", T.StringType()),
@@ -83,6 +86,33 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.input_file_name().alias("doc_id"), F.col("value").alias("text"))
 
 
+def read_ordered(spark: SparkSession, path: str) -> DataFrame:
+    """``line_no, line`` of text files written in order: files by the order table, lines by their place in the file.
+
+    A long file is read in several pieces; each knows where in the file it begins.
+    """
+    order = spark.read.schema("file string, place long").json(f"{path}/{ORDER}")
+    lines = spark.read.text(path, pathGlobFilter="part-*").select(
+        F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_at"), F.col("value").alias("line"),
+    )
+    placed = lines.join(order, "file")
+    return numbered(placed, ["place", "_block", "_at"], "line_no").select("line_no", "line")
+
+
+def read_csv_ordered(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """``line_no`` and the columns of ``schema`` from ordered comma-separated lines; line 0 is the header."""
+    lines = read_ordered(spark, path).filter(F.col("line_no") > 0)
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    return lines.select("line_no", F.from_csv("line", columns).alias("r")).select("line_no", "r.*")
+
+
+def read_store(spark: SparkSession, path: str, description: str) -> DataFrame:
+    """``id, token`` of one kind of profile; only the partition of that kind is listed and read."""
+    rows = spark.read.schema("id string, token long, description string").parquet(path)
+    return rows.filter(F.col("description") == description).select("id", "token")
+
+
 def read_averages(spark: SparkSession, path: str) -> DataFrame:
     """``id, avg`` from JSON objects of id to average, the entry ``UNK`` included."""
     objects = spark.read.text(path).select(F.from_json("value", "map<string,double>").alias("m"))

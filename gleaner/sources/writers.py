@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from gleaner.operators.numbering import numbered
 
+ORDER = "_order"  # folder beside the files of an ordered text, which readers of the text itself skip
+PIECE = 1000  # averages to a JSON object
+
 
 def review_report(stats: DataFrame, users: DataFrame, words: DataFrame) -> DataFrame:
     """``value``: one JSON object A to E from the statistics row and the two top lists (m and n rows)."""
@@ -65,6 +68,44 @@ def write_lines(lines: DataFrame, path: str) -> None:
     lines.orderBy("line_no").select("line").write.text(path)
 
 
+def write_ordered(lines: DataFrame, path: str) -> None:
+    """``line_no, line`` as text files, each a range of lines in order, and the order of the files beside them.
+
+    Ranges are cut by Spark from a sample of the numbers; no task holds more than a range. ``file, place`` of every file is a
+    small table in ``path/_order``: what reads the text in order goes by it, not by the names.
+    """
+    placed = lines.select("line_no", F.col("line").alias("value")).repartitionByRange("line_no").sortWithinPartitions("line_no")
+    placed.select("value").write.text(path)
+    files = lines.sparkSession.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select(  # names only
+        F.element_at(F.split("path", "/"), -1).alias("file")
+    )
+    place = F.regexp_extract("file", r"^part-(\d+)", 1).cast("long")
+    files.select("file", place.alias("place")).write.json(f"{path}/{ORDER}")
+
+
+def write_csv_ordered(rows: DataFrame, order: list[Column | str], path: str) -> None:
+    """Comma-separated rows in order, the header on the first line, as ordered text files; no value holds a comma or quote."""
+    shown = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rows.columns])
+    lines = numbered(rows, order, "line_no").select((F.col("line_no") + 1).alias("line_no"), shown.alias("line"))
+    head = rows.sparkSession.createDataFrame([(0, ",".join(rows.columns))], "line_no long, line string")
+    write_ordered(lines.unionByName(head), path)
+
+
+def write_averages(averages: DataFrame, overall: DataFrame, path: str, unknown: str = "UNK") -> None:
+    """``id, avg`` as JSON objects of up to about ``PIECE`` ids, the entry ``unknown`` (``avg`` of ``overall``) in one of its own."""
+    n = averages.count()
+    entries = averages.select(F.col("id").cast("string").alias("id"), "avg")
+    pieces = entries.groupBy(F.pmod(F.xxhash64("id"), F.lit(-(-n // PIECE) or 1)).alias("piece"))
+    known = pieces.agg(F.map_from_entries(F.collect_list(F.struct("id", "avg"))).alias("m"))
+    other = overall.select(F.lit(-1).cast("long").alias("piece"), F.create_map(F.lit(unknown), "avg").alias("m"))
+    known.unionByName(other).select(F.to_json("m").alias("value")).write.text(path)
+
+
+def write_store(model: DataFrame, path: str) -> None:
+    """Long-form profile rows, all kinds in one Parquet table with a partition per kind."""
+    model.write.partitionBy("description").parquet(path)
+
+
 def membership_lines(flags: DataFrame, order: Column | str, per_line: int = 1000) -> DataFrame:
     """``line_no, line``: flags in input order as ``1 0 1``, ``per_line`` to a line."""
     placed = numbered(flags.select(F.col(order).alias("seq") if isinstance(order, str) else order.alias("seq"), "flag"),

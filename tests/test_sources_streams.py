@@ -4,9 +4,9 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from gleaner.operators import reviews, sketch
+from gleaner.operators import recommend, reviews, sketch
 from gleaner.sources import readers, writers
-from gleaner.streaming import reservoir, windows
+from gleaner.streaming import replay, reservoir, windows
 
 
 def lines(path):
@@ -111,27 +111,128 @@ def test_window_stream_gives_the_batch_result(spark, tmp_path):
     assert next(r for r in whole if r[0].endswith("00:01:00"))[1] == len(middle)
 
 
-def test_sample_over_many_batches(spark, tmp_path):
-    folder = tmp_path / "in"
-    folder.mkdir()
-    tags = {i: [{"text": f"t{i % 4}"}] if i % 3 else [] for i in range(300)}
-    for part in range(3):
+def write_messages(folder, parts):
+    folder.mkdir(exist_ok=True)
+    for part in parts:
         body = "".join(
-            json.dumps({"id": i, "text": "nba news" if i % 2 else "weather", "lang": "en", "hashtags": tags[i]}) + "\n"
+            json.dumps({"id": i, "text": "nba news" if i % 2 else "weather", "lang": "en",
+                        "hashtags": [{"text": f"t{i % 4}"}] if i % 3 else []}) + "\n"
             for i in range(part * 100, part * 100 + 100))
         (folder / f"{part}.json").write_text(body)
-    stream = spark.readStream.schema(readers.MESSAGE).option("maxFilesPerTrigger", 1).json(str(folder))
-    stream = reservoir.tagged(reservoir.tracked(stream.withColumn("tags", F.col("hashtags.text")), ["NBA"]))
-    seen = []
-    base = str(tmp_path / "sample")
-    query = reservoir.keep_sample(stream, "id", base, str(tmp_path / "state"), k=20, every=None,
-                                  on_sample=lambda s, e: seen.append([tuple(r) for r in sketch.tag_counts(s).collect()]))
-    query.awaitTermination()
-    assert query.exception() is None and len(seen) == 3
-    sample = reservoir.last_sample(spark, query, base, stream.schema)
-    whole = spark.createDataFrame([(i,) for i in range(300) if i % 3 and i % 2], "id long")
-    assert {r["id"] for r in sample.collect()} == {r["id"] for r in sketch.reservoir(whole, "id", 20).collect()}
-    assert sum(n for _, n in seen[-1]) == 20
+
+
+def test_sample_over_many_batches_and_a_restart(spark, tmp_path):
+    folder, base, seen = tmp_path / "in", str(tmp_path / "sample"), []
+
+    def run():
+        stream = spark.readStream.schema(readers.MESSAGE).option("maxFilesPerTrigger", 1).json(str(folder))
+        stream = reservoir.tagged(reservoir.tracked(stream.withColumn("tags", F.col("hashtags.text")), ["NBA"]))
+        query = reservoir.keep_sample(stream, "id", base, str(tmp_path / "state"), k=20, every=None, buckets=3,
+                                      on_sample=lambda s, e: seen.append([tuple(r) for r in sketch.tag_counts(s).collect()]))
+        query.awaitTermination()
+        assert query.exception() is None
+        return reservoir.last_sample(spark, base, stream.schema, "id", 20)
+
+    def expected(n):
+        whole = spark.createDataFrame([(i,) for i in range(n) if i % 3 and i % 2], "id long")
+        return {r["id"] for r in sketch.reservoir(whole, "id", 20).collect()}
+
+    write_messages(folder, range(3))
+    first = run()
+    assert {r["id"] for r in first.collect()} == expected(300) and len(seen) >= 3
+    write_messages(folder, range(3, 6))  # the query ended; a new one goes on from its state
+    sample = run()
+    assert {r["id"] for r in sample.collect()} == expected(600) and len(seen) >= 6
+    assert sample.first()["tags"][0].startswith("t") and sum(n for _, n in seen[-1]) == 20
+    assert not [p for p in (tmp_path / "sample").iterdir() if p.is_dir()]  # no folder of an epoch
+    entered = spark.read.schema(reservoir.ENTRY).parquet(base)
+    assert entered.count() < 200 and run().count() == 20  # what does not enter the sample is not kept
+
+
+def test_replay_with_late_rows_gives_the_batch_result(spark, tmp_path):
+    start = 1_704_067_200
+    rows = [(start + i, f"u{i % 9}") for i in range(0, 600, 3)] + [(None, "u0")]
+    frame = spark.createDataFrame(rows, "s long, city string").select(F.timestamp_seconds("s").alias("ts"), "city")
+    parts = replay.parts_of(frame, "ts", 4)
+    assert len(parts) == 4 and sum(p.count() for p in parts) == len(rows) and min(p.count() for p in parts) > 40
+    late = spark.createDataFrame([(start + 400, "late but in time"), (start + 5, "too late")], "s long, city string")
+    late = late.select(F.timestamp_seconds("s").alias("ts"), "city")
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    stream = windows.fm_windows(replay.source(spark, folder, frame.schema), "ts", "city", watermark="1 minute")
+
+    def begin():
+        writer = stream.writeStream.outputMode("append").format("parquet").trigger(availableNow=True)
+        return writer.option("checkpointLocation", str(tmp_path / "state")).start(out)
+
+    last = replay.closing_row(frame, "ts", "2 minutes")
+    ran = replay.replay([*parts[:3], late, parts[3], last], folder, begin)
+    assert len(ran) == 6 and len({q.runId for q in ran}) == 6 and len({q.id for q in ran}) == 1
+    found = {tuple(r) for r in spark.read.schema(stream.schema).parquet(out).collect()}
+    kept = frame.unionByName(late.filter("city <> 'too late'")).filter("ts is not null")
+    assert found == {tuple(r) for r in windows.fm_windows(kept, "ts", "city").collect()}
+    assert spark.read.parquet(out).count() == len(found)
+
+
+def test_replay_of_nothing(spark, tmp_path):
+    empty = spark.createDataFrame([], readers.CITY)
+    assert [p.count() for p in replay.parts_of(empty, "ts", 3)] == [0]
+    assert replay.closing_row(empty, "ts", "1 minute").count() == 0
+
+
+def test_pane_states_unite_to_windows(spark):
+    rows = [(1_704_067_200 + i, f"u{i * i % 4001}") for i in range(0, 3000)]
+    frame = spark.createDataFrame(rows, "s long, city string").select(F.timestamp_seconds("s").alias("ts"), "city")
+    half = F.col("city").endswith("1")
+    parts = [windows.pane_sketches(frame.filter(c), "ts", "city") for c in (half, ~half)]  # states of two parts
+    united = {r[0]: (r["estimate"], r["sketched"]) for r in windows.united_windows(parts[0].unionByName(parts[1])).collect()}
+    whole = {r[0]: (r["exact"], r["estimate"]) for r in windows.fm_windows(frame, "ts", "city").collect()}
+    assert united.keys() == whole.keys()
+    assert all(united[w][0] == estimate for w, (_, estimate) in whole.items())
+    assert all(abs(united[w][1] - exact) <= max(1, 0.05 * exact) for w, (exact, _) in whole.items())
+
+
+def test_ordered_lines_over_many_files(spark, tmp_path):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")  # several pieces a file
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        lines = spark.range(5000).selectExpr("id as line_no", "concat('line ', id) as line").repartition(7)
+        writers.write_ordered(lines, str(tmp_path / "text"))
+        assert len(list((tmp_path / "text").glob("part-*.txt"))) > 1
+        got = readers.read_ordered(spark, str(tmp_path / "text")).orderBy("line_no").collect()
+        assert [tuple(r) for r in got] == [(i, f"line {i}") for i in range(5000)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    rows = spark.createDataFrame([(3, "c", None), (1, "a", 0.5), (2, "b", 1.5)], "n int, s string, d double")
+    writers.write_csv_ordered(rows, [F.desc("n")], str(tmp_path / "csv"))
+    assert lines_of(tmp_path / "csv") == ["n,s,d", "3,c,", "2,b,1.5", "1,a,0.5"]
+    got = readers.read_csv_ordered(spark, str(tmp_path / "csv"), rows.schema).orderBy("line_no").collect()
+    assert [tuple(r) for r in got] == [(1, 3, "c", None), (2, 2, "b", 1.5), (3, 1, "a", 0.5)]
+
+
+def lines_of(path):
+    return [line for part in sorted(path.glob("part-*.txt")) for line in part.read_text().splitlines()]
+
+
+def test_averages_with_the_entry_for_unknown_ids(spark, tmp_path):
+    averages = spark.createDataFrame([(i, i / 7) for i in range(2500)], "id long, avg double")
+    overall = averages.agg(F.avg("avg").alias("avg"))
+    writers.write_averages(averages, overall, str(tmp_path / "avg"))
+    known, unknown = recommend.split_averages(readers.read_averages(spark, str(tmp_path / "avg")))
+    assert {int(r["id"]): r["avg"] for r in known.collect()} == {i: i / 7 for i in range(2500)}
+    assert [r["avg"] for r in unknown.collect()] == [overall.first()["avg"]]
+    assert len(lines(tmp_path / "avg")) > 2
+
+
+def test_store_reads_the_asked_partition_alone(spark, tmp_path):
+    model = spark.createDataFrame([("user_profile", "u", 1), ("business_profile", "b", 2), ("user_profile", "v", 3)],
+                                  "description string, id string, token long")
+    writers.write_store(model, str(tmp_path / "store"))
+    users = readers.read_store(spark, str(tmp_path / "store"), "user_profile")
+    assert sorted(map(tuple, users.collect())) == [("u", 1), ("v", 3)]
+    plan = users._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(description" in plan and "= user_profile)]" in plan and "DataFilters: []" in plan
+    assert all("description=user_profile" in f for f in users.inputFiles())
 
 
 def test_message_stream_source(spark, tmp_path):
