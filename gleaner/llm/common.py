@@ -30,16 +30,22 @@ def with_fields(kept: T.StructType, *fields: tuple[str, T.DataType]) -> T.Struct
     return T.StructType([*kept.fields, *(T.StructField(name, kind) for name, kind in fields)])
 
 
-def slices(texts: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
-    """Ranges of rows that hold about ``SLICE_BYTES`` of text, with their texts; the others stay in the batch."""
+def cuts(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows that hold about ``SLICE_BYTES`` of text."""
     start = held = 0
     for i, size in enumerate(pc.binary_length(texts).to_pylist()):
         held += size
         if held >= SLICE_BYTES:
-            yield start, i + 1, texts.slice(start, i + 1 - start).to_pylist()
+            yield start, i + 1
             start, held = i + 1, 0
     if start < len(texts):
-        yield start, len(texts), texts.slice(start).to_pylist()
+        yield start, len(texts)
+
+
+def slices(texts: pa.Array) -> Iterator[tuple[int, int, list[bytes]]]:
+    """Ranges of rows that hold about ``SLICE_BYTES`` of text, with their texts; the others stay in the batch."""
+    for a, b in cuts(texts):
+        yield a, b, texts.slice(a, b - a).to_pylist()
 
 
 def per_text(

@@ -4,17 +4,17 @@ from __future__ import annotations
 
 import zlib
 from array import array
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleaner.llm.common import Memo, narrow, slices, with_fields
-from gleaner.llm.elias_fano import decode, encode
+from gleaner.llm.common import Memo, cuts, narrow, with_fields
+from gleaner.llm.elias_fano import encode, select
 from gleaner.session import scratch_path
 
 SHARD_BYTES = 8 << 20
@@ -22,6 +22,10 @@ SHARD_DOCS = 1 << 16
 MARKS = ".,;:!?"
 START, LEADS = "\r", "\r\n"  # mark of the first word of a text; of that and of the first of a line
 WORDS = 800_000  # words remembered per task
+#: White space other than single spaces and line breaks between other characters.
+ODD = (
+    r"[\t\r\x0B\x0C\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]|[ \n][ \n]|\A[ \n]|[ \n]\z|\A\z"
+)
 
 
 def _byte_chars() -> dict[str, str]:
@@ -33,11 +37,13 @@ def _byte_chars() -> dict[str, str]:
 
 
 def _encoder(tokenizer_path: str):
-    """A function of a list of texts: the ids of each as little-endian unsigned 32-bit bytes.
+    """A function of a slice of texts (an Arrow array of UTF-8 strings): the ids of all, and how many each text has.
 
     The byte-level pattern always ends a piece before a single space or line break between two other characters, so the
-    ids of such a text are those of its words, and every word is encoded once; words of letters go to the library's
-    merges directly, others through its whole chain. Texts with any other white space go to the tokenizer whole.
+    ids of such a text are those of its words. Arrow cuts the texts and finds the distinct words of the slice; only these
+    meet the memo, and numpy gathers their ids in the order of the texts. A word not met before is encoded once: words of
+    letters by the library's merges directly, others through its whole chain. Texts with any other white space go to the
+    tokenizer whole.
     """
     import os
 
@@ -57,7 +63,7 @@ def _encoder(tokenizer_path: str):
         word = piece.encode().decode("latin-1").translate(byte_chars)
         return array("I", [x.id for x in merges.tokenize(word)]).tobytes()
 
-    def learn(words: set[str]) -> None:
+    def learn(words: list[str]) -> None:
         rest = []
         for w in words:
             lead, core = (w[0], w[1:]) if w[0] in LEADS else (" ", w)
@@ -72,29 +78,46 @@ def _encoder(tokenizer_path: str):
         if rest:
             memo.update(zip(rest, whole([w[1:] if w[0] == START else w if w[0] == "\n" else " " + w for w in rest]), strict=True))
 
-    def pieces(text: str) -> list[str] | None:
-        """Words of a text; the first of a text and of a line say so by a leading mark."""
-        words = text.replace("\n", " ").split(" ")
-        if words != text.split():
-            return None
-        at = 0
-        for part in text.split("\n"):
-            words[at] = ("\n" if at else START) + words[at]
-            at += part.count(" ") + 1
-        return words
-
     (line, *listed) = whole(["\n", *MARKS])
     marks = dict(zip(MARKS, listed, strict=True))
 
-    def run(texts: list[str]) -> list[bytes]:
+    def by_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The first word of a text and of a line say so by a leading mark."""
+        marked = pc.binary_join_element_wise(START, pc.replace_substring(texts, "\n", " \n"), "")
+        split = pc.split_pattern(marked, " ")
+        coded = split.flatten().dictionary_encode()
+        every = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+        words = pc.binary_join(every, " ")[0].as_py().split(" ")  # no word holds a space, and none is empty
         memo.room()
-        cut = [pieces(t) if t else [] for t in texts]
-        unknown = set(chain.from_iterable(x for x in cut if x)).difference(memo)
+        values = list(map(memo.get, words))
+        unknown = [k for k, v in enumerate(values) if v is None]
         if unknown:
-            learn(unknown)
-        odd = iter(whole([t for t, x in zip(texts, cut, strict=True) if x is None]))
-        get = memo.__getitem__
-        return [next(odd) if x is None else b"".join(map(get, x)) for x in cut]
+            learn([words[k] for k in unknown])
+            for k in unknown:
+                values[k] = memo[words[k]]
+        size = np.fromiter(map(len, values), np.int64, len(values)) // 4
+        flat, first = np.frombuffer(b"".join(values), "<u4"), np.cumsum(size) - size
+        index = coded.indices.to_numpy()
+        many = size[index]
+        ends = np.cumsum(many)
+        ids = flat[np.repeat(first[index] - ends + many, many) + np.arange(ends[-1] if len(ends) else 0)]
+        upto = np.concatenate(([0], ends))[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return ids, np.diff(upto)
+
+    def run(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        odd = pc.match_substring_regex(texts, ODD).to_numpy(zero_copy_only=False)
+        if not odd.any():
+            return by_words(texts)
+        sizes, parts = np.zeros(len(texts), np.int64), [np.zeros(0, "<u4")] * len(texts)
+        plain = np.flatnonzero(~odd)
+        if len(plain):
+            ids, sizes[plain] = by_words(texts.take(pa.array(plain)))
+            for k, part in zip(plain.tolist(), np.split(ids, np.cumsum(sizes[plain])[:-1]), strict=True):
+                parts[k] = part
+        for k, found in zip(np.flatnonzero(odd).tolist(), whole(texts.filter(pa.array(odd)).to_pylist()), strict=True):
+            parts[k] = np.frombuffer(found, "<u4")
+            sizes[k] = len(parts[k])
+        return np.concatenate(parts), sizes
 
     return run, tokenizer.get_vocab_size()
 
@@ -123,34 +146,36 @@ def write_tokens(
     def run(batches):
         tokenize, vocabulary = _encoder(tokenizer_path)
         small = max(vocabulary, end_id + 1) <= 1 << 16
-        end = np.array([end_id], "<u4").tobytes()
         part, seq, before = TaskContext.get().partitionId(), 0, 0
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
+        sizes: list[np.ndarray] = []
         keys: list[pa.Array] = []
-        size = 0
+        size = n_docs = 0
 
         def shard():
-            nonlocal seq, before, size
-            ids = np.frombuffer(b"".join(held), "<u4")
-            ends = np.cumsum([len(x) // 4 for x in held], dtype=np.int64)
+            nonlocal seq, before, size, n_docs
+            ids, ends = np.concatenate(held), np.cumsum(np.concatenate(sizes))
             low_bits, low, high, samples = encode(ends, len(ids))
             listed = pa.concat_arrays(keys)
             whole = pa.ListArray.from_arrays(pa.array([0, len(listed)], pa.int32()), listed)
-            values = [part, seq, before, len(held), len(ids), 2 if small else 4, (ids.astype("<u2") if small else ids).tobytes(), low_bits, low, high, samples]
+            values = [part, seq, before, n_docs, len(ids), 2 if small else 4, (ids if small else ids.astype("<u4")).tobytes(), low_bits, low, high, samples]
             kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
             columns = [whole, *(pa.array([v], k) for v, k in zip(values, kinds, strict=True))]
-            seq, before, size = seq + 1, before + len(ids), 0
+            seq, before, size, n_docs = seq + 1, before + len(ids), 0, 0
             held.clear()
+            sizes.clear()
             keys.clear()
             return pa.RecordBatch.from_arrays(columns, names=schema.names)
 
         for batch in batches:
-            for a, b, texts in slices(batch.column(1)):
-                encoded = [x + end for x in tokenize([t.decode("utf-8", "replace") for t in texts])]
-                held += encoded
+            for a, b in cuts(batch.column(1)):
+                ids, n = tokenize(batch.column(1).slice(a, b - a).cast(pa.string()))
+                closed = np.insert(ids, np.cumsum(n), end_id)
+                held.append(closed.astype("<u2") if small else closed)
+                sizes.append(n + 1)
                 keys.append(batch.column(0).slice(a, b - a))
-                size += sum(map(len, encoded))
-                if size >= 2 * SHARD_BYTES or len(held) >= SHARD_DOCS:
+                size, n_docs = size + 4 * len(closed), n_docs + b - a
+                if size >= 2 * SHARD_BYTES or n_docs >= SHARD_DOCS:
                     yield shard()
         if held:
             yield shard()
@@ -168,10 +193,26 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     return shards.join(F.broadcast(offsets), "part").withColumn("start", F.col("_offset") + F.col("before")).drop("_offset")
 
 
+def boundaries(shard: dict):
+    """First id and end of every document of a shard, one after the other, by ``select`` from the stored samples."""
+    first = 0
+    for i in range(shard["n_docs"]):
+        end = select(i, shard["low_bits"], shard["ends_low"], shard["ends_high"], shard["ends_samples"])
+        yield first, end
+        first = end
+
+
+def document_ids(shard: dict, i: int) -> np.ndarray:
+    """Ids of document ``i`` of a shard alone, its end id included; no other boundary is decoded."""
+    ends = [select(k, shard["low_bits"], shard["ends_low"], shard["ends_high"], shard["ends_samples"]) if k >= 0 else 0 for k in (i - 1, i)]
+    width = shard["width"]
+    return np.frombuffer(shard["ids"], f"<u{width}", ends[1] - ends[0], ends[0] * width).astype("<u4")
+
+
 def read_documents(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
     """Per document, from the files alone: id, ``start``, ``n_tokens``, and ``ids_crc32``."""
     shards = read_shards(spark, path).select(
-        "doc_ids", "start", "n_docs", "width", "ids", "low_bits", "ends_low", "ends_high"
+        "doc_ids", "start", "n_docs", "width", "ids", "low_bits", "ends_low", "ends_high", "ends_samples"
     )
     id_type = shards.schema["doc_ids"].dataType.elementType
     fields = [(id_col, id_type), ("start", T.LongType()), ("n_tokens", T.LongType()), ("ids_crc32", T.LongType())]
@@ -181,11 +222,13 @@ def read_documents(spark: SparkSession, path: str, id_col: str = "doc_id") -> Da
             for i in range(batch.num_rows):
                 row = {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names) if name != "doc_ids"}
                 keys = batch.column(0)[i].values
-                ends = decode(row["n_docs"], row["low_bits"], row["ends_low"], row["ends_high"])
-                starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
-                data = np.frombuffer(row["ids"], "<u2" if row["width"] == 2 else "<u4").astype("<u4").tobytes()
-                crc = [zlib.crc32(data[a * 4 : b * 4]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                columns = [keys, pa.array(starts + row["start"]), pa.array(ends - starts), pa.array(crc, pa.int64())]
+                ids = np.frombuffer(row["ids"], "<u2" if row["width"] == 2 else "<u4")
+                starts, sizes, crc = [], [], []
+                for a, b in boundaries(row):
+                    starts.append(row["start"] + a)
+                    sizes.append(b - a)
+                    crc.append(zlib.crc32(ids[a:b].astype("<u4")))
+                columns = [keys, *(pa.array(x, pa.int64()) for x in (starts, sizes, crc))]
                 yield pa.RecordBatch.from_arrays(columns, names=[name for name, _ in fields])
 
     return shards.mapInArrow(run, with_fields(T.StructType([]), *fields))

@@ -147,6 +147,34 @@ def test_token_files_round_trip(docs, rows, empty):
     assert tokens.token_output(empty, queries.tokenizer_path()).count() == 0
 
 
+def test_documents_are_selected_from_the_samples(spark, docs, rows, tmp_path):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path())
+    tokens.write_tokens(docs, str(tmp_path / "t"), queries.tokenizer_path())
+    shards = [r.asDict() for r in spark.read.parquet(str(tmp_path / "t")).collect()]
+    want = Counter((str(k), tuple([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2])) for k, t, _ in rows)
+    assert Counter((str(k), tuple(tokens.document_ids(s, i).tolist())) for s in shards for i, k in enumerate(s["doc_ids"])) == want
+    for s in shards:
+        bounds = [0, *elias_fano.decode(s["n_docs"], s["low_bits"], s["ends_low"], s["ends_high"]).tolist()]
+        assert list(tokens.boundaries(s)) == list(zip(bounds, bounds[1:], strict=False))
+    broken = shards[0] | {"ends_samples": np.full(len(shards[0]["ends_samples"]) // 4, 1, "<u4").tobytes()}
+    assert shards[0]["n_docs"] < 65 or list(tokens.boundaries(broken)) != list(tokens.boundaries(shards[0]))  # it does read them
+
+
+def test_odd_white_space_goes_to_the_tokenizer_whole():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    texts = ["", " ", "a", " a", "a ", "a  b", "a\nb", "a\n\nb", "\na", "a\n", "a\tb", "日本語 テキスト", "a b", "a　b", "x\x1cy", "\r", "a\r\nb"]
+    texts += ["1 2 3.", "foo. bar, baz!\nqux?", "don't 'tis you'll", "a\x85b", "a b", "word.", " \n", "a \nb", "a\n b", "½ ² x²", "é à."]
+    tokenizer, (run, _) = Tokenizer.from_file(queries.tokenizer_path()), tokens._encoder(queries.tokenizer_path())
+    for part in (texts, [""], ["\t"], texts[::-1], ["a b c"] * 3):
+        ids, sizes = run(pa.array(part))
+        want = [tokenizer.encode(t, add_special_tokens=False).ids for t in part]
+        assert ids.tolist() == [i for x in want for i in x] and sizes.tolist() == [len(x) for x in want]
+
+
 LUHN = lambda v: sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate([int(c) for c in v if c.isdigit()][::-1])) % 10 == 0
 DIGITS = lambda v: sum(c.isdigit() for c in v)
 PERSONAL = [
