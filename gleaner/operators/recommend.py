@@ -10,7 +10,7 @@ from gleaner.functions.hashing import Hash
 from gleaner.operators import pairs as pair_operators
 from gleaner.operators.numbering import token_dict
 from gleaner.operators.pairs import Need, overlaps
-from gleaner.operators.similarity import MAX_BUCKET, bucket_pairs, minhash
+from gleaner.operators.similarity import MAX_BUCKET, band_codes, code_pairs
 from gleaner.operators.skew import hot_keys, skew_join
 from gleaner.session import written
 
@@ -40,8 +40,9 @@ def pearson(
     min_common: int = MIN_COMMON,
     mean: str = "full",
     max_group: int = pair_operators.MAX_GROUP,
+    min_jaccard: float | None = None,
 ) -> DataFrame:
-    """``k1, k2, sim`` above 0 for items with at least ``min_common`` common raters.
+    """``k1, k2, sim`` above 0 for items with at least ``min_common`` common raters, and ``min_jaccard`` if given.
 
     ``reviews`` is a table: it is read more than once.
 
@@ -49,8 +50,8 @@ def pearson(
     common ones.
     """
     ratings = _ratings(reviews, item, rater, min_common, hot_keys(reviews, item))
-    sums = overlaps(ratings, item, rater, "stars", Need(min_common), max_group)
-    return _correlated(sums, ratings, item, mean)
+    sums = overlaps(ratings, item, rater, "stars", Need(min_common, min_jaccard), max_group)
+    return _correlated(sums.select("k1", "k2", *pair_operators.SUMS), ratings, item, mean)
 
 
 def _ratings(reviews: DataFrame, item: str, rater: str, at_least: int, hot: list) -> DataFrame:
@@ -89,23 +90,23 @@ def pearson_lsh(
     often = rated_often(reviews, rater, min_common).withColumnRenamed(rater, "element")
     # elements are numbered over the whole training table, before rare ones are left out
     tokens = token_dict(reviews, rater).select(F.col("id").alias("element"), "token")
+    rows = ratings.select(F.col(item).alias("item"), F.col(rater).alias("element"))
+    wanted = rows.select("item").distinct()  # only what can have a correlation gets a signature
     signed = skew_join(
-        seen, tokens.join(often, "element", "left_semi"), "element", hot=hot_keys(reviews, rater)
+        seen.join(wanted, "item", "left_semi"), tokens.join(often, "element", "left_semi"), "element", hot=hot_keys(reviews, rater)
     )
-    sigs = minhash(signed, "item", "token", family)
-    rows = ratings.select(F.col(item).alias("item"), F.col(rater).alias("element"))
-    sigs = sigs.join(rows.select("item").distinct(), "item", "left_semi")
-    candidates = written(bucket_pairs(rows, sigs, n_bands, Need(min_common, min_jaccard), max_bucket), "candidates")
-    sums = _sums_of(candidates, ratings.select(F.col(item).alias("item"), F.col(rater).alias("element"), "stars"))
-    sized = pair_operators.with_sizes(sums, pair_operators.sizes(rows, "item"))
     need = Need(min_common, min_jaccard)
+    candidates = written(code_pairs(rows, band_codes(signed, "item", "token", family, n_bands), need, max_bucket), "candidates")
+    sums = _sums_of(candidates, ratings.select(F.col(item).alias("item"), F.col(rater).alias("element"), "stars"), need)
+    sized = pair_operators.with_sizes(sums, pair_operators.sizes(rows, "item"))
     enough = sized.filter(need.met(F.col("n"), F.col("size1"), F.col("size2"))).drop("size1", "size2")
     return _correlated(enough, ratings, item, mean)
 
 
-def _sums_of(candidates: DataFrame, ratings: DataFrame) -> DataFrame:
-    """Sums over common raters of given pairs: the shorter rating list is read, the other one probed."""
+def _sums_of(candidates: DataFrame, ratings: DataFrame, need: Need) -> DataFrame:
+    """Sums over common raters of given pairs that can meet ``need``: the shorter rating list is read, the other probed."""
     sized = pair_operators.with_sizes(candidates, pair_operators.sizes(ratings, "item"))
+    sized = sized.filter(need.possible(F.least("size1", "size2"), F.col("size1"), F.col("size2")))
     renamed = sized.withColumnsRenamed({"size1": "h1", "size2": "h2"})
     return pair_operators.common_sums(renamed, ratings.withColumnRenamed("stars", "x"), True)
 

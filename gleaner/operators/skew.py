@@ -55,28 +55,32 @@ def skew_join(
     keys = [keys] if isinstance(keys, str) else list(keys)
     if hot is None:
         hot = hot_keys(big, keys, limit, counts, most)
-    if isinstance(hot, DataFrame):
-        pieces = hot.toDF(*keys, "_pieces")
-    elif not hot:
+    if not isinstance(hot, DataFrame) and not hot:
         return big.join(small, keys, how)
-    else:
-        fields = [T.StructField(k, big.schema[k].dataType) for k in keys] + [T.StructField("_pieces", T.IntegerType())]
-        pieces = F.broadcast(big.sparkSession.createDataFrame([tuple(h) for h in hot], T.StructType(fields)))  # <= most rows
-    spread = F.coalesce(F.col("_pieces"), F.lit(1))
-    others = [c for c in big.columns if c not in keys] or keys
-    left = (
-        big.join(pieces, keys, "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(*others), spread).cast("int"))
-        .drop("_pieces")
-    )
+    left = salted(big, keys, hot)
     right = (
-        small.join(pieces, keys, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), spread - 1)))
+        small.join(_pieces(big, keys, hot), keys, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_pieces"), F.lit(1)) - 1)))
         .drop("_pieces")
     )
     return left.join(right, keys + ["_salt"], how).drop("_salt")
 
 
+def _pieces(rows: DataFrame, keys: list[str], hot: list | DataFrame) -> DataFrame:
+    if isinstance(hot, DataFrame):
+        return hot.toDF(*keys, "_pieces")
+    fields = [T.StructField(k, rows.schema[k].dataType) for k in keys] + [T.StructField("_pieces", T.IntegerType())]
+    return F.broadcast(rows.sparkSession.createDataFrame([tuple(h) for h in hot], T.StructType(fields)))  # <= MAX_HOT_KEYS rows
+
+
+def salted(rows: DataFrame, keys: str | list[str], hot: list | DataFrame) -> DataFrame:
+    """``rows`` with ``_salt``: the piece of its key that a row falls to by a hash of the other columns, 0 if it isn't hot."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    others = [c for c in rows.columns if c not in keys] or keys
+    joined = rows.join(_pieces(rows, keys, hot), keys, "left")
+    return joined.withColumn("_salt", F.pmod(F.xxhash64(*others), F.coalesce(F.col("_pieces"), F.lit(1))).cast("int")).drop("_pieces")
+
+
 def block_count(rows: Column, limit: int) -> Column:
     """How many blocks of about ``limit`` rows a group of ``rows`` rows is cut into."""
     return F.ceil(rows / F.lit(limit)).cast("int")

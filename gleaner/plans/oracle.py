@@ -248,6 +248,8 @@ USER_MODEL = f"{SPLIT},\n" + _pearson(
     where="n / (l1.l + l2.l - n) >= 0.01 AND EXISTS (SELECT 1 FROM near WHERE near.k1 = sums.k1 AND near.k2 = sums.k2)",
 )
 
+USER_MODEL_EXACT = f"{SPLIT},\n" + _pearson("user_id", "business_id", where="n / (l1.l + l2.l - n) >= 0.01")
+
 BOTH_WAYS = "both_ways AS (SELECT k1 AS target, k2 AS near, sim FROM model UNION ALL SELECT k2, k1, sim FROM model)"
 
 ITEM_PREDICT = f"""WITH {ITEM_MODEL}, {BOTH_WAYS},
@@ -453,6 +455,7 @@ def oracle_sql() -> dict[str, str]:
         "q_pearson_item": f"WITH {ITEM_MODEL} SELECT k1, k2, round(sim, 6) AS sim FROM model",
         "q_pearson_item_corated": f"WITH {ITEM_MODEL_CORATED} SELECT k1, k2, round(sim, 6) AS sim FROM model",
         "q_pearson_user": f"WITH {USER_MODEL} SELECT k1, k2, round(sim, 6) AS sim FROM model",
+        "q_pearson_user_exact": f"WITH {USER_MODEL_EXACT} SELECT k1, k2, round(sim, 6) AS sim FROM model",
         "q_cf_item_predict": ITEM_PREDICT,
         "q_cf_user_predict": USER_PREDICT,
         "q_cooccur_edges": f"WITH {EDGES} SELECT src, dst, n FROM edges",

@@ -224,9 +224,9 @@ def q_lsh_buckets(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_lsh_candidates(spark: SparkSession, sf: str) -> DataFrame:
     coded = _coded(spark, sf)
-    sigs = similarity.minhash(coded, "business_id", "token", minhash_family(b.SIM_HASHES))
+    codes = similarity.band_codes(coded, "business_id", "token", minhash_family(b.SIM_HASHES), b.SIM_BANDS)
     rows = coded.select(F.col("business_id").alias("item"), F.col("user_id").alias("element"))
-    return similarity.lsh_candidates(rows, sigs, b.SIM_BANDS, Need(1, b.MIN_JACCARD))
+    return similarity.coded_candidates(rows, codes, Need(1, b.MIN_JACCARD))
 
 
 def _jaccard_lsh(spark: SparkSession, sf: str) -> DataFrame:
@@ -288,6 +288,11 @@ def q_pearson_user(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(_user_model(spark, sf), "sim")
 
 
+def q_pearson_user_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """The correlations that ``q_pearson_user`` looks for by bands, all of them."""
+    return _rounded(recommend.pearson(_train(spark, sf), "user_id", "business_id", min_jaccard=0.01), "sim")
+
+
 def q_cf_item_predict(spark: SparkSession, sf: str) -> DataFrame:
     train = _train(spark, sf)
     model = recommend.pearson(train, "business_id", "user_id")

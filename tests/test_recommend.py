@@ -145,3 +145,13 @@ def test_hit_rate_counts_a_pair_once(spark):
     truth = spark.createDataFrame([(1, 1), (1, 1), (2, 2), (3, 3)], "u int, b int")
     given = spark.createDataFrame([(1, 1), (1, 1), (3, 3), (9, 9)], "u int, b int")
     assert tuple(recommend.hit_rate(truth, given, ["u", "b"]).first()) == (2, 3, pytest.approx(2 / 3))
+
+
+def test_banded_user_correlations_have_high_recall(spark, sf):
+    """Bands find most of the correlated users, and the same correlations; the exact form finds all."""
+    from gleaner.plans.queries import queries
+
+    found = {(r["k1"], r["k2"]): r["sim"] for r in queries()["q_pearson_user"](spark, sf).collect()}
+    known = {(r["k1"], r["k2"]): r["sim"] for r in queries()["q_pearson_user_exact"](spark, sf).collect()}
+    assert found.items() <= known.items()
+    assert len(found) >= 0.9 * len(known) > 100
