@@ -15,6 +15,7 @@ EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Z
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){12,18}+(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
+FILTER_BITS = 1 << 20  # of the filter of telling terms; with more of them it only lets more through
 TERM = r"\p{L}[\p{L}'-]+\p{L}"  # quotation marks and dashes around a word are no part of it
 
 
@@ -51,36 +52,57 @@ def _entity(kind: str, s: Column) -> Column:
     return F.concat(F.lit(kind + ":"), F.lower(value) if kind in ("email", "ip") else _digits(value))
 
 
-def _masked(text: Column, spans: Column) -> Column:
-    """The text with as many spaces in place of its spans, so every other place stays."""
-    start = F.expr("named_struct('at', 0L, 'out', cast(array() as array<string>))")
-    piece = lambda a, b: F.substring(text, (a + 1).cast("int"), (b - a).cast("int"))
+def _term_places(text: Column, spans: Column) -> Column:
+    """Places of all terms (start, end, value) of a text that meet none of its spans."""
+    listed = F.transform(S.found(text, TERM), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
+    return F.when(F.size(spans) > 0, S.outside(listed, spans)).otherwise(listed)
 
-    def step(acc, s):
-        begin, end = F.greatest(s["start"], acc["at"]), F.greatest(s["end"], acc["at"])
-        one = F.concat(piece(acc["at"], begin), F.repeat(F.lit(" "), (end - begin).cast("int")))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
 
-    return F.aggregate(F.array_sort(spans), start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), piece(acc["at"], F.length(text))))
+def _terms(text: Column, spans: Column) -> Column:
+    """Distinct lower-cased terms of a text outside its spans."""
+    every = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
+    beside = F.transform(_term_places(text, spans), lambda p: p["value"])
+    return F.array_distinct(F.transform(F.when(F.size(spans) > 0, beside).otherwise(every), F.lower))
 
 
-def _terms(text: Column) -> Column:
-    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
+def _bits(terms: DataFrame) -> DataFrame:
+    """One row ``words``: the terms as bits of a filter of ``FILTER_BITS``, 64 to a word."""
+    spot = terms.select(F.pmod(F.xxhash64("term"), F.lit(FILTER_BITS)).alias("p"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(F.lit(63)).cast("int"))
+    words = spot.groupBy(F.shiftright("p", 6).alias("at")).agg(F.bit_or(one).alias("word"))  # at most FILTER_BITS / 64 rows
+    listed = words.agg(F.map_from_entries(F.collect_list(F.struct("at", "word"))).alias("m"))
+    every = F.sequence(F.lit(0).cast("long"), F.lit(FILTER_BITS // 64 - 1).cast("long"))
+    return listed.select(F.transform(every, lambda i: F.coalesce(F.col("m")[i], F.lit(0).cast("long"))).alias("words"))
 
 
-def _places(text: Column, marks: Column) -> Column:
-    """Spans of all occurrences of the terms in ``marks``. Only these are appended, so it is linear in the other words."""
-    both = F.arrays_zip(F.split(text, TERM, -1).alias("gap"), F.regexp_extract_all(text, F.lit(TERM), F.lit(0)).alias("value"))
-    start = F.expr("named_struct('at', 0L, 'out', cast(array() as array<struct<start:bigint,end:bigint,mark:string>>))")
+def _marks(rows: DataFrame, telling: DataFrame, counts: DataFrame) -> DataFrame:
+    """``_row, terms``: every place of a telling term in a row that has any.
 
-    def step(acc, x):
-        begin = acc["at"] + F.length(x["gap"])
-        end = begin + F.length(x["value"])
-        mark = F.when(x["value"].isNotNull(), F.try_element_at(marks, F.lower(x["value"])))
-        out = F.concat(acc["out"], F.array(F.struct(begin.alias("start"), end.alias("end"), mark.alias("mark"))))
-        return F.struct(F.coalesce(end, begin).alias("at"), F.when(mark.isNotNull(), out).otherwise(acc["out"]).alias("out"))
-
-    return F.aggregate(both, start, step, lambda acc: acc["out"])
+    Places are tested where the texts lie, against a filter of fixed size that misses no telling term; what passes meets
+    the terms by key. No text is shuffled.
+    """
+    spot = F.pmod(F.xxhash64("term"), F.lit(FILTER_BITS))
+    word = F.get(_bits(telling).scalar(), F.shiftright(spot, 6).cast("int"))
+    places = rows.select("_row", F.explode(_term_places(F.col("_t"), F.col("_ends"))).alias("p"))
+    likely = places.select("_row", "p.start", "p.end", F.lower("p.value").alias("term")).filter(
+        F.getbit(word, spot.bitwiseAND(F.lit(63)).cast("int")) == 1
+    )
+    hits = skew_join(likely, telling, "term", counts=counts)
+    listed = F.array_sort(F.collect_list(F.struct("start", "end", "mark")))  # as many as a text has words
+    return hits.groupBy("_row").agg(listed.alias("terms"))
+
+
+def _classes(held: DataFrame) -> DataFrame:
+    """``_row, class, with_entity`` of ``_row, entity, with_entity``: entities in the very same rows are one class.
+
+    Whatever co-occurs with one of them does so with all. A page that lists thousands of addresses and its copies hold
+    one class. Row sets are compared by size and two independent 64-bit sums.
+    """
+    one, two = F.xxhash64("_row"), F.xxhash64(F.lit(25), "_row", F.lit(7))
+    prints = held.groupBy("entity", "with_entity").agg(F.bit_xor(one).alias("p1"), F.sum(two.cast("decimal(20,0)")).alias("p2"))
+    first = written(prints.groupBy("with_entity", "p1", "p2").agg(F.min("entity").alias("entity")).select("entity"), "classes")
+    size = held.join(first, "entity", "left_semi").groupBy("entity").agg(F.count("*").alias("_n"))
+    return skew_join(held, first, "entity", "left_semi", counts=size).withColumnRenamed("entity", "class")
 
 
 def find_personal(
@@ -95,43 +117,48 @@ def find_personal(
 
     An entity (the same address or number anywhere) is disclosed by a term when PMI(entity; term) over the information of
     the entity, that is 1 + log p(entity | term) / -log p(entity), reaches ``disclosure``; p is the share of rows, and the two
-    must meet in ``support`` rows, anywhere in their texts outside the spans. Every occurrence of such a term in any row
-    gets the mark ``[TERM]``, from ``removal`` on none (they go). Words are counted over all rows once a row, combined before
-    the shuffle; terms that cannot reach the ratio with an entity, however often they meet, go before pairs are made. Hot
-    entities and terms stay sums. Null texts are empty and have no spans; repeated rows count as rows of their own. The
-    scan is a written table.
+    must meet in ``support`` rows, anywhere in their texts; a term that meets a span is none. Every occurrence of such a
+    term in any row gets the mark ``[TERM]``, from ``removal`` on none (they go). Terms are counted over all rows once a row,
+    combined before the shuffle; those that cannot reach the ratio with an entity, however often they meet, go before pairs
+    are made, and entities of the same rows are paired as one. Hot entities and terms stay sums.
+
+    Null texts are empty and have no spans; repeated rows count as rows of their own; an empty table gives no rows; columns
+    but the two named are not read. Time is linear in a text and its spans. The scan is a written table, which the texts
+    never leave: only terms, places and spans are shuffled.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     source = docs.select(F.col(id_col).alias("_id"), text.alias("_t"))
     scanned = source.select("_id", "_t", *(x.alias(k) for k, x in base_spans(F.col("_t")).items()))
-    some = sum((F.size(k) for k in KINDS[1:]), F.size(KINDS[0])) > 0
     ends = F.concat(*(F.transform(k, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for k in KINDS))
-    masked = F.when(some, _masked(F.col("_t"), ends)).otherwise(F.col("_t"))
-    rows = written(scanned.withColumn("_m", masked).drop("_t").withColumn("_row", F.monotonically_increasing_id()), "personal")
+    rows = written(scanned.withColumns({"_ends": ends, "_row": F.monotonically_increasing_id()}), "personal")
+    none = F.expr("cast(array() as array<struct<start:bigint,end:bigint,mark:string>>)")
+    narrow = rows.select("_row", F.col("_id").alias(id_col), *KINDS)
     n = rows.count()
     information = -F.log(F.greatest(F.col("with_entity"), F.lit(1)) / F.lit(float(max(n, 1) + 1)))
     ratio = lambda both: 1 + F.log(both / F.col("with_term")) / information
     within_reach = ratio(F.least("with_term", "with_entity")) >= disclosure - 1e-9
     named = F.array_distinct(F.concat(*(F.transform(k, _of(_entity, k)) for k in KINDS)))
-    holding = rows.filter(some).select("_row", F.explode(named).alias("entity"))
+    holding = rows.filter(F.size("_ends") > 0).select("_row", F.explode(named).alias("entity"))
     entities = written(holding.groupBy("entity").agg(F.count("*").alias("with_entity")).filter(F.col("with_entity") >= support), "entities")
     most = entities.agg(F.max("with_entity").alias("n")).first()["n"] or 0
-    words = rows.select("_row", F.explode(_terms(F.col("_m"))).alias("term"))
-    counted = words.groupBy("term").agg(F.count("*").alias("with_term")).filter(F.col("with_term") >= support)
+    if not most:  # nobody to disclose
+        return narrow.select(id_col, *KINDS, none.alias("terms"))
+    listed = F.explode(_terms(F.col("_t"), F.col("_ends"))).alias("term")
+    counted = rows.select(listed).groupBy("term").agg(F.count("*").alias("with_term")).filter(F.col("with_term") >= support)
     terms = written(counted.withColumn("with_entity", F.lit(most)).filter(within_reach).drop("with_entity"), "terms")
     held = written(skew_join(holding, entities, "entity", counts=entities.withColumnRenamed("with_entity", "_n")), "held")
-    beside = rows.filter(some).select("_row", "_m").join(held.select("_row").distinct(), "_row", "left_semi")
-    near = skew_join(beside.select("_row", F.explode(_terms(F.col("_m"))).alias("term")), terms, "term", counts=terms.withColumnRenamed("with_term", "_n"))
-    pairs = held.join(near, "_row").filter(within_reach).groupBy("entity", "term", "with_entity", "with_term").agg(F.count("*").alias("both"))
+    classes = written(_classes(held), "class-rows")
+    beside = rows.select("_row", "_t", "_ends").join(classes.select("_row").distinct(), "_row", "left_semi").select("_row", listed)
+    near = skew_join(beside, terms, "term", counts=terms.withColumnRenamed("with_term", "_n"))
+    pairs = classes.join(near, "_row").filter(within_reach).groupBy("class", "term", "with_entity", "with_term").agg(F.count("*").alias("both"))
     told = pairs.filter(F.col("both") >= support).withColumn("ratio", ratio(F.col("both"))).filter(F.col("ratio") >= disclosure)
     mark = F.when(F.col("ratio") >= removal, "").otherwise("[TERM]")
     telling = written(told.groupBy("term").agg(F.min(mark).alias("mark")), "telling")
-    hits = skew_join(words, telling, "term", counts=telling.join(terms, "term").select("term", F.col("with_term").alias("_n")))
-    marks = written(hits.groupBy("_row").agg(F.map_from_entries(F.collect_list(F.struct("term", "mark"))).alias("marks")), "marks")
-    none = F.expr("cast(array() as array<struct<start:bigint,end:bigint,mark:string>>)")
-    joined = rows.join(marks, "_row", "left")
-    places = F.when(F.col("marks").isNotNull(), _places(F.col("_m"), F.col("marks"))).otherwise(none)
-    return joined.select(F.col("_id").alias(id_col), *KINDS, places.alias("terms"))
+    if telling.isEmpty():
+        return narrow.select(id_col, *KINDS, none.alias("terms"))
+    counts = telling.join(terms, "term").select("term", F.col("with_term").alias("_n"))
+    marks = written(_marks(rows, telling, counts), "marks")
+    return narrow.join(marks, "_row", "left").select(id_col, *KINDS, F.coalesce("terms", none).alias("terms"))
 
 
 def _mark(kind: str, s: Column) -> Column:
