@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,27 +54,40 @@ def _entity(kind: str, s: Column) -> Column:
     return F.concat(F.lit(kind + ":"), F.lower(value) if kind in ("email", "ip") else _digits(value))
 
 
-def _term_places(text: Column, spans: Column) -> Column:
-    """Places of all terms (start, end, value) of a text that meet none of its spans."""
-    listed = F.transform(S.found(text, TERM), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")))
-    return F.when(F.size(spans) > 0, S.outside(listed, spans)).otherwise(listed)
-
-
 def _terms(text: Column, spans: Column) -> Column:
     """Distinct lower-cased terms of a text outside its spans."""
-    every = F.regexp_extract_all(text, F.lit(TERM), F.lit(0))
-    beside = F.transform(_term_places(text, spans), lambda p: p["value"])
-    return F.array_distinct(F.transform(F.when(F.size(spans) > 0, beside).otherwise(every), F.lower))
+    every = F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower)
+    beside = F.transform(S.outside(S.places(text, TERM, lambda value: value.isNotNull()), spans), lambda p: p["value"])
+    return F.array_distinct(F.when(F.size(spans) > 0, beside).otherwise(every))
+
+
+def _likely(words: Column, term: Column) -> Column:
+    """Whether a term is in the filter."""
+    spot = F.pmod(F.xxhash64(term), F.lit(FILTER_BITS))
+    return F.getbit(F.get(words, F.shiftright(spot, 6).cast("int")), spot.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+
+def _likely_places(text: Column, spans: Column, words: Column) -> Column:
+    """Places of the terms that the filter lets through and that meet no span. Positions are found only in texts that hold
+    such a term at all."""
+    def of(x: Column) -> Column:
+        every = F.regexp_extract_all(x["t"], F.lit(TERM), F.lit(0))
+        held = F.exists(every, lambda value: _likely(x["w"], F.lower(value)))
+        found = S.places(x["t"], TERM, lambda value: _likely(x["w"], value))
+        return F.when(held, F.when(F.size(x["s"]) > 0, S.outside(found, x["s"])).otherwise(found))
+
+    bound = F.struct(text.alias("t"), spans.alias("s"), words.alias("w"))
+    return F.transform(F.array(bound), of)[0]
 
 
-def _bits(terms: DataFrame) -> DataFrame:
-    """One row ``words``: the terms as bits of a filter of ``FILTER_BITS``, 64 to a word."""
+def _bits(terms: DataFrame) -> Column:
+    """The terms as bits of a filter of ``FILTER_BITS``, 64 to a word: a constant of that size, whatever the number of terms."""
     spot = terms.select(F.pmod(F.xxhash64("term"), F.lit(FILTER_BITS)).alias("p"))
     one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("p").bitwiseAND(F.lit(63)).cast("int"))
-    words = spot.groupBy(F.shiftright("p", 6).alias("at")).agg(F.bit_or(one).alias("word"))  # at most FILTER_BITS / 64 rows
-    listed = words.agg(F.map_from_entries(F.collect_list(F.struct("at", "word"))).alias("m"))
-    every = F.sequence(F.lit(0).cast("long"), F.lit(FILTER_BITS // 64 - 1).cast("long"))
-    return listed.select(F.transform(every, lambda i: F.coalesce(F.col("m")[i], F.lit(0).cast("long"))).alias("words"))
+    words = [0] * -(-FILTER_BITS // 64)
+    for r in spot.groupBy(F.shiftright("p", 6).alias("at")).agg(F.bit_or(one).alias("word")).collect():  # at most len(words)
+        words[r["at"]] = r["word"]
+    return F.from_json(F.lit(json.dumps(words)), "array<bigint>")
 
 
 def _marks(rows: DataFrame, telling: DataFrame, counts: DataFrame) -> DataFrame:
@@ -81,12 +96,8 @@ def _marks(rows: DataFrame, telling: DataFrame, counts: DataFrame) -> DataFrame:
     Places are tested where the texts lie, against a filter of fixed size that misses no telling term; what passes meets
     the terms by key. No text is shuffled.
     """
-    spot = F.pmod(F.xxhash64("term"), F.lit(FILTER_BITS))
-    word = F.get(_bits(telling).scalar(), F.shiftright(spot, 6).cast("int"))
-    places = rows.select("_row", F.explode(_term_places(F.col("_t"), F.col("_ends"))).alias("p"))
-    likely = places.select("_row", "p.start", "p.end", F.lower("p.value").alias("term")).filter(
-        F.getbit(word, spot.bitwiseAND(F.lit(63)).cast("int")) == 1
-    )
+    places = rows.select("_row", F.explode(_likely_places(F.col("_t"), F.col("_ends"), _bits(telling))).alias("p"))
+    likely = places.select("_row", "p.start", "p.end", F.col("p.value").alias("term"))
     hits = skew_join(likely, telling, "term", counts=counts)
     listed = F.array_sort(F.collect_list(F.struct("start", "end", "mark")))  # as many as a text has words
     return hits.groupBy("_row").agg(listed.alias("terms"))
