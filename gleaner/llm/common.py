@@ -26,6 +26,18 @@ def narrow(docs: DataFrame, text_col: str, keep: list[str]) -> DataFrame:
     return docs.select(*keep, F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("_text"))
 
 
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """Names for columns beside those of ``docs``, none of which they cover whatever these are called."""
+    taken = {c.lower() for c in docs.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def with_fields(kept: T.StructType, *fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([*kept.fields, *(T.StructField(name, kind) for name, kind in fields)])
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from itertools import chain
 
 import numpy as np
@@ -15,7 +14,6 @@ from gleaner.llm.common import Memo, crc_fold, per_text
 
 LONGEST = 24  # bytes the network reads at a time; longer words are cut into such pieces, all of them read
 BATCH = 2048  # pieces the network reads side by side
-LETTER = re.compile(r"[^\W\d_]")
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -193,7 +191,7 @@ def _labels(names: list[str], network: Network | None):
                 learn(unknown)
             langs, scores = [], []
             for text, words in zip(texts, listed, strict=True):
-                if not network or not words or not LETTER.search(text.decode("utf-8", "replace")):
+                if not network or not words or not any(map(str.isalpha, text.decode("utf-8", "replace"))):
                     langs.append("und")
                     scores.append(0.0)
                     continue
@@ -215,8 +213,10 @@ def identify(
     """``lang_pred`` and ``score`` of every row beside the id (or the ``keep`` columns).
 
     The network labels every byte of the whole text, a word at a time, so that words met before need no second pass; the
-    document takes the mean of the probabilities of its positions. Null texts and texts without a letter are ``und``
-    with score 0, as is everything if no language was learned. Equal means go to the language first by name.
+    document takes the mean of the probabilities of its positions. Null texts and texts without a letter (of a Unicode
+    category L; digits such as a half or a circled one are none) are ``und`` with score 0, as is everything if no language was
+    learned. Equal means go to the language first by name. Repeated rows get a row each, empty tables none, texts of any
+    length are read whole.
     """
     fields = [("lang_pred", T.StringType(), pa.string()), ("score", T.DoubleType(), pa.float64())]
     return per_text(docs, text_col, keep or [id_col], fields, _labels(*model))

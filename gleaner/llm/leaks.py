@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleaner.llm.common import Memo, per_text
+from gleaner.llm.common import Memo, free_names, per_text
 from gleaner.session import written
 
 SPAN = 10  # words of a shared span that must be found
@@ -213,7 +213,12 @@ def union_size(spans):
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` without any window of an item; all columns as they were."""
-    keyed = docs.withColumn("_key", F.xxhash64(id_col, text_col))
-    hit = decontaminate(keyed, benchmark, id_col, text_col, keep=["_key"]).filter("n_hit > 0").select("_key").distinct()
-    return keyed.join(hit, "_key", "left_anti").drop("_key")
+    """The rows of ``docs`` without any window of an item; all columns as they were, of whatever names.
+
+    Rows are told apart by two independent hashes of id and text. Null texts stay; an empty table or benchmark changes nothing.
+    """
+    one, two = free_names(docs, "key", "key2")
+    columns = [F.col(id_col), F.col(text_col)]
+    keyed = docs.withColumns({one: F.xxhash64(*columns), two: F.xxhash64(F.lit(7), *columns[::-1])})
+    hit = decontaminate(keyed, benchmark, id_col, text_col, keep=[one, two]).filter("n_hit > 0").select(one, two).distinct()
+    return keyed.join(hit, [one, two], "left_anti").select(*docs.columns)

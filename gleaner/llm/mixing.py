@@ -7,13 +7,15 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gleaner.llm.common import free_names
 from gleaner.session import written
 
 CHUNK = 2_000  # units one flight takes
+MAX_SOURCES = 1_000_000  # rows that the driver holds and sends along
 WEIGHTS = (3, 1, 2)
 EDGE = 1e-9
 
@@ -100,24 +102,28 @@ def mix(
     most: float = 2.0,
     seed: int = 9,
 ) -> DataFrame:
-    """How often the mix takes each unit: id, source, ``size`` (words), ``unit`` (a hash of the row), ``repeats`` (equal rows,
-    which are one unit), ``source_size``, ``target`` and ``copies``.
+    """How often the mix takes each row: id, source, ``size`` (words), ``unit`` and ``unit2`` (hashes of the row), ``repeats`` (how
+    many equal rows this holds for), ``source_size``, ``target`` and ``copies``.
 
     A source takes its target over its size times: the whole part is copies of everything, the fraction a balanced
-    sample. Flights run on chunks of at most ``CHUNK`` units of a source, cut by hash, so a hot source is many tasks;
+    sample. Of equal rows (id, source and text) the whole part of that fraction takes one copy more, and a single one of
+    them flies for the rest, so repeats miss no target; they come as up to two rows of different ``copies``. Flights run on chunks of at most ``CHUNK`` units of a source, cut by hash, so a hot source is many tasks;
     what they leave open (two units each) flies again until a source is one chunk, which lands. Null sources are one
-    source, null texts size 0; sources without words take nothing. Reruns draw the same. The driver holds one row per
-    source; units move without their texts.
+    source, null texts size 0; sources without words take nothing; an empty table gives no rows; columns but the three
+    named are not read. Reruns draw the same. The driver holds one row per source, at most ``MAX_SOURCES``; units move
+    without their texts.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(
         id_col, F.col(source_col).alias("_source"),
-        F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"), unit_of(id_col, source_col, text_col),
+        F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"), *unit_of(id_col, source_col, text_col),
     )
-    units = written(rows.groupBy(id_col, "_source", "size", "unit").agg(F.count("*").alias("repeats")), "units")
+    units = written(rows.groupBy(id_col, "_source", "size", "unit", "unit2").agg(F.count("*").alias("repeats")), "units")
     total = F.sum(F.col("size") * F.col("repeats"))
-    found = units.groupBy("_source").agg(total.alias("size"), F.count("*").alias("n")).collect()  # one row per source
+    found = units.groupBy("_source").agg(total.alias("size"), F.count("*").alias("n")).limit(MAX_SOURCES + 1).collect()
+    if len(found) > MAX_SOURCES:
+        raise ValueError(f"over {MAX_SOURCES} sources")
     sizes = {r["_source"]: r["size"] for r in found}
     targets = source_targets(sizes, weights, share, most)
     rates = {s: targets[s] / sizes[s] if sizes[s] else 0.0 for s in sizes}
@@ -130,8 +136,11 @@ def mix(
 
     fixed = [(s, sizes[s], float(targets[s]), int(rates[s]), rates[s] - int(rates[s])) for s in sizes]
     same = F.col("_source").eqNullSafe(F.col("_s"))
-    known = per_source("source_size long, target double, whole int, chance double", fixed)
-    open_ = units.join(known, same).drop("_s").withColumn("weight", (F.col("size") * F.col("repeats")).cast("double"))
+    known = per_source("source_size long, target double, whole int, part double", fixed)
+    more = F.col("repeats") * F.col("part")
+    open_ = units.join(known, same).withColumns(
+        {"sure": F.floor(more), "chance": more - F.floor(more), "weight": F.col("size").cast("double")}
+    ).drop("_s", "part")
     done = []
     turn = 0
     while True:
@@ -148,18 +157,36 @@ def mix(
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out.select(
-        id_col, F.col("_source").alias(source_col), "size", "unit", "repeats", "source_size", "target",
-        (F.col("whole") + F.col("chance").cast("int")).cast("int").alias("copies"),
-    )
+    extra = F.col("sure") + F.round("chance").cast("long")
+    classes = F.array(
+        F.struct(extra.alias("repeats"), (F.col("whole") + 1).alias("copies")),
+        F.struct((F.col("repeats") - extra).alias("repeats"), F.col("whole").alias("copies")),
+    )
+    split = out.withColumn("_c", F.explode(F.filter(classes, lambda c: c["repeats"] > 0)))
+    return split.select(
+        id_col, F.col("_source").alias(source_col), "size", "unit", "unit2", "_c.repeats", "source_size", "target", "_c.copies"
+    )
 
 
-def unit_of(id_col: str, source_col: str, text_col: str):
-    return F.xxhash64(F.col(id_col), F.col(source_col), F.col(text_col)).alias("unit")
+def unit_of(id_col: str, source_col: str, text_col: str) -> list[Column]:
+    """Two independent hashes of a row: 64 bits would meet by chance among 10 ** 11 rows, 128 do not."""
+    columns = [F.col(id_col), F.col(source_col), F.col(text_col)]
+    return [F.xxhash64(*columns).alias("unit"), F.xxhash64(F.lit(7), *columns[::-1]).alias("unit2")]
 
 
 def apply_mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **settings) -> DataFrame:
-    """The mixed rows themselves: every row as often as the mix takes it, with the columns of ``docs``."""
-    chosen = mix(docs, id_col, source_col, text_col, **settings).filter("copies > 0").select(F.col("unit").alias("_unit"), F.col("copies").alias("_copies"))
-    keyed = docs.withColumn("_unit", unit_of(id_col, source_col, text_col))
-    return keyed.join(chosen, "_unit").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_unit", "_copies", "_copy")
+    """The mixed rows themselves: every row as often as the mix takes it, with the columns of ``docs`` as they were.
+
+    Of equal rows (id, source and text) some may be taken once more than the others: these copies all come from one of
+    them, any one, should they differ in other columns. Nulls, empty texts and empty tables are as in ``mix``.
+    """
+    one, two, base, extra, copy = free_names(docs, "unit", "unit2", "base", "extra", "copy")
+    found = mix(docs, id_col, source_col, text_col, **settings).groupBy(F.col("unit").alias(one), F.col("unit2").alias(two))
+    least = F.min("copies")
+    chosen = written(found.agg(least.alias(base), (F.sum(F.col("copies") * F.col("repeats")) - least * F.sum("repeats")).alias(extra)), "chosen")
+    first, second = unit_of(id_col, source_col, text_col)
+    keyed = docs.withColumns({one: first, two: second})
+    times = lambda rows, n: rows.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(n).cast("long")))).select(*docs.columns)
+    every = times(keyed.join(chosen.filter(F.col(base) > 0), [one, two]), base)
+    more = keyed.join(chosen.filter(F.col(extra) > 0), [one, two]).dropDuplicates([one, two])
+    return every.unionByName(times(more, extra))

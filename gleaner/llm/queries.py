@@ -145,18 +145,20 @@ _REPETITION = rf"""
 with d as (select row_number() over () r, doc_id, coalesce(text, '') t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w from documents),
 {_WINDOWS.format(name="w3", n=3)},
 {_WINDOWS.format(name="w8", n=8)},
-{_WINDOWS.format(name="w201", n=201)},
+wl as (select r from (select r, md5(array_to_string(list_slice(w, i, i + n - 1), ' ')) win from (
+  select r, w, n, unnest(range(1, len(w) - n + 2)) i from (select r, w, 15 * len(w) // 100 + 1 n from d where len(w) >= 50)))
+  group by r, win having count(*) > 1),
 p3 as (select r, count(distinct p) n from (select r, unnest(range(i, i + 3)) p from w3) group by r),
 p8 as (select r, count(distinct p) n from (select r, unnest(range(i, i + 8)) p from w8) group by r),
 lines as (select r, count(*) - count(distinct l) n from (select r, unnest(string_split(t, chr(10))) l from d)
   where regexp_matches(l, '[^\x20\x09-\x0D]') group by r),
 m as (select doc_id, cast(len(w) as bigint) n_words, cast(length(array_to_string(w, '')) as bigint) word_chars,
   cast(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as bigint) n_symbols,
-  coalesce(lines.n, 0) n_dup_lines, coalesce(p3.n, 0) n_repeat_words, coalesce(p8.n, 0) covered, r in (select r from w201) long
+  coalesce(lines.n, 0) n_dup_lines, coalesce(p3.n, 0) n_repeat_words, coalesce(p8.n, 0) covered, r in (select r from wl) long
   from d left join lines using (r) left join p3 using (r) left join p8 using (r)),
 f as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words base_failed from m)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  not base_failed and covered <= 0.5 * n_words and not long kept from f"""
+  not base_failed and 10 * covered <= 3 * n_words and not long kept from f"""
 
 
 #: crc32 of the decimal doc_id, byte by byte and bit by bit.

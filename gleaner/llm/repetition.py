@@ -110,14 +110,19 @@ def quality_rules(
     id_col: str = "doc_id",
     text_col: str = "text",
     least: int = 8,
-    max_covered: float = 0.5,
-    max_longest: int = 200,
+    max_covered: float = 0.3,
+    max_longest: float = 0.15,
 ) -> DataFrame:
     """``repetition`` with the verdicts: ``base_failed`` (under 50 words, or over half of them in repeated 3-word windows)
-    and ``kept`` (base rules passed, at most ``max_covered`` of the words in repeats, none longer than ``max_longest``).
-    Texts without words fail the base rules.
+    and ``kept`` (base rules passed, at most the share ``max_covered`` of the words in repeats, and no repeat longer than the
+    share ``max_longest`` of the text). Texts without words fail the base rules.
+
+    Words of long repeats are words of repeated 3-word windows too, so only a ``max_covered`` below the half of the base rule
+    decides anything. Repeats that lie apart cover two times their length or more; one that overlaps itself, a stutter,
+    covers little more than its length, and only ``max_longest`` sees it.
     """
     measured = repetition(docs, id_col, text_col, least)
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    good = (F.col("n_covered") <= max_covered * F.col("n_words")) & (F.col("longest_repeat") <= max_longest)
+    most = lambda share: share * F.col("n_words") + 1e-9  # noqa: E731  a share that is a whole number of words is allowed
+    good = (F.col("n_covered") <= most(max_covered)) & (F.col("longest_repeat") <= most(max_longest))
     return measured.withColumn("base_failed", failed).withColumn("kept", ~failed & good)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gleaner.llm.common import UPPER_TO_LOWER, per_text
+from gleaner.llm.common import UPPER_TO_LOWER, free_names, per_text
 from gleaner.llm.components import components
 from gleaner.session import written
 
@@ -206,16 +206,19 @@ def near_copies(
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
-    """The rows of ``docs`` that name their group of near copies, each once; all columns as they were.
+    """The rows of ``docs`` that name their group of near copies, each once; all columns as they were, of whatever names.
 
-    A group is named by its smallest pair of id and text hash (null ids first), and every row that isn't this one goes; of
-    equal rows one stays. Texts move only where the rows to drop are too many to send along.
+    A group is named by its smallest triple of id and two hashes of all columns (null ids first), and every row that isn't
+    this one goes; of rows equal in all columns one stays. Texts move only where the rows to drop are too many to send along.
     """
-    keyed = docs.withColumn("_key", F.xxhash64(id_col, text_col))
-    pair = F.struct(F.col(id_col).alias("id"), F.col("_key").alias("key"))
-    named = written(near_copies(keyed.select(pair.alias("_id"), text_col), "_id", text_col, **settings), "groups")
-    out = named.filter("not (_id <=> component_id)").select(F.col("_id.key").alias("_key")).distinct()
-    left = keyed.join(out, "_key", "left_anti")
-    twice = named.filter("_id <=> component_id").groupBy(F.col("_id.key").alias("_key")).agg(F.count("*").alias("n")).filter("n > 1")
-    single = left.join(twice, "_key", "left_anti")
-    return single.unionByName(left.join(twice, "_key", "left_semi").dropDuplicates(["_key"])).drop("_key")
+    one, two, held, n = free_names(docs, "key", "key2", "id", "n")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    keyed = docs.withColumns({one: F.xxhash64(*columns), two: F.xxhash64(F.lit(7), *columns[::-1])})
+    triple = F.struct(F.col(id_col).alias("id"), F.col(one).alias("key"), F.col(two).alias("key2"))
+    named = written(near_copies(keyed.select(triple.alias(held), text_col), held, text_col, **settings), "groups")
+    first = F.col(held).eqNullSafe(F.col("component_id"))
+    keys = [F.col(f"{held}.key").alias(one), F.col(f"{held}.key2").alias(two)]
+    left = keyed.join(named.filter(~first).select(*keys).distinct(), [one, two], "left_anti")
+    twice = named.filter(first).groupBy(*keys).agg(F.count("*").alias(n)).filter(F.col(n) > 1).drop(n)
+    single = left.join(twice, [one, two], "left_anti")
+    return single.unionByName(left.join(twice, [one, two], "left_semi").dropDuplicates([one, two])).select(*docs.columns)
