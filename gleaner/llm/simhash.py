@@ -16,6 +16,7 @@ from gleaner.session import written
 
 BUCKET = 4096  # fingerprints that one block of a bucket holds about; larger buckets become pairs of blocks
 LEAF = 16  # fingerprints under a leaf node, and leaves under an upper node
+PATTERN = 1024  # fingerprints that a masked pattern holds about: with more, patterns get more bits
 
 
 def _fingerprints(width: int, seed: int):
@@ -61,6 +62,17 @@ def masks(distance: int, parts: int) -> list[int]:
     return [sum(chosen) for chosen in combinations(part, parts - distance)]
 
 
+def parts_for(n: int, distance: int) -> int:
+    """Parts of a fingerprint so that a pattern, all but ``distance`` of them, holds about ``PATTERN`` of ``n`` at most.
+
+    The fewest possible is one more than the distance: a pattern is a single part then, and the tree below does the work.
+    """
+    parts = distance + 1
+    while parts < 4 * distance and n > PATTERN * 2.0 ** (64 * (parts - distance) / parts):
+        parts += 1
+    return parts
+
+
 def _shared(x: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Of each run of ``size`` values: the mask of the bits all share, and those bits."""
     first = np.arange(0, len(x), size)
@@ -120,15 +132,15 @@ def _group_links(x: np.ndarray, group: np.ndarray, distance: int) -> tuple[np.nd
     first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
     sizes = np.diff(np.append(first, n))
     end = np.repeat(first + sizes, sizes)
-    small = np.repeat(sizes <= 2 * LEAF, sizes)
+    small = np.repeat(sizes <= LEAF, sizes)  # a single leaf: nothing stands above it
     i = np.flatnonzero(small)
-    for step in range(1, 2 * LEAF):
+    for step in range(1, LEAF):
         i = i[i + step < end[i]]
         if not len(i):
             break
         near = i[np.bitwise_count(x[i] ^ x[i + step]) <= distance]
         unite(root, near, near + step)
-    for at, size in zip(first[sizes > 2 * LEAF].tolist(), sizes[sizes > 2 * LEAF].tolist(), strict=True):
+    for at, size in zip(first[sizes > LEAF].tolist(), sizes[sizes > LEAF].tolist(), strict=True):
         own = x[at : at + size]
         for k in range(0, size, 256):
             a, b = tree_links(own, distance, k, min(k + 256, size))
@@ -160,16 +172,17 @@ def _link_batches(distance: int):
     return run
 
 
-def hamming_links(values: DataFrame, distance: int = 4) -> DataFrame:
+def hamming_links(values: DataFrame, distance: int = 4, parts: int | None = None) -> DataFrame:
     """Links ``a, b`` that connect all distinct ``fp`` within ``distance`` bits (directly or over others within it).
 
-    The root level of the index is a set of masked patterns: one choice of two parts out of ``distance + 2`` agrees for
-    every pair sought, so pairs meet below a common pattern. Below it fingerprints stand in Gray order under nodes of
+    The root level of the index is a set of masked patterns: of ``parts`` parts all but ``distance`` agree for every pair
+    sought, so pairs meet below a common pattern. ``parts`` grows with the counted fingerprints (``parts_for``), which
+    keeps the members of a pattern, and what a fingerprint is compared with, about the same at every size. Below it fingerprints stand in Gray order under nodes of
     shared bits. A pattern with more than ``BUCKET`` members is cut into blocks and every pair of blocks becomes a
     group of its own, so nothing is capped and no task takes a whole hot pattern. Groups give star links only, linear in
     their size.
     """
-    listed = masks(distance, distance + 2)
+    listed = masks(distance, parts or parts_for(values.count(), distance))
     signed = [m - (1 << 64) if m >= 1 << 63 else m for m in listed]
     spots = F.array(*(F.struct(F.lit(k).cast("long").alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for k, m in enumerate(signed)))
     rows = values.select("fp", F.explode(spots).alias("_s")).select("fp", F.col("_s.t"), F.col("_s.bits"))

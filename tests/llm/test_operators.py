@@ -107,6 +107,55 @@ def test_hot_buckets_split_without_losing_links(spark, monkeypatch):
     assert all(whole[a] == whole[b] for i, a in enumerate(listed) for b in listed[i + 1 :] if (a ^ b).bit_count() <= 4)
 
 
+def test_patterns_grow_with_the_fingerprints():
+    assert [simhash.parts_for(n, 4) for n in (0, 10**6, 10**8, 10**11, 10**12)] == [5, 5, 6, 7, 8]
+    draw = np.random.default_rng(8)
+    for parts in (5, 6, 7, 8):
+        listed = simhash.masks(4, parts)
+        for _ in range(200):
+            differ = sum(1 << int(b) for b in draw.choice(64, 4, replace=False))
+            assert any(not differ & m for m in listed)  # two words that differ in four bits agree on some pattern
+
+
+@pytest.mark.parametrize("parts", [5, 6, 8])
+def test_links_are_the_same_for_any_parts(spark, parts):
+    draw = np.random.default_rng(9)
+    base = [int(x) for x in draw.integers(0, 1 << 62, 60)]
+    values = sorted({x ^ sum(1 << int(b) for b in draw.choice(62, k, replace=False)) for x in base for k in (0, 2, 4, 5)})
+    found = {r.node: r.root for r in components(simhash.hamming_links(spark.createDataFrame([(x,) for x in values], "fp long"), 4, parts)).collect()}
+    root = {x: x for x in values}
+    for _ in values:
+        for i, a in enumerate(values):
+            for b in values[i + 1 :]:
+                if (a ^ b).bit_count() <= 4 and root[a] != root[b]:
+                    root[a] = root[b] = min(root[a], root[b])
+        if all(root[a] == root[b] for i, a in enumerate(values) for b in values[i + 1 :] if (a ^ b).bit_count() <= 4):
+            break
+    assert {x: found.get(x, x) for x in values} == root
+
+
+def test_the_tree_prunes_fingerprints_of_documents(spark, monkeypatch):
+    """All links of real fingerprints, with fewer comparisons than pairs: leaves go before their members are looked at."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    x = np.unique(np.array([r.fp for r in simhash.fingerprints(docs).select("fp").collect()], np.int64).view(np.uint64))
+    mask = np.uint64(simhash.masks(4, 5)[0])
+    pattern, size = np.unique(x & mask, return_counts=True)
+    assert size.max() > simhash.LEAF  # the tree stands above more than one leaf
+    x = x[:4000][np.argsort(simhash.gray_rank(x[:4000]), kind="stable")]
+    counted, real = [0], np.bitwise_count
+
+    def watched(values):
+        counted[0] += np.size(values)
+        return real(values)
+
+    monkeypatch.setattr(simhash.np, "bitwise_count", watched)
+    a, b = simhash.tree_links(x, 4, 0, len(x))
+    monkeypatch.setattr(simhash.np, "bitwise_count", real)
+    near = real(x[:, None] ^ x[None, :]) <= 4
+    assert {(i, j) for i, j in zip(*np.nonzero(near), strict=True) if i < j} == set(zip(a.tolist(), b.tolist(), strict=True))
+    assert len(a) > 0 and counted[0] < 0.9 * len(x) * (len(x) - 1) / 2
+
+
 def test_leaks_match_brute_force(spark, sf, docs, rows, empty):
     items = [(900, "tab here"), (901, None), (902, "!!"), (None, "same same same"), (903, "X y x y x y x y x y x y")]
     bench = spark.read.parquet(f"{sf}/benchmark.parquet").unionByName(spark.createDataFrame(items, "item_id long, text string"))
