@@ -14,7 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from gleaner.plans.queries import queries  # noqa: E402
-from gleaner.session import get_session  # noqa: E402
+from gleaner.session import get_session, scratch_scope  # noqa: E402
 
 HEADLINE = [
     "q_review_stats", "q_top_users", "q_top_words", "q_category_avg", "q_category_avg_all", "q_popular",
@@ -40,7 +40,8 @@ def main() -> None:
     times = {}
     for name in names:
         start = time.perf_counter()
-        available[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        with scratch_scope(spark):
+            available[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
     spark.stop()
     scale = re.search(r"sf([\d.]+)", sf_dir)

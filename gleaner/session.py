@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: dict[str, str] = {}
+_scopes: list[list[str]] = []  # paths given out inside each open scope, the innermost last
 
 
 def get_session(app: str = "gleaner", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -46,7 +49,27 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables, states and files that operators write inside, and no others, at its end.
+
+    Results are read from them: write or collect a result before the scope ends.
+    """
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
