@@ -65,8 +65,10 @@ def masks(distance: int, parts: int) -> list[int]:
 def parts_for(n: int, distance: int) -> int:
     """Parts of a fingerprint so that a pattern, all but ``distance`` of them, holds about ``PATTERN`` of ``n`` at most.
 
-    The fewest possible is one more than the distance: a pattern is a single part then, and the tree below does the work.
+    Up to ``BUCKET`` fingerprints no bit is asked for: they all stand under one tree. Beyond, a pattern is one part or more.
     """
+    if n <= BUCKET and distance:
+        return distance
     parts = distance + 1
     while parts < 4 * distance and n > PATTERN * 2.0 ** (64 * (parts - distance) / parts):
         parts += 1
