@@ -3,6 +3,7 @@ from collections import defaultdict
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from gleaner.operators.pairs import SUMS, Need, overlaps
 
@@ -59,3 +60,22 @@ def test_a_hot_element_alone_forms_no_pairs(spark):
     """400 items share one element and nothing else: with a need of two no pair of them may be built."""
     rows = spark.createDataFrame([(i, 0) for i in range(400)] + [(i, 1000 + i) for i in range(400)], "item int, e int")
     assert overlaps(rows, "item", "e", need=Need(2), max_group=20).count() == 0
+
+
+def test_light_pairs_travel_as_lists(spark):
+    """No row per pair before the sums: an item's lists go on over batches, nulls count as in SQL sums, names may be strings."""
+    draw = random.Random(3)
+    held = {(f"i{draw.randrange(40)}", draw.randrange(60)): draw.choice([None, 1.0, 2.0, 5.0]) for _ in range(900)}
+    rows = spark.createDataFrame([(i, e, x) for (i, e), x in held.items()], "item string, element int, x double").localCheckpoint()
+    most = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        found = overlaps(rows, "item", "element", "x", Need(2))
+        assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString().split("MapInArrow")[0]
+        got = {(r["k1"], r["k2"]): tuple(r[c] for c in SUMS) for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", most)
+    one, two = rows.toDF("k1", "element", "x"), rows.toDF("k2", "element", "y")
+    sums = ["sum(x) sx", "sum(y) sy", "sum(x * x) sxx", "sum(y * y) syy", "sum(x * y) sxy"]
+    whole = one.join(two, "element").filter("k1 < k2").groupBy("k1", "k2").agg(*[F.expr(e) for e in ("count(*) n", *sums)]).filter("n >= 2")
+    assert got == {(r["k1"], r["k2"]): tuple(r[c] for c in SUMS) for r in whole.collect()} and got
