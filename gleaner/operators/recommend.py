@@ -10,7 +10,7 @@ from gleaner.functions.hashing import Hash
 from gleaner.operators import pairs as pair_operators
 from gleaner.operators.numbering import token_dict
 from gleaner.operators.pairs import Need, overlaps
-from gleaner.operators.similarity import MAX_BUCKET, band_codes, code_pairs
+from gleaner.operators.similarity import MAX_BUCKET, code_pairs, jaccard_of, shared_codes
 from gleaner.operators.skew import hot_keys, skew_join
 from gleaner.session import written
 
@@ -92,11 +92,11 @@ def pearson_lsh(
     tokens = token_dict(reviews, rater).select(F.col("id").alias("element"), "token")
     rows = ratings.select(F.col(item).alias("item"), F.col(rater).alias("element"))
     wanted = rows.select("item").distinct()  # only what can have a correlation gets a signature
-    signed = skew_join(
+    signed = written(skew_join(
         seen.join(wanted, "item", "left_semi"), tokens.join(often, "element", "left_semi"), "element", hot=hot_keys(reviews, rater)
-    )
+    ), "signed")
     need = Need(min_common, min_jaccard)
-    candidates = written(code_pairs(rows, band_codes(signed, "item", "token", family, n_bands), need, max_bucket), "candidates")
+    candidates = written(code_pairs(rows, shared_codes(signed, "item", "token", family, n_bands), need, max_bucket), "candidates")
     sums = _sums_of(candidates, ratings.select(F.col(item).alias("item"), F.col(rater).alias("element"), "stars"), need)
     sized = pair_operators.with_sizes(sums, pair_operators.sizes(rows, "item"))
     enough = sized.filter(need.met(F.col("n"), F.col("size1"), F.col("size2"))).drop("size1", "size2")
@@ -104,10 +104,10 @@ def pearson_lsh(
 
 
 def _sums_of(candidates: DataFrame, ratings: DataFrame, need: Need) -> DataFrame:
-    """Sums over common raters of given pairs that can meet ``need``: the shorter rating list is read, the other probed."""
-    sized = pair_operators.with_sizes(candidates, pair_operators.sizes(ratings, "item"))
-    sized = sized.filter(need.possible(F.least("size1", "size2"), F.col("size1"), F.col("size2")))
-    renamed = sized.withColumnsRenamed({"size1": "h1", "size2": "h2"})
+    """Sums over common raters of the given pairs that meet ``need``: the shorter rating list is read, the other probed."""
+    counted = jaccard_of(candidates, ratings.select("item", "element"), need)
+    enough = counted.filter(need.met(F.col("n"), F.col("size1"), F.col("size2")))
+    renamed = written(enough.select("k1", "k2", F.col("size1").alias("h1"), F.col("size2").alias("h2")), "enough")
     return pair_operators.common_sums(renamed, ratings.withColumnRenamed("stars", "x"), True)
 
 
