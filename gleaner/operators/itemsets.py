@@ -7,6 +7,9 @@ Very large baskets would list a power of their size. There are few of them and e
 support, so baskets above a size limit are set aside, at most half the support in number: with ``h`` baskets
 aside, a frequent set has support of at least ``support - h`` in the rest. Sets that reach this there are counted in
 the baskets set aside, level by level, before they grow.
+
+Baskets of equal items are mined once: ``weight`` beside the rows of a basket says how many it stands for (``merged``). Rows
+without that column stand for one basket each.
 """
 
 from __future__ import annotations
@@ -49,10 +52,63 @@ def basket_pieces(rows: DataFrame, piece: Column | None = None, limit: int = 100
     return cut.groupBy("basket_id", "piece").agg(F.array_sort(F.collect_list("item")).alias("items"))
 
 
+def _weight(rows: DataFrame) -> list[str]:
+    return ["weight"] if "weight" in rows.columns else []
+
+
+def _number(rows: DataFrame) -> Column:
+    """How many baskets rows of one each stand for."""
+    return F.sum("weight") if _weight(rows) else F.count("*")
+
+
+def _sizes(rows: DataFrame, here: list[str]) -> DataFrame:
+    """``here, _n, _w``: items of each basket, and how many baskets it stands for."""
+    weight = F.max("weight") if _weight(rows) else F.lit(1).cast("long")
+    return rows.groupBy(*here).agg(F.count("*").alias("_n"), weight.alias("_w"))
+
+
+def merged(rows: DataFrame, chunk: Column | None = None, large: int = LARGE_BASKET) -> DataFrame:
+    """``basket_id, item, weight``, written: baskets of equal items (in one ``chunk``, if given) as one, by their smallest id.
+
+    ``weight`` is how many they are. Only baskets of up to ``large`` items are compared, as sorted lists; larger ones, and rows
+    without a basket, stay as they are.
+    """
+    weight = F.col("weight") if _weight(rows) else F.lit(1).cast("long").alias("weight")
+    rows = rows.select("basket_id", "item", weight)
+    known = rows.filter(F.col("basket_id").isNotNull())
+    others = rows.filter(F.col("basket_id").isNull())
+    size = known.groupBy("basket_id").agg(F.count("*").alias("_n"))
+    if (size.agg(F.max("_n")).first()[0] or 0) > large:
+        size = written(size, "basket-sizes")
+        over = written(size.filter(F.col("_n") > large).select("basket_id"), "over")
+        others = others.unionByName(skew_join(known, over, "basket_id", "left_semi", counts=size))
+        known = skew_join(known, over, "basket_id", "left_anti", counts=size)
+    # dealt by basket first, so that a list is made once, from at most ``large`` rows; structs keep items that are null
+    lists = known.repartition("basket_id").groupBy("basket_id").agg(
+        F.sort_array(F.collect_list(F.struct("item"))).alias("_items"), F.max("weight").alias("_w")
+    )
+    place = chunk if chunk is not None else F.lit(0)
+    equal = lists.groupBy(place.alias("_chunk"), "_items").agg(F.min("basket_id").alias("basket_id"), F.sum("_w").alias("weight"))
+    once = equal.select("basket_id", F.explode("_items").alias("_item"), "weight")
+    return written(once.select("basket_id", F.col("_item.item").alias("item"), "weight").unionByName(others), "merged")
+
+
+def basket_count(rows: DataFrame) -> int:
+    """How many baskets have an id."""
+    known = rows.filter(F.col("basket_id").isNotNull())
+    if not _weight(rows):
+        return known.select("basket_id").distinct().count()
+    return _sizes(known, ["basket_id"]).agg(F.sum("_w")).first()[0] or 0
+
+
 def support_count(rows: DataFrame, fraction: float) -> int:
     """``ceil(fraction * number of baskets)``"""
-    n = rows.agg(F.count_distinct("basket_id").alias("n"))
-    return n.select(F.ceil(F.lit(fraction) * F.col("n")).cast("long")).first()[0]
+    return math.ceil(fraction * basket_count(rows))
+
+
+def _above(limit: int) -> Column:
+    """How many baskets of ``_sizes`` have more than ``limit`` items."""
+    return F.sum(F.when(F.col("_n") > limit, F.col("_w")).otherwise(0))
 
 
 def _set_aside(rows: DataFrame, support: int, large: int) -> tuple[DataFrame, DataFrame | None, int]:
@@ -60,7 +116,7 @@ def _set_aside(rows: DataFrame, support: int, large: int) -> tuple[DataFrame, Da
 
     The size limit starts at ``large`` and doubles until at most half the support lies above it.
     """
-    size = rows.groupBy("basket_id").agg(F.count("*").alias("_n"))
+    size = _sizes(rows, ["basket_id"])
     top = size.agg(F.max("_n")).first()[0] or 0
     if top <= large:
         return rows, None, 0
@@ -68,7 +124,7 @@ def _set_aside(rows: DataFrame, support: int, large: int) -> tuple[DataFrame, Da
     limits = [large]
     while limits[-1] < top:
         limits.append(limits[-1] * 2)
-    above = size.agg(*[F.count_if(F.col("_n") > limit) for limit in limits]).first()
+    above = size.agg(*[_above(limit) for limit in limits]).first()
     limit, n_aside = next((t, n) for t, n in zip(limits, above) if n <= support // 2)
     if n_aside == 0:
         return rows, None, 0
@@ -118,7 +174,7 @@ def _grow(
 ) -> list[DataFrame]:
     """Frequent sets of every level: ``scope, items, support``.
 
-    ``rows`` has ``basket_id, item`` and the ``scope`` columns (the chunk of a two-pass run). A set of level k is held in
+    ``rows`` has ``basket_id, item, weight`` and the ``scope`` columns (the chunk of a two-pass run). A set of level k is held in
     columns ``i1 … ik``; its occurrences are joined once and written, then counted and filtered from there. From pairs on
     only candidates are listed, sets whose every subset is frequent, in baskets that hold the two sets they are made of.
 
@@ -131,18 +187,18 @@ def _grow(
     here = [*scope, "basket_id"]
     levels: list[DataFrame] = []
     occurrences, k = rows.withColumnRenamed("item", "i1"), 1
-    held = None if aside is None else aside.select(*here, F.col("item").alias("i1"))
+    held = None if aside is None else aside.select(*here, "weight", F.col("item").alias("i1"))
     while True:
         places = [f"i{j}" for j in range(1, k + 1)]
         key = [*scope, *places]
         if k > 1:
             occurrences = written(occurrences if prune is None else prune(occurrences, k), f"occurrences{k}")
-        counts = occurrences.groupBy(*key).agg(F.count("*").alias("support"))
+        counts = occurrences.groupBy(*key).agg(F.sum("weight").alias("support"))
         frequent = near(counts)
         if held is not None:
             frequent = written(frequent, f"near{k}")
             held = written(_held(held, frequent, scope, k), f"held{k}")
-            more = held.groupBy(*key).agg(F.count("*").alias("_more"))
+            more = held.groupBy(*key).agg(F.sum("weight").alias("_more"))
             total = F.col("support") + F.coalesce("_more", F.lit(0))
             frequent = keep(frequent.join(more, key, "left").withColumn("support", total).drop("_more"))
         frequent = written(frequent, f"frequent{k}")
@@ -158,7 +214,7 @@ def _grow(
             # a frequent item may occur in a large share of the baskets; its support says so
             size = frequent.select(*key, F.col("support").alias("_n"))
             kept = skew_join(occurrences, frequent.select(*key), key, "left_semi", counts=size)
-            extra = [F.col(c).alias(f"_{c}") for c in rows.columns if c not in (*here, "item")]  # what pruning pairs needs
+            extra = [F.col(c).alias(f"_{c}") for c in rows.columns if c not in (*here, "item", "weight")]  # what pruning pairs needs
             two = kept.select(*here, F.col("i1").alias("i2"), *extra)
             occurrences = kept.join(two, here).filter(F.col("i1") < F.col("i2"))
         else:
@@ -167,7 +223,7 @@ def _grow(
                 return levels
             one = occurrences.join(wanted.select(*key), key, "left_semi")
             ends = wanted.select(*scope, *shared, F.col(new).alias(last))
-            two = occurrences.join(ends, key, "left_semi").withColumnRenamed(last, new)
+            two = occurrences.drop("weight").join(ends, key, "left_semi").withColumnRenamed(last, new)
             met = one.join(two, [*here, *shared]).filter(F.col(last) < F.col(new))
             size = wanted.select(*key, new, F.col("least").alias("_n"))
             occurrences = skew_join(met, wanted.select(*key, new), [*key, new], "left_semi", counts=size)
@@ -195,13 +251,13 @@ def contained(rows: DataFrame, candidates: DataFrame) -> DataFrame:
     for place in range(longest):
         if place == 0:
             start = ordered.select("items", "seek", F.col("seek")[0].alias("item"))
-            found = skew_join(rows.select("basket_id", "item"), start, "item").drop("item")
+            found = skew_join(rows.select("basket_id", "item", *_weight(rows)), start, "item").drop("item")
         else:
             wanted = found.filter(F.size("items") > place).withColumn("item", F.col("seek")[place])
             found = wanted.join(rows.select("basket_id", "item"), ["basket_id", "item"], "left_semi").drop("item")
         found = written(found, f"found{place}")
         done = found.filter(F.size("items") == place + 1)
-        parts.append(done.groupBy("items").agg(F.count("*").alias("support")))
+        parts.append(done.groupBy("items").agg(_number(rows).alias("support")))
     if not parts:
         return candidates.select("items", F.lit(0).cast("long").alias("support")).limit(0)
     return reduce(DataFrame.unionByName, parts)
@@ -224,20 +280,24 @@ def frequent_itemsets(
 ) -> DataFrame:
     """``items, size, support`` of all sets in at least ``support`` baskets (more than, if ``strict``).
 
-    ``rows`` are distinct ``basket_id, item``. ``levelwise``, ``pcy`` (a bitmap of full buckets drops occurrences before
+    ``rows`` are distinct ``basket_id, item``, with a ``weight`` if they are merged; else they are merged here. ``levelwise``, ``pcy`` (a bitmap of full buckets drops occurrences before
     they are listed; ``buckets`` is twice the baskets by default), ``son`` (two passes over chunks) and ``fpgrowth`` give
     the same answer; ``fpgrowth`` holds a basket as one list, of at most the size beyond which baskets are set aside.
     ``candidates`` (``items``) is the first pass of ``son``, if it is there already.
     """
-    rows = rows.select("basket_id", "item")
+    rows = rows.select("basket_id", "item", *_weight(rows))
     least = support + 1 if strict else support
     if method == "son":
         if candidates is None:
+            if not _weight(rows):
+                rows = merged(rows, _chunk(chunks))
             candidates = written(_chunk_frequent(rows, least, chunks, max_k, None, large).select("items").distinct(), "candidates")
-        # the second pass only counts: every frequent set is among the candidates
-        found = contained(rows, candidates.select("items")).filter(F.col("support") >= least)
+        # the second pass only counts, baskets of all chunks together: every frequent set is among the candidates
+        found = contained(merged(rows), candidates.select("items")).filter(F.col("support") >= least)
         return _shaped(found if max_k is None else found.filter(F.size("items") <= max_k))
 
+    if method != "fpgrowth" and not _weight(rows):
+        rows = merged(rows)
     ordinary, aside, n_aside = _set_aside(rows, least, large)
     threshold = least - n_aside
     if method == "fpgrowth":
@@ -265,23 +325,25 @@ def _fpgrowth(rows: DataFrame, threshold: int, max_k: int | None) -> DataFrame:
     """Sets by prefix trees over each basket as one list."""
     from pyspark.ml.fpm import FPGrowth
 
-    n = rows.select("basket_id").distinct().count()
-    lists = rows.groupBy("basket_id").agg(F.collect_set("item").alias("items"))
+    n = basket_count(rows)
+    lists = rows.groupBy("basket_id").agg(F.collect_set("item").alias("items"), *map(F.max, _weight(rows)))
+    if _weight(rows):  # the trees know no weights
+        lists = lists.select("items", F.explode(F.sequence(F.lit(1).cast("long"), F.col("max(weight)"))))
     model = FPGrowth(itemsCol="items", minSupport=max(threshold - 0.5, 0.5) / max(n, 1)).fit(lists)
     found = model.freqItemsets.select(F.array_sort("items").alias("items"), F.col("freq").alias("support"))
     return found if max_k is None else found.filter(F.size("items") <= max_k)
 
 
 def _tokens_of(rows: DataFrame) -> DataFrame:
-    """``basket_id, item, token``: every row with the dense number of its item."""
+    """``basket_id, item, token``: every row with the dense number of its item, and its weight if it has one."""
     tokens = written(token_dict(rows, "item"), "tokens")
-    coded = skew_join(rows.select("basket_id", F.col("item").alias("id")), tokens, "id")
-    return coded.select("basket_id", F.col("id").alias("item"), "token")
+    coded = skew_join(rows.select("basket_id", F.col("item").alias("id"), *_weight(rows)), tokens, "id")
+    return coded.select("basket_id", F.col("id").alias("item"), "token", *_weight(rows))
 
 
 def bitmap_size(rows: DataFrame) -> int:
     """Buckets of a bitmap over these baskets: two for each."""
-    return 2 * max(1, rows.select("basket_id").distinct().count())
+    return 2 * max(1, _sizes(rows, ["basket_id"]).agg(F.sum("_w")).first()[0] or 0)
 
 
 def _side(buckets: int) -> int:
@@ -306,7 +368,7 @@ def _bucket_prune(met: DataFrame, k: int, coded: DataFrame, threshold: int, buck
         counts = _pair_buckets(coded)
     else:
         placed = met.withColumn("_bucket", F.pmod(F.xxhash64(*[f"i{j}" for j in range(1, k + 1)]), F.lit(buckets)))
-        counts = placed.groupBy(F.col("_bucket").alias("bucket")).agg(F.count("*").alias("n"))
+        counts = placed.groupBy(F.col("_bucket").alias("bucket")).agg(_number(placed).alias("n"))
     return _in_bitmap(placed, "_bucket", bitmap(counts.filter(F.col("n") >= threshold)), buckets).drop("_bucket")
 
 
@@ -335,14 +397,15 @@ def pcy_buckets(rows: DataFrame, support: int, buckets: int | None = None) -> Da
 
 
 def _pair_buckets(coded: DataFrame) -> DataFrame:
-    residues = written(coded.groupBy("basket_id", "r").agg(F.count("*").alias("c")), "residues")
-    one = residues.select("basket_id", F.col("r").alias("r1"), F.col("c").alias("c1"))
+    weight = F.max("weight") if _weight(coded) else F.lit(1).cast("long")
+    residues = written(coded.groupBy("basket_id", "r").agg(F.count("*").alias("c"), weight.alias("_w")), "residues")
+    one = residues.select("basket_id", F.col("r").alias("r1"), F.col("c").alias("c1"), "_w")
     two = residues.select("basket_id", F.col("r").alias("r2"), F.col("c").alias("c2"))
     across = one.join(two, "basket_id").filter(F.col("r1") < F.col("r2")).select(
-        _pair_bucket(F.col("r1"), F.col("r2")).alias("bucket"), (F.col("c1") * F.col("c2")).alias("n")
+        _pair_bucket(F.col("r1"), F.col("r2")).alias("bucket"), (F.col("c1") * F.col("c2") * F.col("_w")).alias("n")
     )
     within = residues.filter(F.col("c") > 1).select(
-        _pair_bucket(F.col("r"), F.col("r")).alias("bucket"), F.expr("c * (c - 1) div 2").alias("n")
+        _pair_bucket(F.col("r"), F.col("r")).alias("bucket"), F.expr("c * (c - 1) div 2 * _w").alias("n")
     )
     return across.unionByName(within).groupBy("bucket").agg(F.sum("n").alias("n"))
 
@@ -356,13 +419,19 @@ def itemset_candidates(
 ) -> DataFrame:
     """``items, size``: sets frequent in at least one chunk at its share of the support, first pass of two.
 
+    ``rows`` are distinct ``basket_id, item``, with a ``weight`` if they are merged by ``chunk``; else they are merged here.
     A chunk with ``c`` of the ``N`` baskets asks for ``ceil(support * c / N)``. A set with global
     support has that in some chunk, so this contains every frequent set.
     """
-    found = _chunk_frequent(rows.select("basket_id", "item"), support, chunks, max_k, chunk).select("items").distinct()
+    rows = rows.select("basket_id", "item", *_weight(rows))
+    found = _chunk_frequent(rows, support, chunks, max_k, chunk).select("items").distinct()
     return found.select("items", F.size("items").alias("size"))
 
 
+def _chunk(chunks: int) -> Column:
+    return F.pmod(F.xxhash64("basket_id"), F.lit(chunks))
+
+
 def _chunk_frequent(
     rows: DataFrame, support: int, chunks: int, max_k: int | None, chunk: Column | None, large: int = LARGE_BASKET
 ) -> DataFrame:
@@ -372,10 +441,12 @@ def _chunk_frequent(
     list no pairs, and the sets that they may lift over the threshold are counted in them by key, in time linear in
     their items. The thresholds are a table of a row a chunk.
     """
-    place = chunk if chunk is not None else F.pmod(F.xxhash64("basket_id"), F.lit(chunks))
-    placed = written(rows.withColumn("chunk", place.cast("int")), "chunks")
-    size = written(placed.groupBy("chunk", "basket_id").agg(F.count("*").alias("_n")), "chunk-baskets")
-    seen = size.agg(F.count("*").alias("baskets"), F.max("_n").alias("top")).first()
+    place = chunk if chunk is not None else _chunk(chunks)
+    if not _weight(rows):
+        rows = merged(rows, place)
+    placed = rows.withColumn("chunk", place.cast("int"))
+    size = written(_sizes(placed, ["chunk", "basket_id"]), "chunk-baskets")
+    seen = size.agg(F.sum("_w").alias("baskets"), F.max("_n").alias("top")).first()
     if not seen["baskets"]:
         return placed.select("chunk", F.array("item").alias("items"), F.lit(0).cast("long").alias("support")).limit(0)
     limits = [large]
@@ -384,7 +455,7 @@ def _chunk_frequent(
     # ceiling division in whole numbers
     need = F.expr(f"({support}L * c + {seen['baskets'] - 1}L) div {seen['baskets']}L")
     shares = size.groupBy("chunk").agg(
-        F.count("*").alias("c"), *[F.count_if(F.col("_n") > limit).alias(f"a{limit}") for limit in limits]
+        F.sum("_w").alias("c"), *[_above(limit).alias(f"a{limit}") for limit in limits]
     ).withColumn("need", need)
     fits = [F.when(F.col(f"a{t}") <= F.shiftright("need", 1), F.struct(F.lit(t).alias("limit"), F.col(f"a{t}").alias("n"))) for t in limits]
     shares = written(shares.withColumn("_fit", F.coalesce(*fits)).select("chunk", "need", "_fit.limit", "_fit.n"), "chunk-limits")

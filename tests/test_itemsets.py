@@ -221,3 +221,63 @@ def test_report_lines(spark, tmp_path):
     write_lines(lines, str(tmp_path / "report"))
     text = "".join(p.read_text() for p in sorted((tmp_path / "report").glob("part-*.txt")))
     assert text.splitlines() == shown
+
+
+def repeated(spark, n):
+    """``n`` baskets in two chunks, of three kinds."""
+    kinds = [["a", "b", "c"], ["a", "b"], ["b", "c", "d", "e"]]
+    data = {i: kinds[i // 2 % 3] for i in range(n)}
+    return data, spark.createDataFrame([(b, i) for b, items in data.items() for i in items], "basket_id long, item string")
+
+
+@pytest.mark.parametrize("method", ["levelwise", "pcy", "son"])
+def test_equal_baskets_are_mined_once(spark, monkeypatch, method):
+    """The tables that mining writes grow with the kinds of baskets, not with their number."""
+    sizes, real = {}, itemsets.written
+
+    def watched(df, label):
+        out = real(df, label)
+        sizes[label] = max(out.count(), sizes.get(label, 0))
+        return out
+
+    monkeypatch.setattr(itemsets, "written", watched)
+    data, rows = repeated(spark, 300)
+    got = itemsets.frequent_itemsets(rows, 50, method=method, chunks=2)
+    assert as_dict(got) == brute(data, 50)
+    chunks = 2 if method == "son" else 1
+    assert max(sizes.values()) <= chunks * 45  # 45 sets are all that the three kinds hold
+
+
+def test_merged_baskets_stand_for_all(spark):
+    data, rows = repeated(spark, 100)
+    large = [(1000, f"x{i}") for i in range(300)] + [(1001, f"x{i}") for i in range(300)]  # are not compared
+    odd = [(2000, None), (2000, "a"), (2001, None), (2001, "a"), (None, "a"), (None, "b")]
+    rows = rows.unionByName(spark.createDataFrame(large + odd, rows.schema))
+    chunk = F.pmod("basket_id", F.lit(2))
+    once = itemsets.merged(rows, chunk)
+    kept = defaultdict(set)
+    for r in once.collect():
+        kept[r.basket_id, r.weight].add(r.item)
+    expected = Counter((i % 2, frozenset(v)) for i, v in data.items())
+    first = {(i % 2, frozenset(v)): i for i, v in reversed(data.items())}
+    want = {(first[k], n): set(k[1]) for k, n in expected.items()}
+    want |= {(b, 1): {f"x{i}" for i in range(300)} for b in (1000, 1001)}
+    want |= {(2000, 1): {None, "a"}, (2001, 1): {None, "a"}, (None, 1): {"a", "b"}}
+    assert kept == want
+    again = itemsets.merged(once)
+    assert itemsets.basket_count(rows) == itemsets.basket_count(once) == itemsets.basket_count(again) == 104
+    assert sorted({(r.basket_id, r.weight) for r in again.collect()}, key=str)[:2] == [(0, 34), (1000, 1)]
+    assert again.count() < once.count()
+    plain = {(tuple(r.items), r.size) for r in itemsets.itemset_candidates(rows, 20, 2, chunk=chunk).collect()}
+    assert plain == {(tuple(r.items), r.size) for r in itemsets.itemset_candidates(once, 20, 2, chunk=chunk).collect()}
+
+
+@pytest.mark.parametrize("method", ["levelwise", "pcy", "son", "fpgrowth"])
+@pytest.mark.parametrize("large", [2, 200])
+def test_merged_baskets_give_the_same_sets(spark, method, large):
+    data, rows = repeated(spark, 90)
+    got = itemsets.frequent_itemsets(itemsets.merged(rows), 20, method=method, chunks=2, large=large)
+    assert as_dict(got) == brute(data, 20)
+    assert {r["bucket"]: r["n"] for r in itemsets.pcy_buckets(rows, 5, 9).collect()} == {
+        r["bucket"]: r["n"] for r in itemsets.pcy_buckets(itemsets.merged(rows), 5, 9).collect()
+    }
