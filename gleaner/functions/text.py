@@ -19,11 +19,14 @@ WORD_WHOLE = "^[a-zA-Z]+$"
 NUMBER = r"^[0-9]+\.?[0-9]*$|^\.[0-9]+$"
 
 
+def plain(text: Column) -> Column:
+    """``text`` with a blank for every separator and without punctuation, in one pass."""
+    return F.translate(text, SPACES + PUNCTUATION, " " * len(SPACES))
+
+
 def words(text: Column) -> Column:
     """Words of ``text`` without punctuation, as written."""
-    # one pass: every separator becomes a blank, every punctuation mark goes
-    plain = F.translate(text, SPACES + PUNCTUATION, " " * len(SPACES))
-    return F.array_remove(F.split(plain, " "), "")
+    return F.array_remove(F.split(plain(text), " "), "")
 
 
 def starts_with_letter(word: Column) -> Column:

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gleaner.functions import text as text_functions
 from gleaner.functions.similarity import set_cosine
-from gleaner.operators.skew import skew_join
+from gleaner.operators.skew import hot_keys, hot_table, skew_join
 from gleaner.session import written
 
 PROFILE_WORDS = 200
 TOP_WORDS = 30
+TEXT_BYTES = 4 << 20  # texts whose words are counted together
+COMMON_WORDS = 500_000  # fewer words than this are broadcast; each of the others has at most this share of the rows
 
 
 def _best(rows: DataFrame, group: str, order: list[Column], k: int, name: str = "rank") -> DataFrame:
@@ -53,13 +59,71 @@ def _word_counts(texts: DataFrame, key: str, listed: Column | None = None) -> Da
     return written(kept.groupBy(key, "word").agg(F.count("*").alias("n")), "word-counts")
 
 
+def _by_repeats(texts: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """The rows whose key no other row has, and the others (None if there are none)."""
+    rows = texts.select(key, "text")
+    repeated = hot_keys(rows, key, 1)
+    if not isinstance(repeated, DataFrame) and not repeated:
+        return rows, None
+    again = hot_table(rows, [key], repeated).select(F.col(key).alias("_again"))
+    same = F.col(key).eqNullSafe(F.col("_again"))
+    return rows.join(again, same, "left_anti"), rows.join(again, same, "left_semi")
+
+
+def _counted(stopwords: list[str], names: list[str]):
+    """Function of a task's batches of keys and texts, words parted by blanks: the counts of each row's listed words."""
+
+    def counts(keys: pa.Array, texts: pa.Array) -> pa.RecordBatch:
+        split = pc.split_pattern(texts, " ")
+        coded = split.flatten().dictionary_encode()
+        words, code = coded.dictionary, coded.indices.to_numpy()
+        row = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy())
+        word = pc.not_equal(words, "").to_numpy(zero_copy_only=False)[code]
+        pair, n = np.unique(row[word] * len(words) + code[word], return_counts=True)
+        row, code = np.divmod(pair, max(len(words), 1))
+        total = np.bincount(row, n, len(texts))[row]
+        unlisted = pc.or_(
+            pc.is_in(words, value_set=pa.array(stopwords, pa.string())),
+            pc.match_substring_regex(words, text_functions.NUMBER),
+        )
+        kept = np.flatnonzero(~unlisted.to_numpy(zero_copy_only=False)[code])
+        columns = [keys.take(pa.array(row[kept])), words.take(pa.array(code[kept])), pa.array(n[kept]), pa.array(n[kept] / total[kept])]
+        return pa.RecordBatch.from_arrays(columns, names=names)
+
+    def run(batches):
+        for batch in batches:
+            yield counts(batch.column(0), batch.column(1))
+
+    return run
+
+
+def _counts_of_rows(texts: DataFrame, key: str, stopwords: list[str]) -> DataFrame:
+    """``key, word, n, tf`` of each row by itself, without a shuffle."""
+    texts.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TEXT_BYTES))
+    plain = F.coalesce(text_functions.plain(F.lower("text")), F.lit(""))
+    schema = T.StructType([
+        T.StructField(key, texts.schema[key].dataType), T.StructField("word", T.StringType()),
+        T.StructField("n", T.LongType()), T.StructField("tf", T.DoubleType()),
+    ])
+    return texts.select(key, plain.alias("_plain")).mapInArrow(_counted(stopwords, schema.names), schema)
+
+
 def document_tf(texts: DataFrame, key: str, stopwords: list[str]) -> DataFrame:
-    """``key, word, n, tf``: share of all words of the text; stop words and numbers are not listed."""
+    """``key, word, n, tf``: share of all words of the text; stop words and numbers are not listed.
+
+    Rows of a key that stands once are counted where they are read; only those of repeated keys are shuffled.
+    """
+    alone, again = _by_repeats(texts, key)
+    found = _counts_of_rows(alone, key, stopwords)
+    if again is None:
+        return found
     listed = ~F.col("word").isin(stopwords) & ~F.col("word").rlike(text_functions.NUMBER)
-    counts = _word_counts(texts, key)
-    totals = counts.groupBy(key).agg(F.sum("n").alias("total"), F.count("*").alias("_n"))
-    weighed = skew_join(counts.filter(listed), totals.drop("_n"), key, counts=totals.select(key, "_n"))
-    return weighed.select(key, "word", "n", (F.col("n") / F.col("total")).alias("tf"))
+    # a struct of a null key equals another: the texts without a key are one
+    counts = _word_counts(again.select(F.struct(key).alias("_key"), "text"), "_key")
+    totals = counts.groupBy("_key").agg(F.sum("n").alias("total"), F.count("*").alias("_n"))
+    weighed = skew_join(counts.filter(listed), totals.drop("_n"), "_key", counts=totals.select("_key", "_n"))
+    tf = (F.col("n") / F.col("total")).alias("tf")
+    return found.unionByName(weighed.select(F.col("_key")[key].alias(key), "word", "n", tf))
 
 
 def doc_top_words(texts: DataFrame, key: str, stopwords: list[str], k: int) -> DataFrame:
@@ -82,13 +146,19 @@ def idf(weights: DataFrame, n_docs: int) -> DataFrame:
 
 
 def tfidf(weights: DataFrame, n_docs: int, key: str) -> DataFrame:
-    """``key, word, score``"""
-    frequency = _document_frequency(weights)
-    inverse = frequency.select("word", F.ln(F.lit(float(n_docs)) / F.col("df")).alias("idf"))
-    counts = frequency.select("word", F.col("df").alias("_n"))
-    return skew_join(weights, inverse, "word", counts=counts).select(
-        key, "word", (F.col("tf") * F.col("idf")).alias("score")
-    )
+    """``key, word, score``
+
+    The words of more than a share of the rows travel to all tasks, fewer than ``COMMON_WORDS`` of them, so that their rows,
+    most of all, stay where they are; the rows of the others are joined by word.
+    """
+    frequency = written(_document_frequency(weights), "document-frequency")
+    rows = frequency.agg(F.sum("df")).first()[0] or 0
+    common = F.col("df") > rows / COMMON_WORDS
+    inverse = F.ln(F.lit(float(n_docs)) / F.col("df")).alias("idf")
+    often = F.broadcast(frequency.filter(common).select("word", inverse))  # < COMMON_WORDS rows
+    seldom = frequency.filter(~common).select("word", inverse)
+    rest = weights.join(often, "word", "left_anti").join(seldom, "word")
+    return weights.join(often, "word").unionByName(rest).select(key, "word", (F.col("tf") * F.col("idf")).alias("score"))
 
 
 def tfidf_profile(scores: DataFrame, key: str, k: int = PROFILE_WORDS, order: str = "asc") -> DataFrame:

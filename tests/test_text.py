@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from gleaner.functions import text as T
 from gleaner.operators import reviews, textmodel
+from gleaner.operators.skew import hot_keys
 
 ODD = "It's  a\tb c d　e\x1cf\x85g\n!!! don't-stop, 3.14 abc3 Été x​y "
 
@@ -126,3 +127,53 @@ def test_few_partitions_do_not_run_the_join_before_them(spark, sf):
     assert "l_orderkey" not in found._jdf.queryExecution().optimizedPlan().toString()
     assert [r["pid"] for r in found.orderBy("pid").collect()] == [0, 1]
     assert found.agg({"n_items": "sum"}).first()[0] == rows.count()
+
+
+REPEATED = [
+    (1, "b b a 12 the c_c  C"), (2, "b a"), (1, "a　a.d"), (None, "x y y"), (3, None), (4, ""), (None, "x the"), (5, "été b 1.5 B"),
+]
+
+
+def expected_counts(rows, stop):
+    docs = {}
+    for k, text in rows:
+        docs.setdefault(k, Counter()).update(w.lower() for w in py_words(text or ""))
+    listed = {(k, w): n for k, c in docs.items() for w, n in c.items() if w not in stop and not w.isdecimal()}
+    return listed, {k: sum(c.values()) for k, c in docs.items()}
+
+
+@pytest.mark.parametrize("most", [10_000, 0])  # repeated keys as a list, as a table
+def test_document_words_of_single_and_repeated_keys(spark, monkeypatch, most):
+    monkeypatch.setattr(textmodel, "hot_keys", lambda *a: hot_keys(*a, most=most))
+    listed, total = expected_counts(REPEATED, ["the"])
+    rows = spark.createDataFrame(REPEATED, "k long, text string").repartition(3)
+    found = [tuple(r) for r in textmodel.document_tf(rows, "k", ["the"]).collect()]
+    assert sorted(found, key=repr) == sorted(((k, w, n, n / total[k]) for (k, w), n in listed.items()), key=repr)
+
+
+def test_words_of_single_texts_are_counted_without_a_shuffle(spark):
+    rows = spark.createDataFrame([(1, "a b"), (2, "b")], "k long, text string")
+    assert "Exchange" not in textmodel.document_tf(rows, "k", [])._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("common", [0.5, 3, 500_000])  # no word, some words, all words are broadcast
+def test_scores_of_common_and_rare_words(spark, monkeypatch, common):
+    monkeypatch.setattr(textmodel, "COMMON_WORDS", common)
+    rows = [("x", "a", 0.5), ("x", "b", 0.5), ("y", "a", 1.0), ("z", "a", 0.25), ("z", "c", 0.75)]
+    weights = spark.createDataFrame(rows, "k string, word string, tf double")
+    df = Counter(w for _, w, _ in rows)
+    found = {(r["k"], r["word"]): r["score"] for r in textmodel.tfidf(weights, 4, "k").collect()}
+    assert found == pytest.approx({(k, w): tf * math.log(4 / df[w]) for k, w, tf in rows})
+
+
+def test_rows_of_common_words_are_not_shuffled_by_word(spark):
+    weights = spark.createDataFrame([("x", "a", 0.5)], "k string, word string, tf double")
+    plan = textmodel.tfidf(weights, 4, "k")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 2 and "Union" in plan
+
+
+def test_top_scores_with_ties_at_the_limit(spark):
+    rows = [(k, w, s + d) for k in (1, None) for w, s, d in [("d", 0.2, 0), ("c", 0.1, 0), ("a", 0.1, -1e-14), ("b", 0.1, 1e-14), ("e", 0.05, 0)]]
+    scores = spark.createDataFrame(rows, "k int, word string, score double").coalesce(1)
+    found = textmodel.tfidf_top(scores, "k", 2).collect()
+    assert sorted(((r["k"], r["word"]) for r in found), key=repr) == sorted([(k, w) for k in (1, None) for w in "da"], key=repr)
