@@ -70,7 +70,7 @@ def _by_repeats(texts: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None
     return rows.join(again, same, "left_anti"), rows.join(again, same, "left_semi")
 
 
-def _counted(stopwords: list[str], names: list[str]):
+def _counted(stopwords: list[str], k: int | None, names: list[str]):
     """Function of a task's batches of keys and texts, words parted by blanks: the counts of each row's listed words."""
 
     def counts(keys: pa.Array, texts: pa.Array) -> pa.RecordBatch:
@@ -87,6 +87,12 @@ def _counted(stopwords: list[str], names: list[str]):
             pc.match_substring_regex(words, text_functions.NUMBER),
         )
         kept = np.flatnonzero(~unlisted.to_numpy(zero_copy_only=False)[code])
+        if k is not None:
+            place = np.empty(len(words), np.int64)
+            place[pc.sort_indices(words).to_numpy()] = np.arange(len(words))
+            kept = kept[np.lexsort((place[code[kept]], -n[kept], row[kept]))]
+            before = np.arange(len(kept)) - np.searchsorted(row[kept], row[kept])
+            kept = kept[before < k]
         columns = [keys.take(pa.array(row[kept])), words.take(pa.array(code[kept])), pa.array(n[kept]), pa.array(n[kept] / total[kept])]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -97,15 +103,15 @@ def _counted(stopwords: list[str], names: list[str]):
     return run
 
 
-def _counts_of_rows(texts: DataFrame, key: str, stopwords: list[str]) -> DataFrame:
-    """``key, word, n, tf`` of each row by itself, without a shuffle."""
+def _counts_of_rows(texts: DataFrame, key: str, stopwords: list[str], k: int | None = None) -> DataFrame:
+    """``key, word, n, tf`` of each row by itself, without a shuffle; with ``k`` its most frequent words, ties by word."""
     texts.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(TEXT_BYTES))
     plain = F.coalesce(text_functions.plain(F.lower("text")), F.lit(""))
     schema = T.StructType([
         T.StructField(key, texts.schema[key].dataType), T.StructField("word", T.StringType()),
         T.StructField("n", T.LongType()), T.StructField("tf", T.DoubleType()),
     ])
-    return texts.select(key, plain.alias("_plain")).mapInArrow(_counted(stopwords, schema.names), schema)
+    return texts.select(key, plain.alias("_plain")).mapInArrow(_counted(stopwords, k, schema.names), schema)
 
 
 def document_tf(texts: DataFrame, key: str, stopwords: list[str]) -> DataFrame:
@@ -127,13 +133,18 @@ def document_tf(texts: DataFrame, key: str, stopwords: list[str]) -> DataFrame:
 
 
 def doc_top_words(texts: DataFrame, key: str, stopwords: list[str], k: int) -> DataFrame:
-    """``key, word, n``: the ``k`` most frequent words of each text, ties by word."""
-    found = texts.select(
-        key, F.explode(text_functions.words(F.lower("text"))).alias("word")
-    )
-    listed = found.filter(~F.col("word").isin(stopwords) & ~F.col("word").rlike(text_functions.NUMBER))
+    """``key, word, n``: the ``k`` most frequent words of each text, ties by word.
+
+    Rows of a key that stands once are ranked where they are read; only those of repeated keys are shuffled.
+    """
+    alone, again = _by_repeats(texts, key)
+    found = _counts_of_rows(alone, key, stopwords, k).drop("tf")
+    if again is None:
+        return found
+    words = again.select(key, F.explode(text_functions.words(F.lower("text"))).alias("word"))
+    listed = words.filter(~F.col("word").isin(stopwords) & ~F.col("word").rlike(text_functions.NUMBER))
     counts = listed.groupBy(key, "word").agg(F.count("*").alias("n"))
-    return _best(counts, key, [F.desc("n"), F.col("word")], k).drop("rank")
+    return found.unionByName(_best(counts, key, [F.desc("n"), F.col("word")], k).drop("rank"))
 
 
 def _document_frequency(weights: DataFrame) -> DataFrame:

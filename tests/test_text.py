@@ -149,11 +149,15 @@ def test_document_words_of_single_and_repeated_keys(spark, monkeypatch, most):
     rows = spark.createDataFrame(REPEATED, "k long, text string").repartition(3)
     found = [tuple(r) for r in textmodel.document_tf(rows, "k", ["the"]).collect()]
     assert sorted(found, key=repr) == sorted(((k, w, n, n / total[k]) for (k, w), n in listed.items()), key=repr)
+    top = [tuple(r) for r in textmodel.doc_top_words(rows, "k", ["the"], 2).collect()]
+    best = [sorted(((-n, w) for (j, w), n in listed.items() if j == k))[:2] for k in total]
+    assert sorted(top, key=repr) == sorted(((k, w, -n) for k, b in zip(total, best, strict=True) for n, w in b), key=repr)
 
 
 def test_words_of_single_texts_are_counted_without_a_shuffle(spark):
     rows = spark.createDataFrame([(1, "a b"), (2, "b")], "k long, text string")
-    assert "Exchange" not in textmodel.document_tf(rows, "k", [])._jdf.queryExecution().executedPlan().toString()
+    for found in (textmodel.document_tf(rows, "k", []), textmodel.doc_top_words(rows, "k", [], 1)):
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
 
 
 @pytest.mark.parametrize("common", [0.5, 3, 500_000])  # no word, some words, all words are broadcast
