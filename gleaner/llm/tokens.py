@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from array import array
+from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -21,65 +24,74 @@ SHARD_BYTES = 8 << 20
 SHARD_DOCS = 1 << 16
 MARKS = ".,;:!?"
 START, LEADS = "\r", "\r\n"  # mark of the first word of a text; of that and of the first of a line
-WORDS = 800_000  # words remembered per task
+BYTE_CHARS = {" ": "\u0120", "\n": "\u010a"}  # how a byte-level vocabulary writes these
+JOINED = 64  # words encoded as one string
+WORDS = 800_000  # words remembered per worker
 #: White space other than single spaces and line breaks between other characters.
 ODD = (
     r"[\t\r\x0B\x0C\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]|[ \n][ \n]|\A[ \n]|[ \n]\z|\A\z"
 )
 
 
-def _byte_chars() -> dict[str, str]:
-    """The letter that stands for each byte in the words of a byte-level vocabulary: itself if it can be seen, else the
-    next free one from 256 on."""
-    seen = [*range(ord("!"), ord("~") + 1), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    unseen = [b for b in range(256) if b not in seen]
-    return {chr(b): chr(b) for b in seen} | {chr(b): chr(256 + k) for k, b in enumerate(unseen)}
+def _encoder(tokenizer_path: str):
+    """The encoder of this file as it is now; a worker keeps the last one, and the words it met, for its next tasks."""
+    state = os.stat(tokenizer_path)
+    return _kept_encoder(tokenizer_path, state.st_mtime_ns, state.st_size)
 
 
-def _encoder(tokenizer_path: str):
+@lru_cache(maxsize=1)
+def _kept_encoder(tokenizer_path: str, changed: int, size: int):
     """A function of a slice of texts (an Arrow array of UTF-8 strings): the ids of all, and how many each text has.
 
     The byte-level pattern always ends a piece before a single space or line break between two other characters, so the
     ids of such a text are those of its words. Arrow cuts the texts and finds the distinct words of the slice; only these
-    meet the memo, and numpy gathers their ids in the order of the texts. A word not met before is encoded once: words of
-    letters by the library's merges directly, others through its whole chain. Texts with any other white space go to the
-    tokenizer whole.
+    meet the memo, and numpy gathers their ids in the order of the texts. Words not met before are encoded once, many in
+    one string: the ids of the next begin where a token holds its space or line break. Texts with any other white space go
+    to the tokenizer whole.
     """
-    import os
-
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path)
-    merges, memo = tokenizer.model, Memo(WORDS)
-    byte_chars = str.maketrans(_byte_chars())
+    memo = Memo(WORDS)
+    first = {lead: np.zeros(tokenizer.get_vocab_size(), bool) for lead in BYTE_CHARS}
+    for token, i in tokenizer.get_vocab().items():
+        for lead, char in BYTE_CHARS.items():
+            first[lead][i] = token.startswith(char)
 
     def whole(texts: list[str]) -> list[bytes]:
         found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in found]
 
-    def letters(piece: str) -> bytes:
-        """A piece of letters, maybe after a space, is one word of the model."""
-        word = piece.encode().decode("latin-1").translate(byte_chars)
-        return array("I", [x.id for x in merges.tokenize(word)]).tobytes()
+    def joined(words: list[str], lead: str) -> list[bytes]:
+        """As ``whole`` of words that all begin with ``lead`` and hold no other white space."""
+        ids = b"".join(whole(["".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)]))
+        starts = np.flatnonzero(first[lead][np.frombuffer(ids, "<u4")]) * 4
+        if len(starts) != len(words):  # a vocabulary of another form
+            return whole(words)
+        bounds = [*starts.tolist(), len(ids)]
+        return [ids[a:b] for a, b in pairwise(bounds)]
 
     def learn(words: list[str]) -> None:
-        rest = []
+        spaced, marked = [], []
         for w in words:
-            lead, core = (w[0], w[1:]) if w[0] in LEADS else (" ", w)
-            mark = core[-1:] if core[-1:] in marks else ""
-            letter = core[:-1] if mark else core
-            if letter.isalpha():
-                value = memo.get(letter) if lead == " " and mark else None
-                value = value or letters(" " + letter if lead == " " else letter)
-                memo[w] = (line if lead == "\n" else b"") + value + marks.get(mark, b"")
+            if w[0] not in LEADS:
+                (marked if w[-1] in marks and w[:-1].isalpha() else spaced).append(w)
+        memo.update(zip(spaced, joined([" " + w for w in spaced], " "), strict=True))
+        rest = []
+        for w in marked:
+            value = memo.get(w[:-1])  # a mark after letters is a piece of its own
+            if value:
+                memo[w] = value + marks[w[-1]]
             else:
                 rest.append(w)
-        if rest:
-            memo.update(zip(rest, whole([w[1:] if w[0] == START else w if w[0] == "\n" else " " + w for w in rest]), strict=True))
+        memo.update(zip(rest, joined([" " + w for w in rest], " "), strict=True))
+        lines = [w for w in words if w[0] == "\n"]
+        memo.update(zip(lines, joined(lines, "\n"), strict=True))
+        texts = [w for w in words if w[0] == START]
+        memo.update(zip(texts, whole([w[1:] for w in texts]), strict=True))
 
-    (line, *listed) = whole(["\n", *MARKS])
-    marks = dict(zip(MARKS, listed, strict=True))
+    marks = dict(zip(MARKS, whole(list(MARKS)), strict=True))
 
     def by_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The first word of a text and of a line say so by a leading mark."""

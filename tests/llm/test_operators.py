@@ -222,6 +222,26 @@ def test_odd_white_space_goes_to_the_tokenizer_whole():
         assert ids.tolist() == [i for x in want for i in x] and sizes.tolist() == [len(x) for x in want]
 
 
+def test_words_met_before_stay_with_the_worker_and_new_ones_are_joined(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_path()
+    assert tokens._encoder(path) is tokens._encoder(path)
+    tokenizer = Tokenizer.from_file(path)
+    texts = ["Ġ Ċa\nĊ ĠĠ. 's a's <|endoftext|> x<|endoftext|>y <|endoftext|>.", "zq, zq zq! zq;\nzq. zq,,\n1,2 ab, ½, é é! 日本. . , \u200b a\u200b, \u180e"]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(tokens, "WORDS", 3)  # a full memo forgets
+    for joined in (1, 2, 64):
+        monkeypatch.setattr(tokens, "JOINED", joined)
+        tokens._kept_encoder.cache_clear()
+        run, _ = tokens._encoder(path)
+        for part in ([0, 1], [1], [0], [1, 0, 1]):
+            ids, sizes = run(pa.array([texts[k] for k in part]))
+            assert ids.tolist() == [i for k in part for i in want[k]] and sizes.tolist() == [len(want[k]) for k in part]
+    tokens._kept_encoder.cache_clear()
+
+
 LUHN = lambda v: sum(d if i % 2 == 0 else (2 * d - 9 if d > 4 else 2 * d) for i, d in enumerate([int(c) for c in v if c.isdigit()][::-1])) % 10 == 0
 DIGITS = lambda v: sum(c.isdigit() for c in v)
 PERSONAL = [
