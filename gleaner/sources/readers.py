@@ -72,13 +72,14 @@ def read_stopwords(spark: SparkSession, path: str) -> DataFrame:
 def read_baskets(spark: SparkSession, path: str) -> DataFrame:
     """``basket_id, item``, distinct, from one white-space separated basket per line.
 
-    A basket id is the file and the line's place in it, given before any shuffle.
+    A basket id is the file and the line's place in it, given before any shuffle. No two lines share one, so equal items
+    are found within the line.
     """
     lines = spark.read.text(path).select(
         F.concat_ws("#", F.input_file_name(), F.monotonically_increasing_id()).alias("basket_id"), "value"
     )
-    items = lines.select("basket_id", F.explode(F.split(F.trim("value"), r"\s+")).alias("item"))
-    return items.filter(F.col("item") != "").distinct()
+    items = lines.select("basket_id", F.explode(F.array_distinct(F.split(F.trim("value"), r"\s+"))).alias("item"))
+    return items.filter(F.col("item") != "")
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -41,6 +41,15 @@ def test_stop_words_and_baskets(spark, tmp_path):
     assert readers.read_documents(spark, str(tmp_path / "basket.txt")).count() == 3
 
 
+def test_equal_items_are_found_within_a_line(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("x y  x\ty\n\n x \nx\n")
+    (tmp_path / "b.txt").write_text("x y x\n   \n")
+    got = readers.read_baskets(spark, str(tmp_path))
+    groups = sorted(sorted(r[1]) for r in got.groupBy("basket_id").agg(F.collect_list("item")).collect())
+    assert groups == [["x"], ["x"], ["x", "y"], ["x", "y"]]
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_models_and_averages(spark, tmp_path):
     (tmp_path / "avg.json").write_text('{"b1": 3.5, "UNK": 3.8}\n')
     assert {r["id"]: r["avg"] for r in readers.read_averages(spark, str(tmp_path / "avg.json")).collect()} == {
