@@ -10,7 +10,7 @@ from gleaner.functions.hashing import Hash
 from gleaner.operators import pairs as pair_operators
 from gleaner.operators.numbering import token_dict
 from gleaner.operators.pairs import Need, overlaps
-from gleaner.operators.similarity import MAX_BUCKET, code_pairs, jaccard_of, shared_codes
+from gleaner.operators.similarity import in_common_bucket, minhash, packed_kind, rows_of_pairs
 from gleaner.operators.skew import hot_keys, skew_join
 from gleaner.session import written
 
@@ -78,37 +78,23 @@ def pearson_lsh(
     min_common: int = MIN_COMMON,
     min_jaccard: float = 0.01,
     mean: str = "full",
-    max_bucket: int = MAX_BUCKET,
+    max_group: int = pair_operators.MAX_GROUP,
 ) -> DataFrame:
     """``k1, k2, sim`` above 0 over pairs that share a band bucket, ``min_common`` raters and ``min_jaccard``.
 
     ``reviews`` is a table, read more than once. Signatures read the elements with at least ``min_common`` review
-    rows, correlations read all ratings of items with that many rows.
+    rows, correlations read all ratings of items with that many rows. Only what has a correlation gets a signature.
     """
-    ratings = _ratings(reviews, item, rater, min_common, hot_keys(reviews, item))
-    seen = reviews.select(F.col(item).alias("item"), F.col(rater).alias("element")).distinct()
+    near = written(pearson(reviews, item, rater, min_common, mean, max_group, min_jaccard), "near")
+    seen = rows_of_pairs(near, reviews.select(F.col(item).alias("item"), F.col(rater).alias("element")), "item").distinct()
     often = rated_often(reviews, rater, min_common).withColumnRenamed(rater, "element")
     # elements are numbered over the whole training table, before rare ones are left out
     tokens = token_dict(reviews, rater).select(F.col("id").alias("element"), "token")
-    rows = ratings.select(F.col(item).alias("item"), F.col(rater).alias("element"))
-    wanted = rows.select("item").distinct()  # only what can have a correlation gets a signature
-    signed = written(skew_join(
-        seen.join(wanted, "item", "left_semi"), tokens.join(often, "element", "left_semi"), "element", hot=hot_keys(reviews, rater)
-    ), "signed")
-    need = Need(min_common, min_jaccard)
-    candidates = written(code_pairs(rows, shared_codes(signed, "item", "token", family, n_bands), need, max_bucket), "candidates")
-    sums = _sums_of(candidates, ratings.select(F.col(item).alias("item"), F.col(rater).alias("element"), "stars"), need)
-    sized = pair_operators.with_sizes(sums, pair_operators.sizes(rows, "item"))
-    enough = sized.filter(need.met(F.col("n"), F.col("size1"), F.col("size2"))).drop("size1", "size2")
-    return _correlated(enough, ratings, item, mean)
-
-
-def _sums_of(candidates: DataFrame, ratings: DataFrame, need: Need) -> DataFrame:
-    """Sums over common raters of the given pairs that meet ``need``: the shorter rating list is read, the other probed."""
-    counted = jaccard_of(candidates, ratings.select("item", "element"), need)
-    enough = counted.filter(need.met(F.col("n"), F.col("size1"), F.col("size2")))
-    renamed = written(enough.select("k1", "k2", F.col("size1").alias("h1"), F.col("size2").alias("h2")), "enough")
-    return pair_operators.common_sums(renamed, ratings.withColumnRenamed("stars", "x"), True)
+    signed = written(
+        skew_join(seen, tokens.join(often, "element", "left_semi"), "element", hot=hot_keys(reviews, rater)), "signed"
+    )
+    kind = packed_kind(family)
+    return in_common_bucket(near, minhash(signed, "item", "token", family, kind=kind), n_bands, kind)
 
 
 def averages(reviews: DataFrame, column: str) -> DataFrame:

@@ -155,3 +155,35 @@ def test_banded_user_correlations_have_high_recall(spark, sf):
     known = {(r["k1"], r["k2"]): r["sim"] for r in queries()["q_pearson_user_exact"](spark, sf).collect()}
     assert found.items() <= known.items()
     assert len(found) >= 0.9 * len(known) > 100
+
+
+@pytest.fixture
+def most_rows(monkeypatch):
+    """Rows of the largest table written by the operators."""
+    from gleaner.operators import similarity
+
+    counts, write = [0], similarity.written
+
+    def counted(df, label):
+        table = write(df, label)
+        counts[0] = max(counts[0], table.count())
+        return table
+
+    for module in (similarity, recommend):
+        monkeypatch.setattr(module, "written", counted)
+    return counts
+
+
+@pytest.fixture(scope="module")
+def strangers(spark):
+    """100 groups of 3 users rate 4 businesses of their own: pairs have common ratings within a group only."""
+    rows = [(u, 4 * (u // 3) + k, float(1 + (u + k * (1 + u % 2)) % 5), 4 * u + k) for u in range(300) for k in range(4)]
+    df = spark.createDataFrame(rows, "user_id int, business_id int, stars double, review_id long")
+    return df.withColumn("date", F.timestamp_seconds(F.lit(86400)))
+
+
+def test_user_model_costs_no_pairs_of_chance_buckets(strangers, most_rows):
+    """Functions of two values: most of the 44,850 pairs of users share a bucket."""
+    found = as_dict(recommend.pearson_lsh(strangers, "user_id", "business_id", minhash_family(40, 2), 20))
+    assert found and all(u // 3 == v // 3 for u, v in found)
+    assert 0 < most_rows[0] <= 1200
