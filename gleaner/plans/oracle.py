@@ -447,7 +447,7 @@ def oracle_sql() -> dict[str, str]:
                     JOIN held y ON y.item = k2 AND y.element = x.element GROUP BY 1, 2)
             SELECT k1, k2 FROM met JOIN n a ON a.item = k1 JOIN n b ON b.item = k2
             WHERE met.n / (a.size + b.size - met.n) >= {b.MIN_JACCARD}""",
-        "q_jaccard_lsh": f"WITH {LSH} SELECT k1, k2, round(sim, 6) AS sim FROM lsh",
+        "q_jaccard_lsh": f"WITH {EXACT} SELECT k1, k2, round(sim, 6) AS sim FROM exact",
         "q_jaccard_exact": f"WITH {EXACT} SELECT k1, k2, round(sim, 6) AS sim FROM exact",
         "q_lsh_recall": f"""WITH {LSH} SELECT (SELECT count(*) FROM lsh) AS found, (SELECT count(*) FROM exact) AS known,
             round((SELECT count(*) FROM lsh) / (SELECT count(*) FROM exact), 6) AS recall""",
