@@ -187,3 +187,12 @@ def test_user_model_costs_no_pairs_of_chance_buckets(strangers, most_rows):
     found = as_dict(recommend.pearson_lsh(strangers, "user_id", "business_id", minhash_family(40, 2), 20))
     assert found and all(u // 3 == v // 3 for u, v in found)
     assert 0 < most_rows[0] <= 1200
+
+
+def test_user_predictions_cost_no_pairs_of_chance_buckets(spark, strangers, most_rows):
+    model = recommend.pearson_lsh(strangers, "user_id", "business_id", minhash_family(40, 2), 20)
+    asked = spark.createDataFrame([(u, 4 * (u // 3)) for u in range(300)], "user_id int, business_id int")
+    overall = recommend.overall_average(strangers)
+    found = recommend.predict_user(asked, strangers, model, recommend.averages(strangers, "user_id"), overall)
+    assert found.count() == 300
+    assert 0 < most_rows[0] <= 1200
